@@ -144,20 +144,16 @@ def _elements() -> str:
     """The JSON members below ``detail`` that name the created resources; lists have 0 to 2 items."""
     cases = []
     for at, rule in enumerate(EVENT_RULES):
-        parent, *rest = rule.field.split(".")
         if rule.item:
             first = f"""'{{"{rule.item}":"{_prefix(rule)}' || {_text('event_id')} || '"}}'"""
             second = f"""'{{"{rule.item}":"{_prefix(rule)}' || {_text('event_id + 1')} || '"}}'"""
             value = (
-                f"'[' || case {_div('event_id', _EVENT_COUNT)} % 3 when 0 then '' when 1 then {first} "
-                f"else {first} || ',' || {second} end || ']'"
+                f"""'{{"items":[' || case {_div('event_id', _EVENT_COUNT)} % 3 when 0 then '' when 1 then {first} """
+                f"""else {first} || ',' || {second} end || ']}}'"""
             )
         else:
             value = f"""'"{_prefix(rule)}' || {_text('event_id')} || '"'"""
-        opening = "".join(f'{{"{name}":' for name in rest)
-        cases.append(
-            f"""when {at} then '"{parent}":{opening}' || {value} || '{"}" * len(rest)}'"""
-        )
+        cases.append(f"""when {at} then '"{rule.parent}":{{"{rule.field}":' || {value} || '}}'""")
     return f"""case event_id % {_EVENT_COUNT} {' '.join(cases)} else '"responseElements":{{"x":"y"}}' end"""
 
 

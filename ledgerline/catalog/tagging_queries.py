@@ -13,7 +13,7 @@ from ledgerline.functions import accounts as acc
 from ledgerline.functions.identity import owner, role
 from ledgerline.operators import events as ev
 from ledgerline.operators import tags
-from ledgerline.plans.tagging import TaggedEvents, tag_events
+from ledgerline.plans.tagging import TaggedEvents, event_context, tag_events
 from ledgerline.sources.tables import parse_audit_log, stream_audit_log
 from ledgerline.streaming.tagging import start_tagging
 
@@ -65,20 +65,26 @@ def _tagged(spark: SparkSession, sf_dir: str) -> TaggedEvents:
     return tag_events(_events(spark, sf_dir), *_snapshots(spark, sf_dir), aliases=_ALIASES)
 
 
+def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accounts, _, _ = _snapshots(spark, sf_dir)
+    return event_context(_events(spark, sf_dir), accounts, aliases=_ALIASES)
+
+
 def event_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(spark, sf_dir).errors
 
 
 def event_unsupported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).unsupported
+    return ev.unsupported_events(_context(spark, sf_dir))
 
 
 def event_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).named.select("event_id", "event_name", "resource_class", "pos", "resource_id")
+    named = ev.event_resources(_context(spark, sf_dir))
+    return named.select("event_id", "event_name", "resource_class", "pos", "resource_id")
 
 
 def resources_per_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.resources_per_event(_tagged(spark, sf_dir).context)
+    return ev.resources_per_event(_context(spark, sf_dir))
 
 
 def resource_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +95,7 @@ def tag_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine tags of every event that has resources of its own."""
     tagged = _tagged(spark, sf_dir)
     events = tagged.resources.select("event_id", "owner", "role", "lob", "env").distinct()
-    return tags.resolve_tags(events, tagged.chosen).select("event_id", *TAG_KEYS)
+    return tags.resolve_tags(events, tagged.chosen, "event_id")
 
 
 def tag_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +104,7 @@ def tag_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = _tagged(spark, sf_dir)
-    return tags.merge_tags(tagged.inventory, tagged.assignments)
+    return tags.merge_tags(tagged.inventory, session.cut(tagged.assignments, "assignments"))
 
 
 def stream_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,9 +186,7 @@ def _rule_values() -> str:
     for rule in EVENT_RULES:
         via = f"'{rule.via}'" if rule.via else "null"
         children = ",".join(rule.children)
-        path = f"$.detail.{rule.field}" + (f"[*].{rule.item}" if rule.item else "")
-        rows.append(f"('{rule.event_name}', '{rule.resource_class}', {rule.reads_tags}, '{children}', {via}, "
-                    f"'{path}', {bool(rule.item)})")
+        rows.append(f"('{rule.event_name}', '{rule.resource_class}', {rule.reads_tags}, '{children}', {via})")
     return ", ".join(rows)
 
 
@@ -192,7 +196,7 @@ def _found_ids() -> str:
              "else [json_extract_string(record, '{p}')] end"
     branches = []
     for rule in EVENT_RULES:
-        path = f"$.detail.{rule.field}"
+        path = f"$.detail.{rule.parent}.{rule.field}" + (".items" if rule.item else "")
         if rule.item:
             ids = (f"case when json_extract(record, '{path}') is null then null "
                    f"else json_extract_string(record, '{path}[*].{rule.item}') end")
@@ -209,7 +213,7 @@ accounts as (
   from (select account, alias, {_alias_parts('alias')} as normalised
         from (select account, string_split(aliases, ',')[-1] as alias from {for_check(inputs.ACCOUNTS)} a))
 ),
-rules(event_name, resource_class, reads_tags, children, via, path, listed) as (values {_rule_values()}),
+rules(event_name, resource_class, reads_tags, children, via) as (values {_rule_values()}),
 context as (
   select *, case
       when region is null or event_name is null or arn is null or principal_id is null or user_type is null
@@ -246,13 +250,13 @@ expanded as (
     and list_contains(string_split(children, ','), kind)
 ),
 inventory as (
-  select resource_id, region, 0 as at, key1 as key, value1 as value from {for_check(inputs.INVENTORY)} i where has_tags
+  select resource_id, region, 0 as tag_at, key1 as key, value1 as value from {for_check(inputs.INVENTORY)} i where has_tags
   union all
   select resource_id, region, 1, key2, value2 from {for_check(inputs.INVENTORY)} i where has_tags
 ),
 chosen as (
   select event_id, {', '.join(
-      f"arg_max(value, [pos, at]) filter (where key = '{key}') as {key}" for key in TAG_DEFAULTS)}
+      f"arg_max(value, [pos, tag_at]) filter (where key = '{key}') as {key}" for key in TAG_DEFAULTS)}
   from resources join inventory using (region, resource_id) where reads_tags group by event_id
 )"""
 
@@ -306,7 +310,7 @@ CHECKS = {
           from assigned group by all
         ),
         kept as (
-          select region, resource_id, key, arg_max(value, at) as value from inventory
+          select region, resource_id, key, arg_max(value, tag_at) as value from inventory
           where not exists (select 1 from assigned b where b.resource_class = 'bucket'
             and b.region = inventory.region and b.resource_id = inventory.resource_id)
           group by all

@@ -94,14 +94,15 @@ def alias_rules(organisation: str | None = None) -> tuple[AliasRule, ...]:
 class EventRule:
     """Where an audit event names the resources it created.
 
-    ``field`` is a path below ``detail``; ``item`` is set when the path is a list of objects. ``children``
-    are the attachment kinds tagged along with each resource; ``via`` replaces each named id by the
-    attached resource of that kind first.
+    ``field`` is looked up in ``detail``'s ``parent``. It holds an id or, if ``item`` is set, an object with
+    a list ``items`` of objects whose ``item`` is an id. ``children`` are the attachment kinds tagged along
+    with each resource; ``via`` replaces each named id by the attached resource of that kind first.
     """
 
     event_name: str
     resource_class: str
     field: str
+    parent: str = "responseElements"
     item: str | None = None
     reads_tags: bool = False
     children: tuple[str, ...] = ()
@@ -111,34 +112,33 @@ class EventRule:
 # --- Fixed values: supported audit events -----------------------------------------------------------
 
 EVENT_RULES = (
-    EventRule("CreateVolume", "ids", "responseElements.volumeId", reads_tags=True),
-    EventRule("RunInstances", "ids", "responseElements.instancesSet.items", item="instanceId",
+    EventRule("CreateVolume", "ids", "volumeId", reads_tags=True),
+    EventRule("RunInstances", "ids", "instancesSet", item="instanceId",
               reads_tags=True, children=("volume", "interface")),
-    EventRule("RequestSpotInstances", "ids", "responseElements.spotInstanceRequestSet.items",
+    EventRule("RequestSpotInstances", "ids", "spotInstanceRequestSet",
               item="spotInstanceRequestId", reads_tags=True, children=("volume", "interface"), via="spot"),
-    EventRule("CreateImage", "ids", "responseElements.imageId", children=("snapshot",)),
-    EventRule("CreateSnapshot", "ids", "responseElements.snapshotId"),
-    EventRule("CreateInternetGateway", "ids", "responseElements.internetGatewayId"),
-    EventRule("CreateSecurityGroup", "ids", "responseElements.groupId"),
-    EventRule("CreateVpc", "ids", "responseElements.vpcId"),
-    EventRule("CreateSubnet", "ids", "responseElements.subnetId"),
-    EventRule("CreateRouteTable", "ids", "responseElements.routeTableId"),
-    EventRule("CreateNetworkAcl", "ids", "responseElements.networkAclId"),
-    EventRule("CreateNatGateway", "ids", "responseElements.natGatewayId"),
-    EventRule("CreateCustomerGateway", "ids", "responseElements.customerGatewayId"),
-    EventRule("CreateVpnGateway", "ids", "responseElements.vpnGatewayId"),
-    EventRule("CreateVpnConnection", "ids", "responseElements.vpnConnectionId"),
-    EventRule("CreateDBInstance", "db", "responseElements.dBInstanceArn", reads_tags=True),
-    EventRule("CreateDBSnapshot", "db", "responseElements.dBSnapshotArn", reads_tags=True),
-    EventRule("CreateDBCluster", "db", "responseElements.dBClusterArn", reads_tags=True),
-    EventRule("CreateDBClusterParameterGroup", "db", "responseElements.dBClusterParameterGroupArn",
-              reads_tags=True),
-    EventRule("CreateDBClusterSnapshot", "db", "responseElements.dBClusterSnapshotArn", reads_tags=True),
-    EventRule("CreateDBInstanceReadReplica", "db", "responseElements.dBInstanceArn", reads_tags=True),
-    EventRule("CreateDBParameterGroup", "db", "responseElements.dBParameterGroupArn", reads_tags=True),
-    EventRule("CreateDBSecurityGroup", "db", "responseElements.dBSecurityGroupArn", reads_tags=True),
-    EventRule("CreateDBSubnetGroup", "db", "responseElements.dBSubnetGroupArn", reads_tags=True),
-    EventRule("CreateEventSubscription", "db", "responseElements.eventSubscriptionArn", reads_tags=True),
-    EventRule("CreateOptionGroup", "db", "responseElements.optionGroupArn", reads_tags=True),
-    EventRule("CreateBucket", "bucket", "requestParameters.bucketName"),
+    EventRule("CreateImage", "ids", "imageId", children=("snapshot",)),
+    EventRule("CreateSnapshot", "ids", "snapshotId"),
+    EventRule("CreateInternetGateway", "ids", "internetGatewayId"),
+    EventRule("CreateSecurityGroup", "ids", "groupId"),
+    EventRule("CreateVpc", "ids", "vpcId"),
+    EventRule("CreateSubnet", "ids", "subnetId"),
+    EventRule("CreateRouteTable", "ids", "routeTableId"),
+    EventRule("CreateNetworkAcl", "ids", "networkAclId"),
+    EventRule("CreateNatGateway", "ids", "natGatewayId"),
+    EventRule("CreateCustomerGateway", "ids", "customerGatewayId"),
+    EventRule("CreateVpnGateway", "ids", "vpnGatewayId"),
+    EventRule("CreateVpnConnection", "ids", "vpnConnectionId"),
+    EventRule("CreateDBInstance", "db", "dBInstanceArn", reads_tags=True),
+    EventRule("CreateDBSnapshot", "db", "dBSnapshotArn", reads_tags=True),
+    EventRule("CreateDBCluster", "db", "dBClusterArn", reads_tags=True),
+    EventRule("CreateDBClusterParameterGroup", "db", "dBClusterParameterGroupArn", reads_tags=True),
+    EventRule("CreateDBClusterSnapshot", "db", "dBClusterSnapshotArn", reads_tags=True),
+    EventRule("CreateDBInstanceReadReplica", "db", "dBInstanceArn", reads_tags=True),
+    EventRule("CreateDBParameterGroup", "db", "dBParameterGroupArn", reads_tags=True),
+    EventRule("CreateDBSecurityGroup", "db", "dBSecurityGroupArn", reads_tags=True),
+    EventRule("CreateDBSubnetGroup", "db", "dBSubnetGroupArn", reads_tags=True),
+    EventRule("CreateEventSubscription", "db", "eventSubscriptionArn", reads_tags=True),
+    EventRule("CreateOptionGroup", "db", "optionGroupArn", reads_tags=True),
+    EventRule("CreateBucket", "bucket", "bucketName", parent="requestParameters"),
 )

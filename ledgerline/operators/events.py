@@ -13,7 +13,8 @@ from ledgerline.functions.identity import is_iam_user, owner, role
 from ledgerline.functions.nulls import any_null
 
 _RULE_SCHEMA = (
-    "event_name string, resource_class string, reads_tags boolean, children array<string>, via string"
+    "event_name string, resource_class string, parent string, field string, item string, "
+    "reads_tags boolean, children array<string>, via string"
 )
 _REQUIRED = ("region", "event_name", "arn", "principal_id", "user_type")
 _CARRIED = ("event_id", "event_time", "region", "event_name", "owner", "role", "lob", "env",
@@ -22,20 +23,23 @@ _CARRIED = ("event_id", "event_time", "region", "event_name", "owner", "role", "
 
 def rule_table(df: DataFrame, rules: Sequence[EventRule] = EVENT_RULES) -> DataFrame:
     """The rules as rows; as many as there are supported event names."""
-    rows = [(r.event_name, r.resource_class, r.reads_tags, list(r.children), r.via) for r in rules]
+    rows = [
+        (r.event_name, r.resource_class, r.parent, r.field, r.item, r.reads_tags, list(r.children), r.via)
+        for r in rules
+    ]
     return df.sparkSession.createDataFrame(rows, _RULE_SCHEMA)
 
 
-def named_resources(event_name: Column, detail: Column, rules: Sequence[EventRule] = EVENT_RULES) -> Column:
-    """The resource ids an event names, as an array; null for other events or if the list is missing."""
+def named_resources(detail: Column, parent: Column, field: Column, item: Column) -> Column:
+    """The resource ids an event names, as an array; null if the field or its list is missing.
 
-    def ids(rule: EventRule) -> Column:
-        value = detail
-        for name in rule.field.split("."):
-            value = value[name]
-        return F.transform(value, lambda item: item[rule.item]) if rule.item else F.array(value)
-
-    return F.coalesce(*[F.when(event_name == rule.event_name, ids(rule)) for rule in rules])
+    Where to look comes from the event's rule, as columns.
+    """
+    parents = [F.when(parent == name, detail[name]) for name in ("responseElements", "requestParameters")]
+    value = F.try_element_at(F.coalesce(*parents), field)
+    listed = F.from_json(value, "items array<map<string,string>>")["items"]
+    ids = F.transform(listed, lambda entry: F.try_element_at(entry, item))
+    return F.when(item.isNotNull(), ids).when(value.isNotNull(), F.array(value))
 
 
 def account_context(accounts: DataFrame, rules: Sequence[AliasRule] = ALIAS_RULES) -> DataFrame:
@@ -68,7 +72,8 @@ def with_context(
     built = (
         known.withColumn("owner", user)
         .withColumn("role", role(F.col("user_type"), F.col("issuer_name")))
-        .withColumn("resource_ids", named_resources(F.col("event_name"), F.col("detail"), rules))
+        .withColumn("resource_ids", named_resources(
+            F.col("detail"), F.col("parent"), F.col("field"), F.col("item")))
     )
     nameless = F.exists("resource_ids", lambda name: F.coalesce(name, F.lit("")) == "")
     error = (

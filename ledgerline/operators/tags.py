@@ -39,18 +39,16 @@ def _tag_value(key: str) -> Column:
     return F.coalesce(F.col(key), default_tag(key, F.col("env")))
 
 
-def resolve_tags(events: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Rows with an ``event_id`` and the event's context, plus one column per tag."""
+def resolve_tags(events: DataFrame, chosen: DataFrame, *keep: str) -> DataFrame:
+    """One column per tag for rows with an event's context; ``keep`` names columns to carry along."""
     joined = events.join(chosen, "event_id", "left")
-    values = {key: _tag_value(key) for key in TAG_KEYS}
-    return joined.select(*events.columns, *[value.alias(key) for key, value in values.items()])
+    return joined.select(*keep, *[_tag_value(key).alias(key) for key in TAG_KEYS])
 
 
 def tag_assignments(resources: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row per resource and tag, in the fixed order of tags within a resource."""
-    resolved = resolve_tags(resources, chosen)
-    tags = F.array(*[F.struct(F.lit(key).alias("key"), F.col(key).alias("value")) for key in TAG_KEYS])
-    return resolved.select(
+    tags = F.array(*[F.struct(F.lit(key).alias("key"), _tag_value(key).alias("value")) for key in TAG_KEYS])
+    return resources.join(chosen, "event_id", "left").select(
         "event_id", "event_time", "region", "resource_id", "resource_class", F.inline(tags)
     )
 

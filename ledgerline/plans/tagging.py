@@ -7,24 +7,39 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ledgerline import session
 from ledgerline.fixed_values import ALIAS_RULES, EVENT_RULES, AliasRule, EventRule
 from ledgerline.operators import events as ev
 from ledgerline.operators import tags
 
 
+def event_context(
+    events: DataFrame,
+    accounts: DataFrame,
+    rules: Sequence[EventRule] = EVENT_RULES,
+    aliases: Sequence[AliasRule] = ALIAS_RULES,
+) -> DataFrame:
+    """Events with everything their own record, account and rule say; lazy, one pass."""
+    return ev.with_context(events, accounts, rules, aliases)
+
+
 @dataclass(frozen=True)
 class TaggedEvents:
-    """The outcomes for a set of events, all lazy."""
+    """The outcomes for a set of events.
+
+    ``context`` and ``resources`` are stored tables: the log is parsed once, requests are followed once,
+    and each outcome reads the few narrow columns it needs.
+    """
 
     context: DataFrame
-    named: DataFrame
     resources: DataFrame
     attachments: DataFrame
     inventory: DataFrame
 
     @property
     def errors(self) -> DataFrame:
-        return ev.event_errors(self.context).unionByName(ev.unfulfilled_events(self.named, self.attachments))
+        named = ev.event_resources(self.context)
+        return ev.event_errors(self.context).unionByName(ev.unfulfilled_events(named, self.attachments))
 
     @property
     def unsupported(self) -> DataFrame:
@@ -51,7 +66,7 @@ def tag_events(
     rules: Sequence[EventRule] = EVENT_RULES,
     aliases: Sequence[AliasRule] = ALIAS_RULES,
 ) -> TaggedEvents:
-    context = ev.with_context(events, accounts, rules, aliases)
+    context = session.cut(event_context(events, accounts, rules, aliases), "event-context")
     named = ev.event_resources(context)
-    resources = ev.fulfilled_resources(named, attachments)
-    return TaggedEvents(context, named, resources, attachments, inventory)
+    resources = session.cut(ev.fulfilled_resources(named, attachments), "event-resources")
+    return TaggedEvents(context, resources, attachments, inventory)

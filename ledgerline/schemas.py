@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from ledgerline.fixed_values import EVENT_RULES, EventRule
-
 
 def strings(*names: str) -> T.StructType:
     """A struct of nullable string fields."""
@@ -56,38 +54,20 @@ ATTACHMENTS = strings("parent_id", "child_id", "kind")
 ACCOUNT_ALIASES = extend(strings("account"), T.StructField("aliases", T.ArrayType(T.StringType())))
 
 
-def _detail_fields(rules: tuple[EventRule, ...]) -> list[T.StructField]:
-    """Nested fields below ``detail`` that the rules read; everything else is pruned while parsing."""
-    tree: dict = {}
-    for rule in rules:
-        node = tree
-        *parents, leaf = rule.field.split(".")
-        for name in parents:
-            node = node.setdefault(name, {})
-        node[leaf] = T.ArrayType(strings(rule.item)) if rule.item else T.StringType()
-
-    def fields(node: dict) -> list[T.StructField]:
-        return [
-            T.StructField(name, T.StructType(fields(value)) if isinstance(value, dict) else value)
-            for name, value in node.items()
-        ]
-
-    return fields(tree)
-
-
-def audit_event(rules: tuple[EventRule, ...] = EVENT_RULES) -> T.StructType:
-    """Schema of one audit record for a rule table."""
-    identity = extend(
-        strings("arn", "principalId", "type", "userName"),
-        T.StructField("sessionContext", T.StructType([
-            T.StructField("sessionIssuer", strings("userName")),
-        ])),
-    )
-    return extend(
-        strings("id", "account", "region", "time"),
-        T.StructField("detail", T.StructType([
-            T.StructField("eventName", T.StringType()),
-            T.StructField("userIdentity", identity),
-            *_detail_fields(rules),
-        ])),
-    )
+_ELEMENTS = T.MapType(T.StringType(), T.StringType())
+
+# One audit record. What an event names as created is looked up by its rule, hence the maps.
+AUDIT_EVENT = extend(
+    strings("id", "account", "region", "time"),
+    T.StructField("detail", T.StructType([
+        T.StructField("eventName", T.StringType()),
+        T.StructField("userIdentity", extend(
+            strings("arn", "principalId", "type", "userName"),
+            T.StructField("sessionContext", T.StructType([
+                T.StructField("sessionIssuer", strings("userName")),
+            ])),
+        )),
+        T.StructField("responseElements", _ELEMENTS),
+        T.StructField("requestParameters", _ELEMENTS),
+    ])),
+)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job here relies on: entry times are rendered in UTC, casts raise instead of
 # wrapping, and joins whose key is hot are split by adaptive execution even if that costs a shuffle.
@@ -67,3 +67,14 @@ def shared_root(spark: SparkSession) -> str:
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh subfolder path of the shared folder; never reused, so jobs cannot meet in it."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For results that several later steps read: they are computed once, a lost executor costs no more
+    than reading them again, and readers still prune columns and push filters into the scan.
+    """
+    folder = workspace(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.fixed_values import EVENT_RULES
-from ledgerline.schemas import audit_event
+from ledgerline.schemas import AUDIT_EVENT
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -32,9 +31,9 @@ def audit_fields(record: Column) -> list[Column]:
     ]
 
 
-def parse_audit_log(lines: DataFrame, column: str = "value", rules=EVENT_RULES) -> DataFrame:
+def parse_audit_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """Audit events from a column of JSON records; unreadable text gives a row of nulls."""
-    parsed = lines.select(F.from_json(F.col(column), audit_event(rules)).alias("record"))
+    parsed = lines.select(F.from_json(F.col(column), AUDIT_EVENT).alias("record"))
     return parsed.select(*audit_fields(F.col("record")))
 
 
