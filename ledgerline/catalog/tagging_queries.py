@@ -52,13 +52,18 @@ def event_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(spark, sf_dir, inputs.ACCOUNTS).withColumn("aliases", F.split("aliases", ","))
+
+
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    accounts = derive(spark, sf_dir, inputs.ACCOUNTS).withColumn("aliases", F.split("aliases", ","))
+    """Accounts, attachments and inventory; the attachments are stored, as they are read repeatedly."""
     pairs = F.array(*[F.struct(F.col(f"key{n}").alias("Key"), F.col(f"value{n}").alias("Value")) for n in (1, 2)])
     inventory = derive(spark, sf_dir, inputs.INVENTORY).select(
         "resource_id", "region", F.when(F.col("has_tags"), pairs).alias("tags")
     )
-    return accounts, derive(spark, sf_dir, inputs.ATTACHMENTS), inventory
+    attachments = session.cut(derive(spark, sf_dir, inputs.ATTACHMENTS), "attachments")
+    return _accounts(spark, sf_dir), attachments, inventory
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> TaggedEvents:
@@ -66,8 +71,7 @@ def _tagged(spark: SparkSession, sf_dir: str) -> TaggedEvents:
 
 
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accounts, _, _ = _snapshots(spark, sf_dir)
-    return event_context(_events(spark, sf_dir), accounts, aliases=_ALIASES)
+    return event_context(_events(spark, sf_dir), _accounts(spark, sf_dir), aliases=_ALIASES)
 
 
 def event_errors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,11 +69,11 @@ def with_context(
         F.broadcast(rule_table(events, rules)), "event_name", "left"
     )
     user = owner(F.col("user_type"), F.col("user_name"), F.col("principal_id"))
+    ids = named_resources(F.col("detail"), F.col("parent"), F.col("field"), F.col("item"))
     built = (
-        known.withColumn("owner", user)
+        known.withColumn("resource_ids", ids)
+        .withColumn("owner", user)
         .withColumn("role", role(F.col("user_type"), F.col("issuer_name")))
-        .withColumn("resource_ids", named_resources(
-            F.col("detail"), F.col("parent"), F.col("field"), F.col("item")))
     )
     nameless = F.exists("resource_ids", lambda name: F.coalesce(name, F.lit("")) == "")
     error = (
@@ -112,9 +112,9 @@ def resources_per_event(context: DataFrame) -> DataFrame:
     return _supported(context).select("event_id", "event_name", F.size("resource_ids").alias("n_resources"))
 
 
-def _requested(resources: DataFrame, attachments: DataFrame) -> DataFrame:
-    """Resources that stand for another one, with that one as ``child_id`` (null if there is none yet)."""
-    wanted = resources.filter(F.col("via").isNotNull())
+def requested_resources(named: DataFrame, attachments: DataFrame) -> DataFrame:
+    """Named resources that stand for another one, with that one as ``child_id`` (null if there is none yet)."""
+    wanted = named.filter(F.col("via").isNotNull())
     return wanted.join(
         attachments,
         (wanted["resource_id"] == attachments["parent_id"]) & (wanted["via"] == attachments["kind"]),
@@ -122,21 +122,20 @@ def _requested(resources: DataFrame, attachments: DataFrame) -> DataFrame:
     ).drop("parent_id", "kind")
 
 
-def unfulfilled_events(resources: DataFrame, attachments: DataFrame) -> DataFrame:
+def unfulfilled_events(requested: DataFrame) -> DataFrame:
     """Events with a request that has no resource yet; like any event error, they yield nothing."""
-    open_requests = _requested(resources, attachments).filter(F.col("child_id").isNull())
-    return open_requests.select("event_id", "event_name", F.lit("unfulfilled_request").alias("error")).distinct()
+    waiting = requested.filter(F.col("child_id").isNull())
+    return waiting.select("event_id", "event_name", F.lit("unfulfilled_request").alias("error")).distinct()
 
 
-def fulfilled_resources(resources: DataFrame, attachments: DataFrame) -> DataFrame:
-    """Resources with every request replaced by what it led to; unfulfilled events are left out."""
+def fulfilled_resources(named: DataFrame, requested: DataFrame) -> DataFrame:
+    """Named resources with every request replaced by what it led to; unfulfilled events are left out."""
     replaced = (
-        _requested(resources, attachments)
-        .join(unfulfilled_events(resources, attachments).select("event_id"), "event_id", "left_anti")
+        requested.join(unfulfilled_events(requested).select("event_id"), "event_id", "left_anti")
         .withColumn("resource_id", F.col("child_id"))
         .drop("child_id")
     )
-    return resources.filter(F.col("via").isNull()).unionByName(replaced)
+    return named.filter(F.col("via").isNull()).unionByName(replaced)
 
 
 def expand_resources(resources: DataFrame, attachments: DataFrame) -> DataFrame:

@@ -27,19 +27,19 @@ def event_context(
 class TaggedEvents:
     """The outcomes for a set of events.
 
-    ``context`` and ``resources`` are stored tables: the log is parsed once, requests are followed once,
-    and each outcome reads the few narrow columns it needs.
+    ``context``, ``requested`` and ``resources`` are stored tables: the log is parsed once, requests are
+    followed once, and each outcome reads the few narrow columns it needs.
     """
 
     context: DataFrame
+    requested: DataFrame
     resources: DataFrame
     attachments: DataFrame
     inventory: DataFrame
 
     @property
     def errors(self) -> DataFrame:
-        named = ev.event_resources(self.context)
-        return ev.event_errors(self.context).unionByName(ev.unfulfilled_events(named, self.attachments))
+        return ev.event_errors(self.context).unionByName(ev.unfulfilled_events(self.requested))
 
     @property
     def unsupported(self) -> DataFrame:
@@ -68,5 +68,6 @@ def tag_events(
 ) -> TaggedEvents:
     context = session.cut(event_context(events, accounts, rules, aliases), "event-context")
     named = ev.event_resources(context)
-    resources = session.cut(ev.fulfilled_resources(named, attachments), "event-resources")
-    return TaggedEvents(context, resources, attachments, inventory)
+    requested = session.cut(ev.requested_resources(named, attachments), "event-requests")
+    resources = session.cut(ev.fulfilled_resources(named, requested), "event-resources")
+    return TaggedEvents(context, requested, resources, attachments, inventory)

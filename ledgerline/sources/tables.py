@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.once import with_once
 from ledgerline.schemas import AUDIT_EVENT
 
 
@@ -33,7 +34,7 @@ def audit_fields(record: Column) -> list[Column]:
 
 def parse_audit_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """Audit events from a column of JSON records; unreadable text gives a row of nulls."""
-    parsed = lines.select(F.from_json(F.col(column), AUDIT_EVENT).alias("record"))
+    parsed = with_once(lines, "record", F.from_json(F.col(column), AUDIT_EVENT))
     return parsed.select(*audit_fields(F.col("record")))
 
 
