@@ -12,7 +12,7 @@ from ledgerline.catalog import inputs
 from ledgerline.catalog.inputs import derive, for_check
 from ledgerline.functions.html import LinkSection
 from ledgerline.operators import enrich, entities, feed, records, route
-from ledgerline.plans.filings import FilingBatch, deliver, process_entries
+from ledgerline.plans.filings import FilingBatch, deliver, process_entries, store_links
 from ledgerline.schemas import FILING, FILING_COLUMNS, FILING_ENRICHED_COLUMNS
 from ledgerline.sources.feed import land_feed, read_feed
 from ledgerline.sources.tables import read_table
@@ -81,9 +81,13 @@ def landing_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select("url", "formurl")
 
 
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_links(derive(spark, sf_dir, inputs.PAGES))
+
+
 def _landing_batch(spark: SparkSession, sf_dir: str) -> FilingBatch:
     filings = derive(spark, sf_dir, inputs.LANDING_FILINGS)
-    return deliver(filings, derive(spark, sf_dir, inputs.PAGES))
+    return deliver(filings, _links(spark, sf_dir))
 
 
 def landing_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +119,7 @@ def new_filings_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way of a batch: parse, compare with what was seen, enrich, route."""
     entries = _entries(spark, sf_dir)
     seen = feed.parse_entries(entries.filter(F.col("landed") < _before(_SEEN_UNTIL)))
-    batch = process_entries(entries, seen, derive(spark, sf_dir, inputs.PAGES))
+    batch = process_entries(entries, seen, _links(spark, sf_dir))
     return batch.routed.select("route", "title", *FILING_ENRICHED_COLUMNS)
 
 
@@ -176,7 +180,7 @@ new as (select {_FILING} from {for_check(inputs.FILINGS)} f where ts >= timestam
 fresh as (select * from new where not exists (select 1 from old where {_same('old', 'new')}))"""
 
 
-def _link(html: str, tag: str) -> str:
+def _link_sql(html: str, tag: str) -> str:
     """First anchor with text in the first ``tag`` element (the given pages do not nest it)."""
     anchors = rf"regexp_extract_all(regexp_extract({html}, '(?s)<{tag}[^>]*>(.*?)</{tag}>', 1), '(?s)<a\b[^>]*>.*?</a>')"
     first = f"list_filter({anchors}, lambda a: regexp_replace(a, '<[^>]*>', '', 'g') <> '')[1]"
@@ -186,7 +190,7 @@ def _link(html: str, tag: str) -> str:
 def _enriched(filings: str) -> str:
     return f"""
 links as (
-  select url, status, case when status in (200, 201, 202) then {_link('html', 'table')} end as formurl
+  select url, status, case when status in (200, 201, 202) then {_link_sql('html', 'table')} end as formurl
   from {for_check(inputs.PAGES)} p
 ),
 enriched as (
@@ -219,7 +223,7 @@ CHECKS = {
     "filing_diff": f"with {_OLD_NEW} select * from fresh",
     "filing_state_after": f"with {_OLD_NEW} select * from old union all select * from fresh",
     "filing_diff_after_reset": f"with {_OLD_NEW} select * from new",
-    "landing_link": f"select url, {_link('html', 'nav')} as formurl from pages",
+    "landing_link": f"select url, {_link_sql('html', 'nav')} as formurl from pages",
     "landing_enrich": f"{_LANDING} select * from enriched",
     "landing_rejects": f"""
         {_LANDING} select {_FILING}, enrich_status from enriched where enrich_status in ('no_link', 'no_page')""",

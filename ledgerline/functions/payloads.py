@@ -31,8 +31,9 @@ def parse_array(body: Column, schema: T.StructType) -> Column:
     """
     wrapped = F.concat(F.lit('{"items":'), body, F.lit("}"))
     parsed = F.from_json(wrapped, T.StructType([T.StructField("items", T.ArrayType(schema))]))
-    items = parsed["items"]
-    return F.when(~F.exists(items, lambda item: item.isNull()), items)
+    # As the one element of an array the list can be tested and returned without parsing it twice.
+    whole = F.filter(F.array(parsed["items"]), lambda items: ~F.exists(items, lambda item: item.isNull()))
+    return F.get(whole, F.lit(0))
 
 
 def is_json(body: Column) -> Column:

@@ -13,9 +13,10 @@ OK, HTTP_ERROR, NO_LINK, NO_PAGE = "ok", "http_error", "no_link", "no_page"
 
 
 def page_links(pages: DataFrame, section: LinkSection = LinkSection(), base: str = SITE_BASE) -> DataFrame:
-    """Per page its status and document link; the page text does not travel beyond the scan.
+    """One row per page address: ``(url, page_outcome, formurl)``.
 
-    The anchor is found in a step of its own, so that it is searched for once per page.
+    The page text does not travel beyond the scan, and the anchor is found in a step of its own, so that
+    it is searched for once per page. Copies of a page are merged, a link winning over none.
     """
     good = F.col("status").isin(*PAGE_OK_STATUSES)
     anchored = pages.select(
@@ -27,25 +28,24 @@ def page_links(pages: DataFrame, section: LinkSection = LinkSection(), base: str
         .when(F.col("formurl").isNull(), F.lit(NO_LINK))
         .otherwise(F.lit(OK))
     )
-    return linked.select("url", outcome.alias("page_outcome"), "formurl")
+    found = linked.select("url", F.struct((outcome != OK).alias("worse"), outcome.alias("page_outcome"),
+                                          "formurl").alias("page"))
+    best = found.groupBy("url").agg(F.min("page").alias("page"))
+    return best.select("url", "page.page_outcome", "page.formurl")
 
 
 def enrich(filings: DataFrame, links: DataFrame) -> DataFrame:
     """Every filing with ``formurl`` and ``enrich_status``.
 
-    Copies of a page are merged before the join (a link wins over none). That grouping is by the join
-    key, so it is the join's shuffle, and the page side is unique: only filings can be hot on a key,
-    and that side adaptive execution splits.
+    ``links`` is the stored outcome of ``page_links``. As a stored table it is unique and shuffled by the
+    join itself (if it is not small enough to be broadcast), which is what lets adaptive execution split
+    the filings of a hot page; a grouping right below the join would prevent that.
     """
-    best = links.groupBy("url").agg(F.min_by(
-        F.struct("page_outcome", "formurl"),
-        F.struct((F.col("page_outcome") != OK).alias("worse"), "page_outcome", "formurl"),
-    ).alias("page"))
-    joined = filings.join(best, filings["inter_url"] == best["url"], "left")
+    joined = filings.join(links, filings["inter_url"] == links["url"], "left")
     return joined.select(
-        *filings.columns,
-        F.col("page.formurl").alias("formurl"),
-        F.coalesce("page.page_outcome", F.lit(NO_PAGE)).alias("enrich_status"),
+        *[filings[name] for name in filings.columns],
+        links["formurl"],
+        F.coalesce(links["page_outcome"], F.lit(NO_PAGE)).alias("enrich_status"),
     )
 
 

@@ -128,10 +128,10 @@ def unfulfilled_events(requested: DataFrame) -> DataFrame:
     return waiting.select("event_id", "event_name", F.lit("unfulfilled_request").alias("error")).distinct()
 
 
-def fulfilled_resources(named: DataFrame, requested: DataFrame) -> DataFrame:
+def fulfilled_resources(named: DataFrame, requested: DataFrame, unfulfilled: DataFrame) -> DataFrame:
     """Named resources with every request replaced by what it led to; unfulfilled events are left out."""
     replaced = (
-        requested.join(unfulfilled_events(requested).select("event_id"), "event_id", "left_anti")
+        requested.join(unfulfilled.select("event_id"), "event_id", "left_anti")
         .withColumn("resource_id", F.col("child_id"))
         .drop("child_id")
     )

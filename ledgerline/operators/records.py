@@ -19,8 +19,10 @@ def repeat_rows(df: DataFrame, copies: str = "copies", run: int = RUN_LENGTH) ->
     """Every row as often as its ``copies`` column says; that column is dropped.
 
     Rows with many copies are first cut into runs of at most ``run`` copies, which are spread over the
-    cluster before they are written out, so that no task multiplies one row on its own.
+    cluster before they are written out, so that no task multiplies one row on its own. The number of
+    partitions is given, as adaptive execution would otherwise merge these few, short rows again.
     """
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = F.col(copies)
     few = df.filter(count <= run)
     columns = [name for name in df.columns if name != copies]
@@ -28,7 +30,7 @@ def repeat_rows(df: DataFrame, copies: str = "copies", run: int = RUN_LENGTH) ->
         df.filter(count > run)
         .withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / run))))
         .withColumn(copies, F.least(F.lit(run).cast("long"), count - F.col("_run") * run))
-        .repartition("_run", *columns)
+        .repartition(spread, "_run", *columns)
         .drop("_run")
     )
     return (

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ledgerline import session
 from ledgerline.fixed_values import ROUTES, SITE_BASE, Route
 from ledgerline.functions.html import LinkSection
 from ledgerline.operators import enrich, feed, records, route
@@ -34,19 +35,20 @@ class FilingBatch:
         return route.batch_summary(self.enriched)
 
 
-def deliver(
-    fresh: DataFrame,
-    pages: DataFrame,
-    routes: Sequence[Route] = ROUTES,
-    section: LinkSection = LinkSection(),
-    base: str = SITE_BASE,
-) -> FilingBatch:
+def store_links(pages: DataFrame, section: LinkSection = LinkSection(), base: str = SITE_BASE) -> DataFrame:
+    """The document links of crawled pages as a stored table: each page is searched once, not per batch."""
+    return session.cut(enrich.page_links(pages, section, base), "page-links")
+
+
+def deliver(fresh: DataFrame, links: DataFrame, routes: Sequence[Route] = ROUTES) -> FilingBatch:
     """Enrich and route filings that are already known to be new."""
-    enriched = enrich.enrich(fresh, enrich.page_links(pages, section, base))
+    enriched = enrich.enrich(fresh, links)
     return FilingBatch(fresh, enriched, route.route_filings(enrich.survivors(enriched), routes))
 
 
-def process_entries(entries: DataFrame, seen: DataFrame, pages: DataFrame, **options) -> FilingBatch:
+def process_entries(
+    entries: DataFrame, seen: DataFrame, links: DataFrame, routes: Sequence[Route] = ROUTES
+) -> FilingBatch:
     """Parse a batch of entries, keep what was not seen, and deliver that."""
     filings = feed.parse_entries(entries)
-    return deliver(records.fresh_records(filings, seen, FILING_COLUMNS), pages, **options)
+    return deliver(records.fresh_records(filings, seen, FILING_COLUMNS), links, routes)

@@ -27,19 +27,21 @@ def event_context(
 class TaggedEvents:
     """The outcomes for a set of events.
 
-    ``context``, ``requested`` and ``resources`` are stored tables: the log is parsed once, requests are
-    followed once, and each outcome reads the few narrow columns it needs.
+    Everything but ``inventory`` and ``attachments`` is a stored table here: the log is parsed once,
+    requests are followed once, each outcome reads the few narrow columns it needs, and what is joined by
+    event is not a grouping, so adaptive execution can split an event with very many resources.
     """
 
     context: DataFrame
-    requested: DataFrame
+    unfulfilled: DataFrame
     resources: DataFrame
+    chosen: DataFrame
     attachments: DataFrame
     inventory: DataFrame
 
     @property
     def errors(self) -> DataFrame:
-        return ev.event_errors(self.context).unionByName(ev.unfulfilled_events(self.requested))
+        return ev.event_errors(self.context).unionByName(self.unfulfilled)
 
     @property
     def unsupported(self) -> DataFrame:
@@ -49,10 +51,6 @@ class TaggedEvents:
     def expanded(self) -> DataFrame:
         return ev.expand_resources(self.resources, self.attachments)
 
-    @property
-    def chosen(self) -> DataFrame:
-        return tags.chosen_tags(self.resources, self.inventory)
-
     @property
     def assignments(self) -> DataFrame:
         return tags.tag_assignments(self.expanded, self.chosen)
@@ -69,5 +67,7 @@ def tag_events(
     context = session.cut(event_context(events, accounts, rules, aliases), "event-context")
     named = ev.event_resources(context)
     requested = session.cut(ev.requested_resources(named, attachments), "event-requests")
-    resources = session.cut(ev.fulfilled_resources(named, requested), "event-resources")
-    return TaggedEvents(context, requested, resources, attachments, inventory)
+    unfulfilled = session.cut(ev.unfulfilled_events(requested), "event-unfulfilled")
+    resources = session.cut(ev.fulfilled_resources(named, requested, unfulfilled), "event-resources")
+    chosen = session.cut(tags.chosen_tags(resources, inventory), "event-tags")
+    return TaggedEvents(context, unfulfilled, resources, chosen, attachments, inventory)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.once import with_once
 from ledgerline.functions.payloads import is_json, parse_array
 from ledgerline.schemas import STAGED_FILING
 
@@ -29,7 +30,7 @@ def read_files(spark: SparkSession, root: str, ymd: str | None = None, prefix: s
     ``prefix`` is what the folder names have in front of the day, such as ``ymd=``.
     """
     folder = f"{root}/{prefix}{ymd or _ANY_DAY}"
-    return _whole_files(spark.read.option("wholetext", True).text(folder))
+    return _whole_files(spark.read.text(folder, wholetext=True))
 
 
 def stream_files(spark: SparkSession, root: str, prefix: str = "", **options: str) -> DataFrame:
@@ -46,7 +47,7 @@ def land_files(payloads: DataFrame, root: str) -> None:
 
 def parse_files(files: DataFrame, schema: T.StructType = STAGED_FILING) -> DataFrame:
     """Parse every file whole: ``items`` holds its records, or ``reason`` says why it has none."""
-    parsed = files.withColumn("items", parse_array(F.col("body"), schema))
+    parsed = with_once(files, "items", parse_array(F.col("body"), schema))
     reason = F.when(
         F.col("items").isNull(),
         F.when(is_json(F.col("body")), F.lit(WRONG_SHAPE)).otherwise(F.lit(MALFORMED)),

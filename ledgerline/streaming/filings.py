@@ -62,11 +62,14 @@ def start_filing_stream(
     return jobs.start(snapshots, handle, checkpoint, every)
 
 
-def outbox_delivery(spark: SparkSession, pages_path: str, outbox: str, **options) -> Delivery:
-    """Delivery that enriches and routes a batch, and writes its messages and dropped filings."""
+def outbox_delivery(spark: SparkSession, links_path: str, outbox: str, **options) -> Delivery:
+    """Delivery that enriches and routes a batch, and writes its messages and dropped filings.
+
+    ``links_path`` is the stored table of page links, read as it is when the batch runs.
+    """
 
     def send(committed: DataFrame, batch_id: int) -> None:
-        batch = deliver(committed.select(*FILING_COLUMNS), spark.read.parquet(pages_path), **options)
+        batch = deliver(committed.select(*FILING_COLUMNS), spark.read.parquet(links_path), **options)
         jobs.replace_batch(batch.messages, f"{outbox}/messages", batch_id)
         jobs.replace_batch(batch.dropped, f"{outbox}/dropped", batch_id)
 
