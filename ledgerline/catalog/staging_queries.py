@@ -14,10 +14,10 @@ from ledgerline.functions.payloads import array_json, parse_array
 from ledgerline.operators import conform as conforming
 from ledgerline.operators import requests
 from ledgerline.plans import staging
-from ledgerline.schemas import STAGED_FILING, extend, strings
+from ledgerline.schemas import STAGED_FILING, strings
 from ledgerline.sources import daily_files
 from ledgerline.sources.tables import read_table
-from ledgerline.streaming.ingest import start_ingest
+from ledgerline.streaming.ingest import ingested, start_ingest
 
 _PREFIX = "ymd="
 _FIELDS = ", ".join(STAGED_FILING.names)
@@ -58,7 +58,7 @@ def stream_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = session.workspace(spark, "ingested")
     files = daily_files.stream_files(spark, folder, prefix=_PREFIX)
     start_ingest(files, target, session.workspace(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(extend(strings("ymd"), *STAGED_FILING)).parquet(f"{target}/records/*")
+    return ingested(spark, target).drop("batch_id")
 
 
 def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from ledgerline.catalog.inputs import derive, for_check
 from ledgerline.fixed_values import EVENT_RULES, TAG_DEFAULTS, TAG_KEYS, alias_rules
 from ledgerline.functions import accounts as acc
 from ledgerline.functions.identity import owner, role
+from ledgerline.functions.payloads import array_json
 from ledgerline.operators import events as ev
 from ledgerline.operators import tags
 from ledgerline.plans.tagging import TaggedEvents, event_context, tag_events
@@ -102,6 +103,11 @@ def tag_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tags.resolve_tags(events, tagged.chosen, "event_id")
 
 
+def tag_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = _tagged(spark, sf_dir).tag_sets
+    return sets.select("event_id", "resource_id", array_json(F.col("tags")).alias("tags"))
+
+
 def tag_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(spark, sf_dir).assignments
 
@@ -137,6 +143,7 @@ QUERIES = {
     "resources_per_event": resources_per_event,
     "resource_expand": resource_expand,
     "tag_resolve": tag_resolve,
+    "tag_sets": tag_sets,
     "tag_assignments": tag_assignments,
     "tag_merge": tag_merge,
     "stream_tagging": stream_tagging,
@@ -306,6 +313,11 @@ CHECKS = {
         with {_CONTEXT}
         select event_id, {', '.join(f'{value} as {key}' for key, value in _TAG_VALUES.items())}
         from (select distinct event_id, owner, role, lob, env from resources) left join chosen using (event_id)""",
+    "tag_sets": f"""
+        with {_CONTEXT}
+        select event_id, resource_id, cast(to_json([{', '.join(
+            f"{{'Key': '{key}', 'Value': {value}}}" for key, value in _TAG_VALUES.items())}]) as varchar) as tags
+        from expanded left join chosen using (event_id)""",
     "tag_assignments": _ASSIGNMENTS,
     "tag_merge": f"""
         with {_ASSIGNED},

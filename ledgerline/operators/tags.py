@@ -45,14 +45,19 @@ def resolve_tags(events: DataFrame, chosen: DataFrame, *keep: str) -> DataFrame:
     return joined.select(*keep, *[_tag_value(key).alias(key) for key in TAG_KEYS])
 
 
-def tag_assignments(resources: DataFrame, chosen: DataFrame) -> DataFrame:
-    """One row per resource and tag, in the fixed order of tags within a resource."""
-    tags = F.array(*[F.struct(F.lit(key).alias("key"), _tag_value(key).alias("value")) for key in TAG_KEYS])
+def tag_sets(resources: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row per resource with the list of its tags, in their fixed order."""
+    pairs = [F.struct(F.lit(key).alias("Key"), _tag_value(key).alias("Value")) for key in TAG_KEYS]
     return resources.join(chosen, "event_id", "left").select(
-        "event_id", "event_time", "region", "resource_id", "resource_class", F.inline(tags)
+        "event_id", "event_time", "region", "resource_id", "resource_class", F.array(*pairs).alias("tags")
     )
 
 
+def tag_assignments(sets: DataFrame) -> DataFrame:
+    """One row per resource and tag."""
+    return sets.select("*", F.inline("tags").alias("key", "value")).drop("tags")
+
+
 def merge_tags(inventory: DataFrame, assignments: DataFrame) -> DataFrame:
     """The tags resources have once the assignments are applied, as ``(region, resource_id, key, value)``.
 

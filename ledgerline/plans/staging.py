@@ -34,8 +34,14 @@ def write_days(staged: DataFrame, root: str) -> None:
     )
 
 
-def stage_day(spark: SparkSession, raw_root: str, staged_root: str, day: dt.date, strict: bool = False) -> None:
-    """Stage one day. Its folder is replaced even if the day turns out empty."""
+def stage_day(
+    spark: SparkSession, raw_root: str, staged_root: str, day: dt.date | None = None, strict: bool = False
+) -> None:
+    """Stage one day (default: yesterday). Its folder is replaced even if the day turns out empty.
+
+    ``strict`` fails the job on a file that is JSON but not an array of objects.
+    """
+    day = day or dt.date.today() - dt.timedelta(days=1)
     parsed = daily_files.parse_files(daily_files.read_files(spark, raw_root, f"{day:%Y%m%d}"))
     if strict:
         parsed = daily_files.require_arrays(parsed)

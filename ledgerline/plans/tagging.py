@@ -51,9 +51,13 @@ class TaggedEvents:
     def expanded(self) -> DataFrame:
         return ev.expand_resources(self.resources, self.attachments)
 
+    @property
+    def tag_sets(self) -> DataFrame:
+        return tags.tag_sets(self.expanded, self.chosen)
+
     @property
     def assignments(self) -> DataFrame:
-        return tags.tag_assignments(self.expanded, self.chosen)
+        return tags.tag_assignments(self.tag_sets)
 
 
 def tag_events(
@@ -63,11 +67,13 @@ def tag_events(
     inventory: DataFrame,
     rules: Sequence[EventRule] = EVENT_RULES,
     aliases: Sequence[AliasRule] = ALIAS_RULES,
+    work: str | None = None,
 ) -> TaggedEvents:
-    context = session.cut(event_context(events, accounts, rules, aliases), "event-context")
+    """Run the steps up to the tags of each event, storing them below ``work`` (default: fresh folders)."""
+    context = session.cut(event_context(events, accounts, rules, aliases), "context", work)
     named = ev.event_resources(context)
-    requested = session.cut(ev.requested_resources(named, attachments), "event-requests")
-    unfulfilled = session.cut(ev.unfulfilled_events(requested), "event-unfulfilled")
-    resources = session.cut(ev.fulfilled_resources(named, requested, unfulfilled), "event-resources")
-    chosen = session.cut(tags.chosen_tags(resources, inventory), "event-tags")
+    requested = session.cut(ev.requested_resources(named, attachments), "requested", work)
+    unfulfilled = session.cut(ev.unfulfilled_events(requested), "unfulfilled", work)
+    resources = session.cut(ev.fulfilled_resources(named, requested, unfulfilled), "resources", work)
+    chosen = session.cut(tags.chosen_tags(resources, inventory), "chosen", work)
     return TaggedEvents(context, unfulfilled, resources, chosen, attachments, inventory)

@@ -36,6 +36,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, **settings: str)
         .appName("ledgerline")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
@@ -69,12 +70,13 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def cut(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """``df`` stored as a table and read back, in the shared folder or below ``folder``.
 
     For results that several later steps read: they are computed once, a lost executor costs no more
-    than reading them again, and readers still prune columns and push filters into the scan.
+    than reading them again, and readers still prune columns and push filters into the scan. A table
+    below ``folder`` takes the place of an earlier one of its name.
     """
-    folder = workspace(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    path = workspace(df.sparkSession, name) if folder is None else f"{folder}/{name}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,6 +12,7 @@ from ledgerline.schemas import STAGED_FILING
 
 MALFORMED = "malformed"
 WRONG_SHAPE = "not_an_array_of_objects"
+RECORDS, QUARANTINE = "records", "quarantine"
 _ANY_DAY = "[0-9]" * 8
 
 
@@ -65,6 +66,23 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull()).select("source_file", "ymd", "reason", "body")
 
 
+def outcomes(parsed: DataFrame) -> DataFrame:
+    """Records and unreadable files in one set of rows, told apart by ``outcome``.
+
+    For writing both in a single pass over the files: ``partitionBy("outcome")``.
+    """
+    some = parsed.filter(F.col("reason").isNotNull() | (F.size("items") > 0))
+    bad = F.col("reason").isNotNull()
+    return some.select(
+        F.when(bad, F.lit(QUARANTINE)).otherwise(F.lit(RECORDS)).alias("outcome"),
+        "source_file",
+        "ymd",
+        "reason",
+        F.when(bad, F.col("body")).alias("body"),
+        F.inline_outer("items"),
+    )
+
+
 def require_arrays(parsed: DataFrame) -> DataFrame:
     """Strict variant: valid JSON of the wrong shape fails the job instead of being set aside."""
     checked = F.when(F.col("reason") == WRONG_SHAPE, F.raise_error(

@@ -56,10 +56,12 @@ class FilingLedger:
         floors = spark.read.schema(_FLOOR_SCHEMA).parquet(self._floors)
         return floors.agg(F.coalesce(F.max("floor"), F.lit(-1))).first()[0]
 
-    def reset(self, spark: SparkSession, last_batch: int) -> None:
-        """Forget everything up to and including ``last_batch``."""
+    def reset(self, spark: SparkSession, last_batch: int | None = None) -> None:
+        """Forget everything up to and including ``last_batch`` (default: the last one with filings)."""
+        if last_batch is None:
+            last_batch = self.rows(spark).agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
         marker = spark.range(1).select(F.lit(last_batch).cast("long").alias("floor"))
-        marker.coalesce(1).write.mode("append").parquet(self._floors)
+        marker.write.mode("append").parquet(self._floors)
 
     def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame) -> DataFrame:
         """State for a batch: rows of earlier batches above the floor, on the days ``new`` holds.

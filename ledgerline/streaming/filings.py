@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerline import session
+from ledgerline.fixed_values import ROUTES, Route
+from ledgerline.operators.enrich import dropped, enrich, survivors
 from ledgerline.operators.feed import parse_entries
 from ledgerline.operators.records import fresh_across_snapshots
-from ledgerline.plans.filings import deliver
+from ledgerline.operators.route import batch_summary, route_filings, route_messages
 from ledgerline.schemas import FILING_COLUMNS
 from ledgerline.sources.ledger import FilingLedger
 from ledgerline.streaming import jobs
@@ -62,15 +65,22 @@ def start_filing_stream(
     return jobs.start(snapshots, handle, checkpoint, every)
 
 
-def outbox_delivery(spark: SparkSession, links_path: str, outbox: str, **options) -> Delivery:
-    """Delivery that enriches and routes a batch, and writes its messages and dropped filings.
+def outbox_delivery(
+    spark: SparkSession, links_path: str, outbox: str, routes: Sequence[Route] = ROUTES
+) -> Delivery:
+    """Delivery that enriches a batch, and writes its messages, its dropped filings and its summary.
 
-    ``links_path`` is the stored table of page links, read as it is when the batch runs.
+    ``links_path`` is the stored table of page links, read as it is when the batch runs. The enriched
+    filings are stored first; the three outcomes are read from them.
     """
 
     def send(committed: DataFrame, batch_id: int) -> None:
-        batch = deliver(committed.select(*FILING_COLUMNS), spark.read.parquet(links_path), **options)
-        jobs.replace_batch(batch.messages, f"{outbox}/messages", batch_id)
-        jobs.replace_batch(batch.dropped, f"{outbox}/dropped", batch_id)
+        links = spark.read.parquet(links_path)
+        enriched = session.cut(
+            enrich(committed.select(*FILING_COLUMNS), links), "filings", jobs.batch_folder(f"{outbox}/enriched", batch_id)
+        )
+        jobs.replace_batch(route_messages(route_filings(survivors(enriched), routes)), f"{outbox}/messages", batch_id)
+        jobs.replace_batch(dropped(enriched), f"{outbox}/dropped", batch_id)
+        jobs.replace_batch(batch_summary(enriched), f"{outbox}/summary", batch_id)
 
     return send

@@ -24,7 +24,13 @@ def start(
     )
 
 
-def replace_batch(rows: DataFrame, root: str, batch_id: int) -> None:
+def batch_folder(root: str, batch_id: int) -> str:
+    return f"{root}/batch_id={batch_id}"
+
+
+def replace_batch(rows: DataFrame, root: str, batch_id: int, by: str | None = None) -> None:
     """Write a batch's rows to its own folder, in place of whatever an earlier attempt left."""
-    folder = f"{root}/batch_id={batch_id}"
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if by is not None:
+        writer = writer.partitionBy(by)
+    writer.parquet(batch_folder(root, batch_id))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.plans.tagging import TaggedEvents, tag_events
+from ledgerline.plans.tagging import tag_events
 from ledgerline.sources.tables import parse_audit_log
 from ledgerline.streaming import jobs
 
@@ -15,17 +15,17 @@ from ledgerline.streaming import jobs
 Snapshots = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
 
 
-def tag_batch(lines: DataFrame, snapshots: Snapshots, **options) -> TaggedEvents:
-    return tag_events(parse_audit_log(lines), *snapshots(), **options)
-
-
 def start_tagging(
     lines: DataFrame, snapshots: Snapshots, target: str, checkpoint: str, every: str | None = None, **options
 ) -> StreamingQuery:
-    """Write the tag assignments and the failed events of each batch below ``target``."""
+    """Write the tag assignments and the failed events of each batch below ``target``.
+
+    The stored steps of a batch stay in ``target``'s folder ``work``, by batch.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tagged = tag_batch(batch, snapshots, **options)
+        work = jobs.batch_folder(f"{target}/work", batch_id)
+        tagged = tag_events(parse_audit_log(batch), *snapshots(), work=work, **options)
         jobs.replace_batch(tagged.assignments, f"{target}/assignments", batch_id)
         jobs.replace_batch(tagged.errors, f"{target}/errors", batch_id)
 

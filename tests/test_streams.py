@@ -15,7 +15,7 @@ from ledgerline.sources.feed import stream_feed
 from ledgerline.sources.ledger import FilingLedger
 from ledgerline.sources.tables import stream_audit_log
 from ledgerline.streaming.filings import commit_batch, filing_snapshots, outbox_delivery, start_filing_stream
-from ledgerline.streaming.ingest import start_ingest
+from ledgerline.streaming.ingest import ingested, set_aside, start_ingest
 from ledgerline.streaming.tagging import start_tagging
 
 A = ("A", "8-K", "1", "2024-01-01 00:00:00", "u1")
@@ -79,7 +79,7 @@ def test_crash_after_commit_loses_nothing(polls):
 def test_reset(spark, polls):
     polls.land("1", A, B)
     polls.run()
-    polls.ledger.reset(spark, 0)
+    polls.ledger.reset(spark)
     assert polls.ledger.floor(spark) == 0
     polls.land("2", A, C)
     polls.run()
@@ -142,6 +142,9 @@ def test_feed_files_to_messages(spark, folder, tmp_path):
     ]
     dropped = spark.read.parquet(f"{outbox}/dropped").select("companyname", "enrich_status")
     assert bag(dropped) == [("C", "no_link")]
+    summary = spark.read.parquet(f"{outbox}/summary").select("batch_id", "new_filings", "processed", "body")
+    assert bag(summary) == [(0, 3, 2, "Finished downloading for 2 companies."),
+                            (1, 2, 2, "Finished downloading for 2 companies.")]
     assert ledger.rows(spark).count() == 5
 
 
@@ -156,10 +159,11 @@ def test_ingest(spark, folder, tmp_path):
     land("20240101", "a", '[{"cik":"1"},{"cik":"2"}]')
     land("20240102", "b", '[{"cik":"3"}')
     land("20240102", "c", '[{"cik":"4"}]')
-    records = spark.read.parquet(f"{target}/records").select("ymd", "cik", "batch_id")
+    land("20240103", "d", "[]")
+    records = ingested(spark, target).select("ymd", "cik", "batch_id")
     assert bag(records) == [("20240101", "1", 0), ("20240101", "2", 0), ("20240102", "4", 2)]
-    bad = spark.read.parquet(f"{target}/quarantine").select("ymd", "reason", "batch_id")
-    assert bag(bad) == [("20240102", "malformed", 1)]
+    bad = set_aside(spark, target).select("ymd", "reason", "body", "batch_id")
+    assert bag(bad) == [("20240102", "malformed", '[{"cik":"3"}', 1)]
 
 
 def test_tagging(spark, folder, tmp_path):

@@ -243,7 +243,7 @@ def test_a_hot_event_and_a_hot_parent_are_split(spark, folder):
         tables = {name: spark.read.parquet(path) for name, path in paths.items()}
         expanded = ev.expand_resources(tables["resources"], tables["attachments"])
         assert len(expanded.select("resource_id").collect()) == 120_000
-        tagged_rows = tags.tag_assignments(tables["resources"], tables["chosen"])
+        tagged_rows = tags.tag_assignments(tags.tag_sets(tables["resources"], tables["chosen"]))
         assert len(tagged_rows.collect()) == 60_000 * len(TAG_KEYS)
         narrow = expanded.select("event_id", "resource_id")
         narrow.collect()
