@@ -48,6 +48,17 @@ LANDING_PAGE = T.StructType([
     T.StructField("html", T.StringType()),
 ])
 
+NOTIFICATION_REQUEST = T.StructType([
+    T.StructField("to", T.ArrayType(T.StringType())),
+    *strings("companyname", "formtype", "table").fields,
+])
+RENDER_REQUEST = T.StructType([
+    T.StructField("formurl", T.StringType()),
+    T.StructField("options", T.MapType(T.StringType(), T.StringType())),
+    *strings("ticker", "date", "formtype").fields,
+])
+HTML_REQUEST = strings("html")
+
 TAGS = T.ArrayType(strings("Key", "Value"))
 INVENTORY = extend(strings("resource_id", "region"), T.StructField("tags", TAGS))
 ATTACHMENTS = strings("parent_id", "child_id", "kind")

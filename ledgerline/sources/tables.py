@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.once import with_once
 from ledgerline.schemas import AUDIT_EVENT
@@ -14,6 +15,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def read_requests(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Requests kept as JSON lines; fields a request lacks are null."""
+    return spark.read.schema(schema).json(path)
+
+
 def audit_fields(record: Column) -> list[Column]:
     """Flat columns of a parsed audit record; ``detail`` stays nested for the rule table."""
     user = record["detail"]["userIdentity"]

@@ -7,6 +7,22 @@ from pyspark.sql import functions as F
 
 from conftest import bag
 from ledgerline.operators import requests
+from ledgerline.schemas import NOTIFICATION_REQUEST, RENDER_REQUEST
+from ledgerline.sources.tables import read_requests
+
+def test_read_requests(spark, tmp_path):
+    lines = [{"to": ["x@example.com"], "companyname": "A", "formtype": "8-K", "table": "t", "more": 1},
+             {"to": ["x@example.com"], "companyname": "B", "formtype": "8-K"}]
+    (tmp_path / "requests.json").write_text("\n".join(map(json.dumps, lines)))
+    found = read_requests(spark, str(tmp_path), NOTIFICATION_REQUEST)
+    assert [row["recipient"] for row in requests.notification_outbox(found).collect()] == ["x@example.com"]
+    assert [row["companyname"] for row in requests.notification_rejects(found).collect()] == ["B"]
+    (tmp_path / "render").mkdir()
+    (tmp_path / "render" / "r.json").write_text(
+        json.dumps({"formurl": "u", "options": {"page-size": "A4"}, "ticker": "T", "date": "d", "formtype": "10-K"}))
+    wanted = read_requests(spark, str(tmp_path / "render"), RENDER_REQUEST)
+    assert requests.render_manifest(wanted, "https://e", "b").first()["filename"] == "T-10-K-d.pdf"
+
 
 NOTICE = "to array<string>, companyname string, formtype string, `table` string"
 
