@@ -187,16 +187,25 @@ def _link_sql(html: str, tag: str) -> str:
     return f"""'https://www.sec.gov' || regexp_extract({first}, 'href="([^"]*)"', 1)"""
 
 
+def _best_page(found: str) -> str:
+    """One row per address: the best outcome first, then the smallest link."""
+    return f"""
+  select url, outcome, formurl from (
+    select *, row_number() over (partition by url order by outcome <> 'ok', outcome, formurl nulls first) as place
+    from ({found}) found)
+  where place = 1"""
+
+
 def _enriched(filings: str) -> str:
+    found = f"""
+    select url, case when status not in (200, 201, 202) then 'http_error'
+                     when link is null then 'no_link' else 'ok' end as outcome,
+      case when status in (200, 201, 202) then link end as formurl
+    from (select *, {_link_sql('html', 'table')} as link from {for_check(inputs.PAGES)} p)"""
     return f"""
-links as (
-  select url, status, case when status in (200, 201, 202) then {_link_sql('html', 'table')} end as formurl
-  from {for_check(inputs.PAGES)} p
-),
+links as ({_best_page(found)}),
 enriched as (
-  select {_FILING}, formurl,
-    case when url is null then 'no_page' when status not in (200, 201, 202) then 'http_error'
-         when formurl is null then 'no_link' else 'ok' end as enrich_status
+  select {_FILING}, formurl, coalesce(outcome, 'no_page') as enrich_status
   from {filings} f left join links on inter_url = url
 ),
 survivors as (select * from enriched where enrich_status in ('ok', 'http_error')),
@@ -223,7 +232,10 @@ CHECKS = {
     "filing_diff": f"with {_OLD_NEW} select * from fresh",
     "filing_state_after": f"with {_OLD_NEW} select * from old union all select * from fresh",
     "filing_diff_after_reset": f"with {_OLD_NEW} select * from new",
-    "landing_link": f"select url, {_link_sql('html', 'nav')} as formurl from pages",
+    "landing_link": f"""
+        with links as (select url, {_link_sql('html', 'nav')} as formurl from pages)
+        select url, formurl from ({_best_page(
+            "select url, case when formurl is null then 'no_link' else 'ok' end as outcome, formurl from links")})""",
     "landing_enrich": f"{_LANDING} select * from enriched",
     "landing_rejects": f"""
         {_LANDING} select {_FILING}, enrich_status from enriched where enrich_status in ('no_link', 'no_page')""",
