@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -16,11 +16,12 @@ from ledgerline.schemas import FILING_COLUMNS
 
 @dataclass(frozen=True)
 class FilingBatch:
-    """The outcomes of one batch, all lazy."""
+    """The outcomes of one batch, all lazy; ``rejected`` are the unusable entries it came with, if any."""
 
     fresh: DataFrame
     enriched: DataFrame
     routed: DataFrame
+    rejected: DataFrame | None = None
 
     @property
     def messages(self) -> DataFrame:
@@ -50,5 +51,5 @@ def process_entries(
     entries: DataFrame, seen: DataFrame, links: DataFrame, routes: Sequence[Route] = ROUTES
 ) -> FilingBatch:
     """Parse a batch of entries, keep what was not seen, and deliver that."""
-    filings = feed.parse_entries(entries)
-    return deliver(records.fresh_records(filings, seen, FILING_COLUMNS), links, routes)
+    fresh = records.fresh_records(feed.parse_entries(entries), seen, FILING_COLUMNS)
+    return replace(deliver(fresh, links, routes), rejected=feed.rejected_entries(entries))

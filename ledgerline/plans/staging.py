@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import session
 from ledgerline.functions.times import partition_columns
 from ledgerline.operators.conform import conform
 from ledgerline.schemas import STAGED_FILING, STAGED_FILING_STORED, STAGED_PARTITIONS
@@ -35,19 +36,40 @@ def write_days(staged: DataFrame, root: str) -> None:
 
 
 def stage_day(
-    spark: SparkSession, raw_root: str, staged_root: str, day: dt.date | None = None, strict: bool = False
-) -> None:
-    """Stage one day (default: yesterday). Its folder is replaced even if the day turns out empty.
+    spark: SparkSession,
+    raw_root: str,
+    staged_root: str,
+    day: dt.date | None = None,
+    quarantine_root: str | None = None,
+    strict: bool = False,
+) -> dict[str, int]:
+    """Stage one day (default: yesterday) and say how many records and unreadable files it had.
 
-    ``strict`` fails the job on a file that is JSON but not an array of objects.
+    The day's folder is replaced even if the day turns out empty, and so is its folder of unreadable
+    files. The raw files are parsed once, into a stored table that both are written from. ``strict``
+    fails the job on a file that is JSON but not an array of objects.
     """
     day = day or dt.date.today() - dt.timedelta(days=1)
-    parsed = daily_files.parse_files(daily_files.read_files(spark, raw_root, f"{day:%Y%m%d}"))
+    ymd = f"{day:%Y%m%d}"
+    parsed = daily_files.parse_files(daily_files.read_files(spark, raw_root, ymd))
     if strict:
         parsed = daily_files.require_arrays(parsed)
-    rows = conform(daily_files.records(parsed), STAGED_FILING)
-    folder = f"{staged_root}/y={day.year}/m={day.month}/d={day:%Y%m%d}"
-    rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    seen = Observation()
+    is_record = F.col("outcome") == daily_files.RECORDS
+    observed = daily_files.outcomes(parsed).observe(
+        seen, F.count_if(is_record).alias("records"), F.count_if(~is_record).alias("set_aside")
+    )
+    outcomes = session.cut(observed, "staging", by="outcome")
+    _replace(conform(outcomes.filter(is_record), STAGED_FILING).hint("rebalance"),
+             f"{staged_root}/y={day.year}/m={day.month}/d={ymd}")
+    if quarantine_root is not None:
+        bad = outcomes.filter(~is_record).select("source_file", "ymd", "reason", "body")
+        _replace(bad, f"{quarantine_root}/d={ymd}")
+    return seen.get
+
+
+def _replace(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
 
 def read_staged(spark: SparkSession, root: str) -> DataFrame:

@@ -70,13 +70,16 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def cut(df: DataFrame, name: str, folder: str | None = None, by: str | None = None) -> DataFrame:
     """``df`` stored as a table and read back, in the shared folder or below ``folder``.
 
     For results that several later steps read: they are computed once, a lost executor costs no more
     than reading them again, and readers still prune columns and push filters into the scan. A table
-    below ``folder`` takes the place of an earlier one of its name.
+    below ``folder`` takes the place of an earlier one of its name. ``by`` names a column to partition by.
     """
     path = workspace(df.sparkSession, name) if folder is None else f"{folder}/{name}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if by is not None:
+        writer = writer.partitionBy(by)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

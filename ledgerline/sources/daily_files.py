@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.once import with_once
 from ledgerline.functions.payloads import is_json, parse_array
-from ledgerline.schemas import STAGED_FILING
+from ledgerline.schemas import STAGED_FILING, strings
 
 MALFORMED = "malformed"
 WRONG_SHAPE = "not_an_array_of_objects"
@@ -28,10 +29,17 @@ def _whole_files(raw: DataFrame) -> DataFrame:
 def read_files(spark: SparkSession, root: str, ymd: str | None = None, prefix: str = "") -> DataFrame:
     """One row per file, of one day or (default) of every day folder below ``root``.
 
-    ``prefix`` is what the folder names have in front of the day, such as ``ymd=``.
+    ``prefix`` is what the folder names have in front of the day, such as ``ymd=``. A day without a
+    folder has no files.
     """
     folder = f"{root}/{prefix}{ymd or _ANY_DAY}"
-    return _whole_files(spark.read.text(folder, wholetext=True))
+    try:
+        raw = spark.read.text(folder, wholetext=True)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], strings("source_file", "ymd", "body"))
+    return _whole_files(raw)
 
 
 def stream_files(spark: SparkSession, root: str, prefix: str = "", **options: str) -> DataFrame:

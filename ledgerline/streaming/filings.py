@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline import session
 from ledgerline.fixed_values import ROUTES, Route
 from ledgerline.operators.enrich import dropped, enrich, survivors
-from ledgerline.operators.feed import parse_entries
+from ledgerline.operators.feed import parse_entries, rejected_entries
 from ledgerline.operators.records import fresh_across_snapshots
 from ledgerline.operators.route import batch_summary, route_filings, route_messages
 from ledgerline.schemas import FILING_COLUMNS
@@ -31,16 +31,13 @@ def commit_batch(ledger: FilingLedger, snapshots: DataFrame, batch_id: int) -> D
     """Find a batch's new filings, commit them to the ledger, and return them as committed.
 
     The commit is the only step that decides what is new. Done again for the same batch it sees the same
-    state, as a batch's own rows do not count, and replaces them by equal ones.
+    state, as a batch's own rows do not count, and replaces them by equal ones. ``snapshots`` is read
+    twice, for its days and for the comparison.
     """
     spark = snapshots.sparkSession
     ledger.ensure(spark)
-    snapshots = snapshots.persist()
-    try:
-        seen = ledger.seen_before(spark, batch_id, snapshots)
-        ledger.commit(fresh_across_snapshots(snapshots, seen, FILING_COLUMNS), batch_id)
-    finally:
-        snapshots.unpersist()
+    seen = ledger.seen_before(spark, batch_id, snapshots)
+    ledger.commit(fresh_across_snapshots(snapshots, seen, FILING_COLUMNS), batch_id)
     return ledger.batch(spark, batch_id)
 
 
@@ -58,13 +55,34 @@ def start_filing_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        committed = commit_batch(ledger, batch, batch_id)
+        with jobs.kept(batch):
+            committed = commit_batch(ledger, batch, batch_id)
         if on_committed is not None:
             on_committed(committed, batch_id)
 
     return jobs.start(snapshots, handle, checkpoint, every)
 
 
+def start_feed_stream(
+    entries: DataFrame,
+    ledger: FilingLedger,
+    rejects: str,
+    checkpoint: str,
+    on_committed: Delivery | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """The same from raw feed entries; the unusable ones are written below ``rejects``, by batch."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with jobs.kept(batch):
+            jobs.replace_batch(rejected_entries(batch), rejects, batch_id)
+            committed = commit_batch(ledger, filing_snapshots(batch), batch_id)
+        if on_committed is not None:
+            on_committed(committed, batch_id)
+
+    return jobs.start(entries, handle, checkpoint, every)
+
+
 def outbox_delivery(
     spark: SparkSession, links_path: str, outbox: str, routes: Sequence[Route] = ROUTES
 ) -> Delivery:

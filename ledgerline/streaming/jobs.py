@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +25,16 @@ def start(
     )
 
 
+@contextlib.contextmanager
+def kept(batch: DataFrame) -> Iterator[None]:
+    """Keep a batch's parsed rows while several steps read them; a lost part is read and parsed again."""
+    batch.persist()
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 def batch_folder(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 

@@ -18,7 +18,7 @@ Snapshots = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
 def start_tagging(
     lines: DataFrame, snapshots: Snapshots, target: str, checkpoint: str, every: str | None = None, **options
 ) -> StreamingQuery:
-    """Write the tag assignments and the failed events of each batch below ``target``.
+    """Write each batch's tag assignments, failed events and unsupported events below ``target``.
 
     The stored steps of a batch stay in ``target``'s folder ``work``, by batch.
     """
@@ -28,5 +28,6 @@ def start_tagging(
         tagged = tag_events(parse_audit_log(batch), *snapshots(), work=work, **options)
         jobs.replace_batch(tagged.assignments, f"{target}/assignments", batch_id)
         jobs.replace_batch(tagged.errors, f"{target}/errors", batch_id)
+        jobs.replace_batch(tagged.unsupported, f"{target}/unsupported", batch_id)
 
     return jobs.start(lines, handle, checkpoint, every)

@@ -78,13 +78,16 @@ def test_one_day_or_all(spark, tmp_path):
 
 def test_stage_day_is_repeatable(spark, tmp_path, folder):
     land(tmp_path, "20190222", FILES)
-    target, day = folder("staged"), dt.date(2019, 2, 22)
-    staging.stage_day(spark, str(tmp_path), target, day)
+    target, bad, day = folder("staged"), folder("bad"), dt.date(2019, 2, 22)
+    said = staging.stage_day(spark, str(tmp_path), target, day, bad)
+    assert said == {"records": 3, "set_aside": len(BAD)}
     first = bag(staging.read_staged(spark, target))
-    staging.stage_day(spark, str(tmp_path), target, day)
+    assert staging.stage_day(spark, str(tmp_path), target, day, bad) == said
     assert bag(staging.read_staged(spark, target)) == first
     assert {row[-3:] for row in first} == {(2019, 2, 20190222)}
     assert os.path.isdir(f"{target}/y=2019/m=2/d=20190222")
+    reasons = spark.read.parquet(bad).select("reason", "d").groupBy("reason", "d").count()
+    assert bag(reasons) == [("malformed", 20190222, 1), ("not_an_array_of_objects", 20190222, len(BAD) - 1)]
 
 
 def test_stage_day_that_becomes_empty(spark, tmp_path, folder):
@@ -92,7 +95,13 @@ def test_stage_day_that_becomes_empty(spark, tmp_path, folder):
     land(tmp_path / "one", "20190222", {"a": '[{"cik":"1"}]'})
     staging.stage_day(spark, str(tmp_path / "one"), target, day)
     land(tmp_path / "two", "20190222", {"a": FILES["truncated"]})
-    staging.stage_day(spark, str(tmp_path / "two"), target, day)
+    assert staging.stage_day(spark, str(tmp_path / "two"), target, day) == {"records": 0, "set_aside": 1}
+    assert staging.read_staged(spark, target).count() == 0
+
+
+def test_stage_day_without_files(spark, tmp_path, folder):
+    target = folder("staged")
+    assert staging.stage_day(spark, str(tmp_path), target) == {"records": 0, "set_aside": 0}
     assert staging.read_staged(spark, target).count() == 0
 
 

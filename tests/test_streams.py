@@ -14,7 +14,7 @@ from ledgerline.sources.daily_files import stream_files
 from ledgerline.sources.feed import stream_feed
 from ledgerline.sources.ledger import FilingLedger
 from ledgerline.sources.tables import stream_audit_log
-from ledgerline.streaming.filings import commit_batch, filing_snapshots, outbox_delivery, start_filing_stream
+from ledgerline.streaming.filings import commit_batch, outbox_delivery, start_feed_stream, start_filing_stream
 from ledgerline.streaming.ingest import ingested, set_aside, start_ingest
 from ledgerline.streaming.tagging import start_tagging
 
@@ -126,12 +126,13 @@ def test_feed_files_to_messages(spark, folder, tmp_path):
 
     def poll(name, *entries):
         (landing / f"{name}.xml").write_text(FEED.format("".join(ENTRY.format(*entry) for entry in entries)))
-        stream = filing_snapshots(stream_feed(spark, str(landing)))
-        start_filing_stream(stream, ledger, checkpoint, outbox_delivery(spark, links, outbox)).awaitTermination()
+        deliver = outbox_delivery(spark, links, outbox)
+        stream = stream_feed(spark, str(landing))
+        start_feed_stream(stream, ledger, f"{outbox}/rejects", checkpoint, deliver).awaitTermination()
 
     first = [("8-K", "A", 1, "u1", 1, "e1"), ("10-K", "B", 2, "u2", 2, "e2"), ("8-K", "C", 3, "u3", 3, "e3")]
     poll("one", *first)
-    poll("two", *first, ("8-K", "D", 4, "u4", 4, "e4"), ("8-K/A", "E", 5, "u1", 5, "e5"))
+    poll("two", *first, ("8-K", "D", 4, "u4", 4, "e4"), ("8-K/A", "E", 5, "u1", 5, "e5"), ("x", "F", 6, "u", "x", "e6"))
     messages = spark.read.parquet(f"{outbox}/messages").orderBy("batch_id", "route").collect()
     got = [(row["batch_id"], row["route"], [(r["companyname"], r["formurl"]) for r in json.loads(row["body"])])
            for row in messages]
@@ -142,6 +143,8 @@ def test_feed_files_to_messages(spark, folder, tmp_path):
     ]
     dropped = spark.read.parquet(f"{outbox}/dropped").select("companyname", "enrich_status")
     assert bag(dropped) == [("C", "no_link")]
+    rejects = spark.read.parquet(f"{outbox}/rejects").select("batch_id", "entry_id", "reason")
+    assert bag(rejects) == [(1, "e6", "bad_time")]
     summary = spark.read.parquet(f"{outbox}/summary").select("batch_id", "new_filings", "processed", "body")
     assert bag(summary) == [(0, 3, 2, "Finished downloading for 2 companies."),
                             (1, 2, 2, "Finished downloading for 2 companies.")]
@@ -186,4 +189,5 @@ def test_tagging(spark, folder, tmp_path):
     rows = spark.read.parquet(f"{target}/assignments").filter("key = 'Provisioned_By'")
     assert bag(rows.select("resource_id", "value")) == [("v0", "u"), ("v1", "u")]
     assert bag(spark.read.parquet(f"{target}/errors").select("event_id", "error")) == [("2", "no_resource")]
+    assert spark.read.parquet(f"{target}/unsupported").count() == 0
     assert rows.select(F.count("*")).first()[0] == 2
