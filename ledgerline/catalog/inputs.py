@@ -218,13 +218,17 @@ where resource_id is not null
 # What is attached to what: volumes and interfaces to instances, snapshots to images, instances to spot
 # requests.
 ATTACHMENTS = f"""
-select distinct
-  case l_linenumber % 4 when 0 then 'sir-' when 3 then 'ami-' else 'i-' end || {_text('l_orderkey')} as parent_id,
-  case l_linenumber % 4 when 0 then 'i-' || {_text('l_orderkey')}
-       else case l_linenumber % 4 when 1 then 'vol-' when 2 then 'eni-' else 'snap-' end
-         || {_text('l_orderkey')} || '-' || {_text('l_partkey')} end as child_id,
-  case l_linenumber % 4 when 0 then 'spot' when 1 then 'volume' when 2 then 'interface' else 'snapshot' end as kind
-from <lineitem>
+select
+  case slot when 0 then 'sir-' when 3 then 'ami-' else 'i-' end || {_text('l_orderkey')} as parent_id,
+  case slot when 0 then 'i-' || {_text('l_orderkey')}
+            else case slot when 1 then 'vol-' when 2 then 'eni-' else 'snap-' end
+              || {_text('l_orderkey')} || '-' || {_text('part')} end as child_id,
+  case slot when 0 then 'spot' when 1 then 'volume' when 2 then 'interface' else 'snapshot' end as kind
+from (
+  select distinct l_orderkey, l_linenumber % 4 as slot,
+    case when l_linenumber % 4 = 0 then null else l_partkey end as part
+  from <lineitem>
+) attached
 """
 
 # Notification requests; recipients are comma-separated here and missing for some.

@@ -30,6 +30,7 @@ FILING_ENRICHED = strings(*FILING_ENRICHED_COLUMNS)
 LEDGER = extend(
     FILING,
     T.StructField("snapshot_id", T.StringType()),
+    T.StructField("epoch", T.LongType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("day", T.StringType()),
 )

@@ -1,8 +1,10 @@
 """The ledger of filings already seen: state and output of the feed in one table.
 
-``filings/batch_id=N/day=D/`` holds what batch N found. A batch is written by replacing its own folder,
-so writing it again after a crash changes nothing; no other write decides what counts as seen. Reset
-raises a floor below which batches no longer count; nothing is deleted.
+``filings/epoch=E/batch_id=N/day=D/`` holds what batch N found. A batch is written by replacing its own
+folder, so writing it again after a crash changes nothing; no other write decides what counts as seen.
+
+A reset begins a new epoch, named after the last batch before it, and deletes nothing. State is the
+current epoch alone, so neither reading nor listing it grows with what came before.
 
 ``day`` is the calendar day of a filing's ``date``. As ``date`` takes part in record equality, a batch
 can only meet equal records on its own days, so the read prunes all other days.
@@ -12,18 +14,32 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.schemas import FILING_COLUMNS, LEDGER
 
-_FLOOR_SCHEMA = "floor long"
+_EPOCH_SCHEMA = "epoch long"
+_FIRST_EPOCH = -1
+_DAYS_BY_NAME = 1_000
 
 
 def filing_day(date: Column) -> Column:
     return F.substring(date, 1, 10)
 
 
+def _on_days_of(new: DataFrame) -> Column:
+    """A partition filter for the days a batch holds: by name or, if they are very many, as a range."""
+    days = new.select(filing_day(F.col("date")).alias("day"))
+    some = [row["day"] for row in days.filter("day is not null").distinct().limit(_DAYS_BY_NAME + 1).collect()]
+    if len(some) <= _DAYS_BY_NAME:
+        held = F.col("day").isin(some)
+    else:
+        held = F.col("day").between(*[F.lit(day) for day in days.agg(F.min("day"), F.max("day")).first()])
+    return F.col("day").isNull() | held
+
+
 @dataclass(frozen=True)
 class FilingLedger:
     root: str
@@ -33,47 +49,47 @@ class FilingLedger:
         return f"{self.root}/filings"
 
     @property
-    def _floors(self) -> str:
-        return f"{self.root}/floor"
+    def _epochs(self) -> str:
+        return f"{self.root}/epochs"
+
+    def _batch_folder(self, epoch: int, batch_id: int) -> str:
+        return f"{self._filings}/epoch={epoch}/batch_id={batch_id}"
+
+    def _read(self, spark: SparkSession, path: str) -> DataFrame:
+        try:
+            return spark.read.schema(LEDGER).option("basePath", self._filings).parquet(path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], LEDGER)
 
     def ensure(self, spark: SparkSession) -> FilingLedger:
         """Create the empty ledger if there is none."""
-        empty = spark.createDataFrame([], LEDGER)
-        empty.write.mode("ignore").partitionBy("batch_id", "day").parquet(self._filings)
-        spark.createDataFrame([], _FLOOR_SCHEMA).write.mode("ignore").parquet(self._floors)
+        spark.createDataFrame([], _EPOCH_SCHEMA).write.mode("ignore").parquet(self._epochs)
         return self
 
+    def epoch(self, spark: SparkSession, batch_id: int) -> int:
+        """The epoch a batch belongs to; a reset after the batch does not change it."""
+        begun = spark.read.schema(_EPOCH_SCHEMA).parquet(self._epochs).filter(F.col("epoch") < batch_id)
+        return begun.agg(F.coalesce(F.max("epoch"), F.lit(_FIRST_EPOCH))).first()[0]
+
     def rows(self, spark: SparkSession) -> DataFrame:
-        """All rows ever written, whether or not they still count as seen."""
-        return spark.read.schema(LEDGER).parquet(self._filings)
+        """All filings ever found, whether or not they still count as seen."""
+        return self._read(spark, self._filings)
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The filings found by one batch."""
-        return self.rows(spark).filter(F.col("batch_id") == batch_id)
-
-    def floor(self, spark: SparkSession) -> int:
-        """The last batch that no longer counts; -1 before the first reset."""
-        floors = spark.read.schema(_FLOOR_SCHEMA).parquet(self._floors)
-        return floors.agg(F.coalesce(F.max("floor"), F.lit(-1))).first()[0]
+        return self._read(spark, self._batch_folder(self.epoch(spark, batch_id), batch_id))
 
-    def reset(self, spark: SparkSession, last_batch: int | None = None) -> None:
-        """Forget everything up to and including ``last_batch`` (default: the last one with filings)."""
-        if last_batch is None:
-            last_batch = self.rows(spark).agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
-        marker = spark.range(1).select(F.lit(last_batch).cast("long").alias("floor"))
-        marker.write.mode("append").parquet(self._floors)
+    def reset(self, spark: SparkSession) -> None:
+        """Forget everything found so far. To be called between batches."""
+        last = self.rows(spark).agg(F.max("batch_id").alias("epoch")).filter("epoch is not null")
+        last.write.mode("append").parquet(self._epochs)
 
     def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame) -> DataFrame:
-        """State for a batch: rows of earlier batches above the floor, on the days ``new`` holds.
-
-        Only the first and last day come to the driver, to become a partition filter.
-        """
-        day = filing_day(F.col("date"))
-        first, last = new.agg(F.min(day), F.max(day)).first()
-        counts = (F.col("batch_id") > self.floor(spark)) & (F.col("batch_id") < batch_id)
-        return self.rows(spark).filter(counts).filter(
-            F.col("day").isNull() | F.col("day").between(F.lit(first), F.lit(last))
-        )
+        """State for a batch: earlier batches of its epoch, on the days that ``new`` holds."""
+        epoch = self._read(spark, f"{self._filings}/epoch={self.epoch(spark, batch_id)}")
+        return epoch.filter(F.col("batch_id") < batch_id).filter(_on_days_of(new))
 
     def commit(self, found: DataFrame, batch_id: int) -> None:
         """Write a batch's filings in place of whatever an earlier attempt left.
@@ -86,5 +102,5 @@ class FilingLedger:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("day")
-            .parquet(f"{self._filings}/batch_id={batch_id}")
+            .parquet(self._batch_folder(self.epoch(found.sparkSession, batch_id), batch_id))
         )

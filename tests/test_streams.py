@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from conftest import bag
+from conftest import bag, executed_plan
 from ledgerline.operators.enrich import page_links
 from ledgerline.schemas import FILING, FILING_COLUMNS, extend, strings
 from ledgerline.sources.daily_files import stream_files
@@ -77,25 +77,48 @@ def test_crash_after_commit_loses_nothing(polls):
 
 
 def test_reset(spark, polls):
+    polls.ledger.reset(spark)
+    assert polls.ledger.epoch(spark, 0) == -1
     polls.land("1", A, B)
     polls.run()
     polls.ledger.reset(spark)
-    assert polls.ledger.floor(spark) == 0
+    assert [polls.ledger.epoch(spark, batch) for batch in (0, 1, 2)] == [-1, 0, 0]
     polls.land("2", A, C)
     polls.run()
     assert polls.found() == [("A", "1", 0), ("A", "2", 1), ("B", "1", 0), ("C", "2", 1)]
     polls.land("3", A, B)
     polls.run()
-    assert polls.found()[-1] == ("C", "2", 1) and ("B", "3", 2) in polls.found() and len(polls.found()) == 5
+    assert len(polls.found()) == 5 and ("B", "3", 2) in polls.found()
+    assert bag(polls.ledger.batch(spark, 0).select("companyname")) == [("A",), ("B",)]
 
 
-def test_state_is_read_for_the_days_at_hand(spark, polls):
-    polls.land("1", A, B, C)
+def test_replay_after_a_reset_stays_in_its_epoch(spark, folder):
+    ledger = FilingLedger(folder("ledger"))
+    rows = spark.createDataFrame([(*A, "1")], SNAPSHOTS)
+    commit_batch(ledger, rows, 0)
+    ledger.reset(spark)
+    assert commit_batch(ledger, rows, 0).count() == 1
+    assert ledger.rows(spark).count() == 1
+    assert commit_batch(ledger, rows, 1).count() == 1
+    again = spark.createDataFrame([(*A, "2")], SNAPSHOTS)
+    assert commit_batch(ledger, again, 2).count() == 0
+
+
+def test_state_is_read_for_the_days_at_hand(spark, polls, monkeypatch):
+    late = ("L", "8-K", "9", "2024-01-09 00:00:00", "u9")
+    polls.land("1", A, B, C, late)
     polls.run()
-    new = spark.createDataFrame([A], FILING)
+    new = spark.createDataFrame([A, late], FILING)
+    seen = polls.ledger.seen_before(spark, 1, new)
+    assert bag(seen.select("companyname")) == [("A",), ("C",), ("L",)]
+    filters = executed_plan(seen).split("PartitionFilters: [")[1]
+    assert "batch_id" in filters and "IN (2024-01-01" in filters
+    # Beyond a number of days their range is used, which holds the same records and maybe more.
+    monkeypatch.setattr("ledgerline.sources.ledger._DAYS_BY_NAME", 1)
     seen = polls.ledger.seen_before(spark, 1, new)
-    assert bag(seen.select("companyname")) == [("A",), ("C",)]
-    assert "PartitionFilters: [isnotnull(batch_id" in seen._jdf.queryExecution().executedPlan().toString()
+    assert bag(seen.select("companyname")) == [("A",), ("B",), ("C",), ("L",)]
+    only_null = polls.ledger.seen_before(spark, 1, spark.createDataFrame([C], FILING))
+    assert bag(only_null.select("companyname")) == [("C",)]
 
 
 def test_an_empty_replay_replaces_the_batch(spark, folder):
