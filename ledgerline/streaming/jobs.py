@@ -5,9 +5,26 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+_ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+@contextlib.contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Run a batch's queries adaptively, as any other batch query.
+
+    A stream's session has adaptive execution switched off, for the stream's own plan. What a batch is
+    compared and joined with needs it: it splits hot keys, and rebalancing is part of it.
+    """
+    before = spark.conf.get(_ADAPTIVE)
+    spark.conf.set(_ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADAPTIVE, before)
+
 
 def start(
     stream: DataFrame,
@@ -17,8 +34,13 @@ def start(
 ) -> StreamingQuery:
     """Hand every micro-batch to ``handle``; without ``every`` stop once all landed files are done."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            handle(batch, batch_id)
+
     return (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -14,6 +14,7 @@ from ledgerline.sources.daily_files import stream_files
 from ledgerline.sources.feed import stream_feed
 from ledgerline.sources.ledger import FilingLedger
 from ledgerline.sources.tables import stream_audit_log
+from ledgerline.streaming import jobs
 from ledgerline.streaming.filings import commit_batch, outbox_delivery, start_feed_stream, start_filing_stream
 from ledgerline.streaming.ingest import ingested, set_aside, start_ingest
 from ledgerline.streaming.tagging import start_tagging
@@ -214,3 +215,28 @@ def test_tagging(spark, folder, tmp_path):
     assert bag(spark.read.parquet(f"{target}/errors").select("event_id", "error")) == [("2", "no_resource")]
     assert spark.read.parquet(f"{target}/unsupported").count() == 0
     assert rows.select(F.count("*")).first()[0] == 2
+
+
+def test_batches_run_adaptively(spark, folder, tmp_path):
+    """A stream's session has adaptive execution off; what a batch does must not."""
+    (tmp_path / "lines").write_text("a\nb\na")
+    met = []
+
+    def handle(batch, batch_id):
+        counted = batch.groupBy("value").count()
+        met.append((len(counted.collect()), "AdaptiveSparkPlan" in executed_plan(counted)))
+
+    jobs.start(spark.readStream.text(str(tmp_path)), handle, folder("checkpoint")).awaitTermination()
+    assert met == [(2, True)]
+
+
+def test_a_hot_record_in_a_stream_is_kept_whole(spark, folder, tmp_path):
+    """One record makes up nearly all of a poll; the ledger holds every copy."""
+    copies = 120_000
+    rows = spark.range(copies).select(*[F.lit(value).alias(name) for name, value in zip(FILING_COLUMNS, A)])
+    landing, ledger = folder("polls"), FilingLedger(folder("ledger")).ensure(spark)
+    rows.unionByName(spark.createDataFrame([B], FILING)).write.json(f"{landing}/snapshot_id=1")
+    stream = spark.readStream.schema(SNAPSHOTS).json(landing)
+    start_filing_stream(stream, ledger, folder("checkpoint")).awaitTermination()
+    found = ledger.batch(spark, 0)
+    assert bag(found.groupBy("companyname").count()) == [("A", copies), ("B", 1)]
