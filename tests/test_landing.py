@@ -43,14 +43,14 @@ class Links(HTMLParser):
 
     def __init__(self, page):
         super().__init__()
-        self.depth, self.anchor, self.found = 0, None, None
+        self.depth, self.over, self.anchor, self.found = 0, False, None, None
         self.feed(page)
 
     def handle_starttag(self, tag, attrs):
         named = dict(attrs)
-        if tag == "table":
+        if tag == "table" and not self.over:
             fits = "tableFile" in (named.get("class") or "").split() and named.get("summary") == "Document Format Files"
-            if self.depth or (self.found is None and self.depth == 0 and fits):
+            if self.depth > 0 or fits:
                 self.depth += 1
         elif tag == "a" and self.depth > 0:
             self.anchor = [named.get("href"), ""]
@@ -66,8 +66,7 @@ class Links(HTMLParser):
             self.anchor = None
         elif tag == "table" and self.depth > 0:
             self.depth -= 1
-            if self.depth == 0:
-                self.depth = -1
+            self.over = self.depth == 0
 
     @property
     def link(self):
