@@ -30,6 +30,13 @@ def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.entity_lookup(derive(spark, sf_dir, inputs.ENTITY_MASTER))
 
 
+def entry_polls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The filings of an early poll and of a later one that holds them again."""
+    entries = _entries(spark, sf_dir)
+    early = entries.filter(F.col("landed") < _before(_SEEN_UNTIL))
+    return feed.parse_entries(early), feed.parse_entries(entries)
+
+
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, inputs.ENTRIES)
 
@@ -106,20 +113,22 @@ def route_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landing_batch(spark, sf_dir).routed.select("route", "title", *FILING_ENRICHED_COLUMNS)
 
 
-def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records inside the messages, read back from the message bodies."""
-    messages = _landing_batch(spark, sf_dir).messages
+def message_records(messages: DataFrame) -> DataFrame:
+    """The records inside messages, read back from their bodies."""
     schema = "array<struct<" + ",".join(f"{name}:string" for name in FILING_ENRICHED_COLUMNS) + ">>"
     parsed = messages.select("route", "title", "n_records", F.from_json("body", schema).alias("records"))
     whole = parsed.filter(F.size("records") == F.col("n_records"))
     return whole.select("route", "title", F.inline("records"))
 
 
+def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return message_records(_landing_batch(spark, sf_dir).messages)
+
+
 def new_filings_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way of a batch: parse, compare with what was seen, enrich, route."""
-    entries = _entries(spark, sf_dir)
-    seen = feed.parse_entries(entries.filter(F.col("landed") < _before(_SEEN_UNTIL)))
-    batch = process_entries(entries, seen, _links(spark, sf_dir))
+    seen, _ = entry_polls(spark, sf_dir)
+    batch = process_entries(_entries(spark, sf_dir), seen, _links(spark, sf_dir))
     return batch.routed.select("route", "title", *FILING_ENRICHED_COLUMNS)
 
 
@@ -216,6 +225,12 @@ routed as (
 )"""
 
 
+_UNSEEN = f"""
+unseen as (
+  select * from parsed n where not exists (
+    select 1 from parsed o where o.landed < timestamp '{_SEEN_UNTIL}' and {_same('o', 'n')})
+)"""
+
 _LANDING = f"with {_enriched(for_check(inputs.LANDING_FILINGS))}"
 
 CHECKS = {
@@ -249,10 +264,14 @@ CHECKS = {
     "route_filings": f"{_LANDING} select * from routed",
     "route_messages": f"{_LANDING} select * from routed",
     "new_filings_routed": f"""
-        with {_JUDGED},
-        unseen as (
-          select * from parsed n where not exists (
-            select 1 from parsed o where o.landed < timestamp '{_SEEN_UNTIL}' and {_same('o', 'n')})
-        ), {_enriched('unseen')}
-        select * from routed""",
+        with {_JUDGED}, {_UNSEEN}, {_enriched('unseen')} select * from routed""",
 }
+
+# Both polls, one after the other: all of the early one, and what the later one adds.
+POLLED_MESSAGES = f"""
+    with {_JUDGED}, {_UNSEEN},
+    polled as (
+      select {_FILING} from parsed where landed < timestamp '{_SEEN_UNTIL}'
+      union all select {_FILING} from unseen
+    ), {_enriched('polled')}
+    select * from routed"""

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ledgerline import session
 from ledgerline.catalog import inputs
+from ledgerline.catalog.filing_queries import POLLED_MESSAGES, entry_polls, message_records
 from ledgerline.catalog.inputs import derive, for_check
-from ledgerline.schemas import FILING_COLUMNS, FILING, extend, strings
+from ledgerline.operators.enrich import page_links
+from ledgerline.schemas import FILING, FILING_COLUMNS, extend, strings
 from ledgerline.sources.ledger import FilingLedger
-from ledgerline.streaming.filings import Delivery, start_filing_stream
+from ledgerline.streaming.filings import Delivery, outbox_delivery, start_filing_stream
 
 # Three polls whose filings overlap; the first two arrive together.
 _SNAPSHOTS = {
@@ -74,7 +76,22 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.found()
 
 
-QUERIES = {"stream_filing_diff": stream_filing_diff, "stream_replay": stream_replay}
+def stream_filing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polls through the ledger, enrichment and routing; the records of all messages."""
+    stream, outbox, links = _Feed(spark, "messages"), session.workspace(spark, "outbox"), session.workspace(spark, "links")
+    page_links(derive(spark, sf_dir, inputs.PAGES)).write.parquet(links)
+    for name, poll in zip(("s1", "s2"), entry_polls(spark, sf_dir)):
+        poll.write.json(f"{stream.landing}/snapshot_id={name}")
+        stream.run(outbox_delivery(spark, links, outbox))
+    messages = spark.read.schema("route string, title string, n_records int, body string, batch_id long")
+    return message_records(messages.parquet(f"{outbox}/messages"))
+
+
+QUERIES = {
+    "stream_filing_diff": stream_filing_diff,
+    "stream_replay": stream_replay,
+    "stream_filing_messages": stream_filing_messages,
+}
 
 _FILING = ", ".join(FILING_COLUMNS)
 _POLLS = " union all ".join(
@@ -88,4 +105,4 @@ _FOUND = f"""
     select cast(case when snapshot_id = 's3' then 1 else 0 end as bigint) as batch_id, snapshot_id, {_FILING}
     from ranked where snapshot_id = first_seen"""
 
-CHECKS = {"stream_filing_diff": _FOUND, "stream_replay": _FOUND}
+CHECKS = {"stream_filing_diff": _FOUND, "stream_replay": _FOUND, "stream_filing_messages": POLLED_MESSAGES}
