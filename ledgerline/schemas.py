@@ -32,7 +32,7 @@ LEDGER = extend(
     T.StructField("snapshot_id", T.StringType()),
     T.StructField("epoch", T.LongType()),
     T.StructField("batch_id", T.LongType()),
-    T.StructField("day", T.StringType()),
+    T.StructField("month", T.StringType()),
 )
 
 # Daily crawl records, in the declared order of the staged dataset.

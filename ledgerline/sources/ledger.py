@@ -1,13 +1,14 @@
 """The ledger of filings already seen: state and output of the feed in one table.
 
-``filings/epoch=E/batch_id=N/day=D/`` holds what batch N found. A batch is written by replacing its own
+``filings/epoch=E/batch_id=N/month=M/`` holds what batch N found. A batch is written by replacing its own
 folder, so writing it again after a crash changes nothing; no other write decides what counts as seen.
 
 A reset begins a new epoch, named after the last batch before it, and deletes nothing. State is the
 current epoch alone, so neither reading nor listing it grows with what came before.
 
-``day`` is the calendar day of a filing's ``date``. As ``date`` takes part in record equality, a batch
-can only meet equal records on its own days, so the read prunes all other days.
+``month`` is the calendar month of a filing's ``date``. As ``date`` takes part in record equality, a batch
+can only meet equal records in its own months and between its first and last date. The months prune
+folders, the dates prune row groups, which are sorted by date.
 """
 
 from __future__ import annotations
@@ -22,22 +23,29 @@ from ledgerline.schemas import FILING_COLUMNS, LEDGER
 
 _EPOCH_SCHEMA = "epoch long"
 _FIRST_EPOCH = -1
-_DAYS_BY_NAME = 1_000
+_MONTHS_BY_NAME = 1_000
 
 
-def filing_day(date: Column) -> Column:
-    return F.substring(date, 1, 10)
+def filing_month(date: Column) -> Column:
+    return F.substring(date, 1, 7)
 
 
-def _on_days_of(new: DataFrame) -> Column:
-    """A partition filter for the days a batch holds: by name or, if they are very many, as a range."""
-    days = new.select(filing_day(F.col("date")).alias("day"))
-    some = [row["day"] for row in days.filter("day is not null").distinct().limit(_DAYS_BY_NAME + 1).collect()]
-    if len(some) <= _DAYS_BY_NAME:
-        held = F.col("day").isin(some)
-    else:
-        held = F.col("day").between(*[F.lit(day) for day in days.agg(F.min("day"), F.max("day")).first()])
-    return F.col("day").isNull() | held
+def _where_new_may_be(new: DataFrame) -> Column:
+    """A filter for the months and dates a batch holds; nulls, which equal each other, always pass.
+
+    One row per month comes to the driver. Should there be very many, only the range of dates counts.
+    """
+    per_month = new.filter("date is not null").groupBy(filing_month(F.col("date")).alias("month")).agg(
+        F.min("date").alias("first"), F.max("date").alias("last"))
+    held = per_month.limit(_MONTHS_BY_NAME + 1).collect()
+    if len(held) > _MONTHS_BY_NAME:
+        first, last = per_month.agg(F.min("first"), F.max("last")).first()
+        return F.col("date").isNull() | F.col("date").between(first, last)
+    if not held:
+        return F.col("month").isNull()
+    months = [row["month"] for row in held]
+    dates = F.col("date").between(min(row["first"] for row in held), max(row["last"] for row in held))
+    return (F.col("month").isNull() | F.col("month").isin(months)) & (F.col("date").isNull() | dates)
 
 
 @dataclass(frozen=True)
@@ -87,20 +95,21 @@ class FilingLedger:
         last.write.mode("append").parquet(self._epochs)
 
     def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame) -> DataFrame:
-        """State for a batch: earlier batches of its epoch, on the days that ``new`` holds."""
+        """State for a batch: earlier batches of its epoch, where ``new`` may have equals."""
         epoch = self._read(spark, f"{self._filings}/epoch={self.epoch(spark, batch_id)}")
-        return epoch.filter(F.col("batch_id") < batch_id).filter(_on_days_of(new))
+        return epoch.filter(F.col("batch_id") < batch_id).filter(_where_new_may_be(new))
 
     def commit(self, found: DataFrame, batch_id: int) -> None:
         """Write a batch's filings in place of whatever an earlier attempt left.
 
-        An empty batch writes no rows. The rebalance keeps files large and splits a day that is hot.
+        An empty batch writes no rows. The rebalance keeps files large and splits a month that is hot.
         """
-        shaped = found.select(*FILING_COLUMNS, "snapshot_id").withColumn("day", filing_day(F.col("date")))
+        shaped = found.select(*FILING_COLUMNS, "snapshot_id").withColumn("month", filing_month(F.col("date")))
         (
-            shaped.hint("rebalance", "day")
+            shaped.hint("rebalance", "month")
+            .sortWithinPartitions("month", "date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy("day")
+            .partitionBy("month")
             .parquet(self._batch_folder(self.epoch(found.sparkSession, batch_id), batch_id))
         )

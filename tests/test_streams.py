@@ -105,21 +105,25 @@ def test_replay_after_a_reset_stays_in_its_epoch(spark, folder):
     assert commit_batch(ledger, again, 2).count() == 0
 
 
-def test_state_is_read_for_the_days_at_hand(spark, polls, monkeypatch):
-    late = ("L", "8-K", "9", "2024-01-09 00:00:00", "u9")
-    polls.land("1", A, B, C, late)
+def test_state_is_read_where_equals_may_be(spark, polls, monkeypatch):
+    late = ("L", "8-K", "9", "2024-03-09 00:00:00", "u9")
+    between = ("M", "8-K", "9", "2024-02-09 00:00:00", "u9")
+    early = ("E", "8-K", "9", "2023-12-31 00:00:00", "u9")
+    polls.land("1", A, B, C, late, between, early)
     polls.run()
-    new = spark.createDataFrame([A, late], FILING)
-    seen = polls.ledger.seen_before(spark, 1, new)
-    assert bag(seen.select("companyname")) == [("A",), ("C",), ("L",)]
-    filters = executed_plan(seen).split("PartitionFilters: [")[1]
-    assert "batch_id" in filters and "IN (2024-01-01" in filters
-    # Beyond a number of days their range is used, which holds the same records and maybe more.
-    monkeypatch.setattr("ledgerline.sources.ledger._DAYS_BY_NAME", 1)
-    seen = polls.ledger.seen_before(spark, 1, new)
-    assert bag(seen.select("companyname")) == [("A",), ("B",), ("C",), ("L",)]
-    only_null = polls.ledger.seen_before(spark, 1, spark.createDataFrame([C], FILING))
-    assert bag(only_null.select("companyname")) == [("C",)]
+
+    def seen(*new):
+        return polls.ledger.seen_before(spark, 1, spark.createDataFrame(list(new), FILING))
+
+    assert bag(seen(A).select("companyname")) == [("A",), ("C",)]
+    assert bag(seen(A, late).select("companyname")) == [("A",), ("B",), ("C",), ("L",)]
+    assert bag(seen(C).select("companyname")) == [("C",)]
+    plan = executed_plan(seen(A, late))
+    filters = plan.split("PartitionFilters: [")[1]
+    assert "batch_id" in filters and "month" in filters and "date" in plan.split("DataFilters: [")[1]
+    # Beyond a number of months only the range of dates counts, which may hold more.
+    monkeypatch.setattr("ledgerline.sources.ledger._MONTHS_BY_NAME", 1)
+    assert bag(seen(A, late).select("companyname")) == [("A",), ("B",), ("C",), ("L",), ("M",)]
 
 
 def test_an_empty_replay_replaces_the_batch(spark, folder):
