@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, sharding
+from ledgerline.llm import exact_dedup, near_dedup, pieces, sharding
 
 SHARDS = 40
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +27,20 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_documents(spark, sf_dir))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    encoded = pieces.encode_pieces(docs, os.path.join(tokenizers, "piece_bpe_32k.model"), round_trip="round_trip")
+    return encoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip", "piece_ids")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_near_dedup": op3_near_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
 }
 
