@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.wordhash import groups_of_texts, mix, powers_of
@@ -324,14 +324,18 @@ class Decoder:
         return (joined[1:] if joined[:1] == b" " else joined).decode("utf-8", "replace")
 
 
-_encoders: dict[str, tuple[Encoder, Decoder]] = {}
+def _shared(spark: SparkSession, model_path: str):
+    """A broadcast of the model as plain arrays, its size that of the vocabulary."""
+    return spark.sparkContext.broadcast({"model": vars(PieceModel.load(model_path))})
 
 
-def _tools(model) -> tuple[Encoder, Decoder]:
-    """One encoder per worker process and model, kept from task to task."""
-    if model.id not in _encoders:
-        _encoders[model.id] = (Encoder(model.value), Decoder(model.value))
-    return _encoders[model.id]
+def _tools(shared: dict) -> tuple[Encoder, Decoder]:
+    """One encoder per worker process, kept from task to task in the worker's copy of the broadcast."""
+    if "tools" not in shared:
+        model = object.__new__(PieceModel)
+        vars(model).update(shared["model"])
+        shared["tools"] = (Encoder(model), Decoder(model))
+    return shared["tools"]
 
 
 def _parts(text: str) -> Iterator[str]:
@@ -357,14 +361,11 @@ def _encode_all(encoder: Encoder, texts: list[str | None]) -> tuple[np.ndarray,
 
 def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids",
                   round_trip: str | None = None) -> DataFrame:
-    """``docs`` with the array ``ids`` instead of ``text``; ``round_trip`` names a flag: decoding gives the text back.
-
-    The model is read once on the driver and broadcast; its size is that of the vocabulary.
-    """
-    model = docs.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
+    """``docs`` with the array ``ids`` instead of ``text``; ``round_trip`` names a flag: decoding gives the text back."""
+    model = _shared(docs.sparkSession, model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _tools(model)
+        encoder, decoder = _tools(model.value)
         for whole in batches:
             for batch in groups_of_texts(whole, "t", 4 << 20):
                 texts = batch.column("t").to_pylist()
@@ -384,11 +385,11 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str
 
 def decode_pieces(encoded: DataFrame, model_path: str, ids: str = "piece_ids", text: str = "text") -> DataFrame:
     """``encoded`` with ``text`` decoded from ``ids`` added."""
-    model = encoded.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
+    model = _shared(encoded.sparkSession, model_path)
 
     @F.pandas_udf("string")
     def decoded(column: pd.Series) -> pd.Series:
-        _, decoder = _tools(model)
+        _, decoder = _tools(model.value)
         return pd.Series([decoder.decode(np.asarray([] if one is None else one, dtype=np.int64)) for one in column])
 
     return encoded.withColumn(text, decoded(F.col(f"`{ids}`")))
