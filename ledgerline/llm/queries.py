@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, near_dedup, pieces, sharding
+from ledgerline.llm import decontaminate, exact_dedup, near_dedup, pieces, sharding, toxicity
 
 SHARDS = 40
 TOKENIZERS = "/opt/tokenizers"
@@ -27,6 +27,13 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, chain).drop("text")
+    return scored.select("doc_id", "toxicity.*", (F.col(f"toxicity.{toxicity.VERDICT}") >= toxicity.LIMIT).alias("rejected"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir))
 
@@ -37,11 +44,17 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENI
     return encoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip", "piece_ids")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
+    "op9_decontamination": op9_decontamination,
 }
 
 CHECKS = {

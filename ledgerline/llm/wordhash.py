@@ -38,7 +38,8 @@ def powers_of(base: int, length: int) -> tuple[np.ndarray, np.ndarray]:
 class Splitter:
     """Finds words between separator bytes, lower-casing A-Z."""
 
-    def __init__(self, separators: tuple[int, ...] = _SPACES):
+    def __init__(self, separators: tuple[int, ...] = _SPACES, prefixes: tuple[int, ...] = ()):
+        self.prefixes = prefixes
         self.is_word = np.ones(256, dtype=bool)
         self.is_word[list(separators)] = False
         self.lower = np.arange(256, dtype=np.uint64)
@@ -51,6 +52,7 @@ class Splitter:
     def blocks(self, values: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """``(hash, start byte, length)`` of the words of one block after another, in order.
 
+        With ``prefixes`` a word has a row of hashes: its own and those of its first bytes, one for each of these sizes.
         ``offsets`` are the bounds of the texts within ``values``; a bound also ends a word.
         """
         at, end = int(offsets[0]), int(offsets[-1])
@@ -82,14 +84,20 @@ class Splitter:
         first, last = np.flatnonzero(starts), np.flatnonzero(ends)
         sums = np.zeros(len(chunk) + 1, dtype=np.uint64)
         np.cumsum((self.lower[chunk] + np.uint64(1)) * self.powers[:len(chunk)], out=sums[1:])
-        return mix((sums[last] - sums[first]) * self.inverse[first]), first + at, last - first
+        whole = mix((sums[last] - sums[first]) * self.inverse[first])
+        if not self.prefixes:
+            return whole, first + at, last - first
+        starts_of = [mix((sums[np.minimum(first + size, last)] - sums[first]) * self.inverse[first] ^ np.uint64(size))
+                     for size in self.prefixes]
+        return np.column_stack([whole, *starts_of]), first + at, last - first
 
     def words(self, values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``(hashes, starts, lengths, bounds)``: text ``i`` has the words from ``bounds[i]`` to ``bounds[i + 1]``."""
         found = list(self.blocks(values, offsets))
         if not found:
             nothing = np.zeros(0, dtype=np.int64)
-            return nothing.astype(np.uint64), nothing, nothing, np.zeros(len(offsets), dtype=np.int64)
+            none = np.zeros((0, 1 + len(self.prefixes)) if self.prefixes else 0, dtype=np.uint64)
+            return none, nothing, nothing, np.zeros(len(offsets), dtype=np.int64)
         hashes, starts, lengths = (np.concatenate(part) for part in zip(*found, strict=True))
         return hashes, starts, lengths, np.searchsorted(starts, offsets)
 
