@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import os
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, exact_dedup, near_dedup, pieces, sharding, toxicity
+from ledgerline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality, sharding, toxicity
 
 SHARDS = 40
-TOKENIZERS = "/opt/tokenizers"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir))
 
 
-def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = pieces.TOKENIZERS) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     encoded = pieces.encode_pieces(docs, os.path.join(tokenizers, "piece_bpe_32k.model"), round_trip="round_trip")
     return encoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip", "piece_ids")
@@ -48,6 +48,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.score(docs, model, into="score")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -55,6 +67,8 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
     "op9_decontamination": op9_decontamination,
+    "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 
 CHECKS = {
