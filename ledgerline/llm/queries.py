@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, exact_dedup, near_dedup, pieces, quality, sharding, toxicity
+from ledgerline.llm import decontaminate, exact_dedup, near_dedup, passages, pieces, quality, sharding, token_counts, toxicity
 
 SHARDS = 40
 
@@ -38,12 +38,25 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_documents(spark, sf_dir))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = pieces.TOKENIZERS) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     encoded = pieces.encode_pieces(docs, os.path.join(tokenizers, "piece_bpe_32k.model"), round_trip="round_trip")
     return encoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip", "piece_ids")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizers: str = pieces.TOKENIZERS) -> DataFrame:
+    ranks = os.path.join(tokenizers, "byte_bpe_50k.tiktoken")
+    docs = token_counts.with_trees(_documents(spark, sf_dir).select("doc_id", "text"), ranks)
+    docs = token_counts.with_edited_trees(token_counts.with_redactions(docs), ranks)
+    return docs.select(
+        "doc_id", F.element_at("tree.sums", 2).cast("long").alias("n_tokens"), F.size("edits").alias("n_edits"),
+        F.col("edited.tokens").alias("n_tokens_edited"), F.col("edited.encoded").alias("chars_encoded_again"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -64,8 +77,10 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
+    "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
     "pipeline": pipeline,
