@@ -8,7 +8,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, exact_dedup, near_dedup, passages, pieces, quality, sharding, token_counts, toxicity
+from ledgerline.llm import (
+    decontaminate, exact_dedup, near_dedup, passages, pieces, quality, secrets, sharding, token_counts, toxicity,
+)
 
 SHARDS = 40
 
@@ -48,6 +50,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = pieces
     return encoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip", "piece_ids")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizers: str = pieces.TOKENIZERS) -> DataFrame:
     ranks = os.path.join(tokenizers, "byte_bpe_50k.tiktoken")
     docs = token_counts.with_trees(_documents(spark, sf_dir).select("doc_id", "text"), ranks)
@@ -80,6 +86,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
+    "op7_secret_scan": op7_secret_scan,
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,

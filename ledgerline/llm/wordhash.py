@@ -101,6 +101,14 @@ class Splitter:
         hashes, starts, lengths = (np.concatenate(part) for part in zip(*found, strict=True))
         return hashes, starts, lengths, np.searchsorted(starts, offsets)
 
+    def runs(self, data: np.ndarray, size: int) -> np.ndarray:
+        """The hash of every run of ``size`` bytes, as if it were a word."""
+        if len(data) >= len(self.powers):
+            self._grow(len(data) + 1)
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((self.lower[data] + np.uint64(1)) * self.powers[:len(data)], out=sums[1:])
+        return mix((sums[size:] - sums[:-size]) * self.inverse[:len(data) - size + 1])
+
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and text bounds of an Arrow string column; a null text is an empty one."""
