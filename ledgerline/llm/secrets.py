@@ -44,6 +44,7 @@ _CANDIDATE = re.compile(r"(?<![\w+/\-])[A-Za-z0-9_+/\-]{%d,}={0,2}(?!\w)" % SHOR
 # fixed values: words that announce a credential, and formats that are one by themselves
 _ANNOUNCES = re.compile(r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential)s?\W*$")
 _FORMATS = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk_live_[0-9A-Za-z]{24,}|xox[abp]-[0-9A-Za-z-]{20,}")
+_PLAIN = re.compile(r"[A-Za-z_/\-]+|\d+")
 _ASSIGNED = re.compile(r"[=:]\s*[\"']?$")
 _EXTENSION = re.compile(r"^\.[A-Za-z]{1,4}\b")
 
@@ -173,8 +174,8 @@ def described(found: DataFrame, corpus: Corpus) -> DataFrame:
 
 
 def label_findings(found: DataFrame) -> DataFrame:
-    """Candidates with ``label``: 1 where a known format or an announced assignment shows a credential, 0 for plain words
-    and plain numbers that nothing announces, null where neither settles it."""
+    """Candidates with ``label``: 1 where a known format or an announced assignment shows a credential, 0 for words, paths
+    of words and plain numbers that nothing announces, null where neither settles it."""
 
     @F.arrow_udf("int")
     def label(value: pa.Array, before: pa.Array) -> pa.Array:
@@ -185,7 +186,7 @@ def label_findings(found: DataFrame) -> DataFrame:
             if _FORMATS.fullmatch(one) or (announced and mixed):
                 out.append(1)
             else:
-                out.append(0 if not _ANNOUNCES.search(left) and (one.isalpha() or one.isdigit()) else None)
+                out.append(0 if not _ANNOUNCES.search(left) and (_PLAIN.fullmatch(one)) else None)
         return pa.array(out, pa.int32())
 
     return found.withColumn("label", label("value", "before"))
