@@ -15,7 +15,9 @@ from ledgerline.operators import enrich, entities, feed, records, route
 from ledgerline.plans.filings import FilingBatch, deliver, process_entries, store_links
 from ledgerline.schemas import FILING, FILING_COLUMNS, FILING_ENRICHED_COLUMNS
 from ledgerline.sources.feed import land_feed, read_feed
+from ledgerline.sources.ledger import FilingLedger
 from ledgerline.sources.tables import read_table
+from ledgerline.streaming.filings import commit_batch
 
 _OLD_UNTIL = dt.datetime(2024, 1, 16)
 _NEW_FROM = dt.datetime(2024, 1, 10)
@@ -78,8 +80,14 @@ def filing_state_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filing_diff_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, new = _old_and_new(spark, sf_dir)
-    return records.fresh_records(new, spark.createDataFrame([], FILING), FILING_COLUMNS)
+    """An early poll, a reset of the ledger, and a poll that holds everything: all of it is new again."""
+    ledger = FilingLedger(session.workspace(spark, "reset-ledger"))
+    old, _ = _old_and_new(spark, sf_dir)
+    commit_batch(ledger, old.withColumn("snapshot_id", F.lit("s1")), 0)
+    ledger.reset(spark)
+    everything = derive(spark, sf_dir, inputs.FILINGS).select(*FILING_COLUMNS)
+    commit_batch(ledger, everything.withColumn("snapshot_id", F.lit("s2")), 1)
+    return ledger.rows(spark).select("batch_id", *FILING_COLUMNS)
 
 
 def landing_link(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,23 +114,19 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landing_batch(spark, sf_dir).summary
+    """What is said of a poll, and of the same poll again."""
+    filings, links = derive(spark, sf_dir, inputs.LANDING_FILINGS), _links(spark, sf_dir)
+    nothing = spark.createDataFrame([], FILING)
+    polls = [deliver(records.fresh_records(filings, seen, FILING_COLUMNS), links).summary for seen in (nothing, filings)]
+    return polls[0].unionByName(polls[1])
 
 
 def route_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landing_batch(spark, sf_dir).routed.select("route", "title", *FILING_ENRICHED_COLUMNS)
 
 
-def message_records(messages: DataFrame) -> DataFrame:
-    """The records inside messages, read back from their bodies."""
-    schema = "array<struct<" + ",".join(f"{name}:string" for name in FILING_ENRICHED_COLUMNS) + ">>"
-    parsed = messages.select("route", "title", "n_records", F.from_json("body", schema).alias("records"))
-    whole = parsed.filter(F.size("records") == F.col("n_records"))
-    return whole.select("route", "title", F.inline("records"))
-
-
 def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return message_records(_landing_batch(spark, sf_dir).messages)
+    return _landing_batch(spark, sf_dir).messages
 
 
 def new_filings_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,6 +235,11 @@ unseen as (
     select 1 from parsed o where o.landed < timestamp '{_SEEN_UNTIL}' and {_same('o', 'n')})
 )"""
 
+_MESSAGES = f"""
+    select route, title, cast(json_object({', '.join(f"'{name}', {name}" for name in FILING_ENRICHED_COLUMNS)}) as varchar)
+      as body
+    from routed"""
+
 _LANDING = f"with {_enriched(for_check(inputs.LANDING_FILINGS))}"
 
 CHECKS = {
@@ -246,7 +255,10 @@ CHECKS = {
         with {_JUDGED} select entry_id, {_FILING} from parsed order by date desc, entry_id desc limit 10""",
     "filing_diff": f"with {_OLD_NEW} select * from fresh",
     "filing_state_after": f"with {_OLD_NEW} select * from old union all select * from fresh",
-    "filing_diff_after_reset": f"with {_OLD_NEW} select * from new",
+    "filing_diff_after_reset": f"""
+        with {_OLD_NEW}
+        select cast(0 as bigint) as batch_id, * from old
+        union all select 1, {_FILING} from {for_check(inputs.FILINGS)} f""",
     "landing_link": f"""
         with links as (select url, {_link_sql('html', 'nav')} as formurl from pages)
         select url, formurl from ({_best_page(
@@ -260,9 +272,10 @@ CHECKS = {
           count(*) > 0 as state_changed,
           'Finished downloading for ' || count(*) filter (where enrich_status in ('ok', 'http_error'))
             || ' companies.' as body
-        from enriched having count(*) > 0""",
+        from enriched
+        union all select 0, 0, false, 'Finished downloading for 0 companies.'""",
     "route_filings": f"{_LANDING} select * from routed",
-    "route_messages": f"{_LANDING} select * from routed",
+    "route_messages": f"{_LANDING} {_MESSAGES}",
     "new_filings_routed": f"""
         with {_JUDGED}, {_UNSEEN}, {_enriched('unseen')} select * from routed""",
 }
@@ -274,4 +287,4 @@ POLLED_MESSAGES = f"""
       select {_FILING} from parsed where landed < timestamp '{_SEEN_UNTIL}'
       union all select {_FILING} from unseen
     ), {_enriched('polled')}
-    select * from routed"""
+    {_MESSAGES}"""

@@ -231,9 +231,12 @@ from (
 ) attached
 """
 
-# Notification requests; recipients are comma-separated here and missing for some.
+# Notification requests; recipients are comma-separated here. For some they are missing, none ('-'), or blank ('?': null).
 NOTIFICATIONS = f"""
 select case when o_orderkey % 31 = 0 then null
+            when o_orderkey % 37 = 0 then '-'
+            when o_orderkey % 41 = 0 then '?,'
+            when o_orderkey % 43 = 0 then '?,desk@example.com,'
             else 'desk' || {_text('o_orderkey % 7')} || '@example.com'
               || case when o_orderkey % 2 = 0 then ',team' || {_text('o_orderkey % 5')} || '@example.com' else '' end
        end as recipients,

@@ -126,7 +126,9 @@ def partition_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = derive(spark, sf_dir, inputs.NOTIFICATIONS)
-    return wanted.withColumn("to", F.split("recipients", ",")).drop("recipients")
+    named = F.transform(F.split("recipients", ","), lambda one: F.when(one != "?", one))
+    none = F.array().cast("array<string>")
+    return wanted.withColumn("to", F.when(F.col("recipients") == "-", none).otherwise(named)).drop("recipients")
 
 
 def notification_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,12 +205,15 @@ CHECKS = {
           cast(strftime(day, '%Y%m%d') as integer) as d
         from (select o_orderkey, cast(o_orderdate as date) - 1 as day from orders) o""",
     "notification_outbox": f"""
-        select unnest(string_split(recipients, ',')) as recipient, 'FilingsTemplate' as template,
-          cast(json_object('companyname', companyname, 'formtype', formtype, 'table', "table") as varchar)
-            as template_data
-        from {for_check(inputs.NOTIFICATIONS)} n where recipients is not null""",
+        select * from (
+          select unnest(string_split(recipients, ',')) as recipient, 'FilingsTemplate' as template,
+            cast(json_object('companyname', companyname, 'formtype', formtype, 'table', "table") as varchar)
+              as template_data
+          from {for_check(inputs.NOTIFICATIONS)} n where recipients is not null)
+        where recipient not in ('-', '?', '')""",
     "notification_rejects": f"""
-        select companyname, formtype, "table" from {for_check(inputs.NOTIFICATIONS)} n where recipients is null""",
+        select companyname, formtype, "table" from {for_check(inputs.NOTIFICATIONS)} n
+        where recipients is null or recipients in ('-', '?,')""",
     "render_manifest": f"""
         select formurl, printf('%s-%s-%s.pdf', ticker, formtype, date) as filename,
           case when ticker is null then '' else concat_ws('/', '{_ENDPOINT}', '{_BUCKET}',

@@ -114,7 +114,7 @@ def tag_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = _tagged(spark, sf_dir)
-    return tags.merge_tags(tagged.inventory, session.cut(tagged.assignments, "assignments"))
+    return tags.merge_tags(tagged.inventory, tagged.assignments, tagged.expanded)
 
 
 def stream_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +322,7 @@ CHECKS = {
     "tag_merge": f"""
         with {_ASSIGNED},
         latest as (
-          select region, resource_id, key, arg_max(value, event_time || ' ' || lpad(event_id, 20, ' ')) as value
+          select region, resource_id, key, arg_max(value, event_time || ' ' || event_id) as value
           from assigned group by all
         ),
         kept as (

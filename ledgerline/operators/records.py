@@ -60,8 +60,12 @@ def fresh_across_snapshots(
     snapshots repeat it. A snapshot whose rows are spread over two batches is still one snapshot: its
     own rows in ``seen`` do not make the rest of it seen.
     """
+    # only state that may equal a record of the batch takes part in the grouping
+    hashed = F.xxhash64(*columns)
+    wanted = new.select(hashed.alias("_hash")).distinct()
+    met = seen.withColumn("_hash", hashed).join(wanted, "_hash", "left_semi")
     both = new.select(*columns, snapshot, F.lit(True).alias("_new")).unionByName(
-        seen.select(*columns, snapshot, F.lit(False).alias("_new"))
+        met.select(*columns, snapshot, F.lit(False).alias("_new"))
     )
     per_snapshot = both.groupBy(*columns, snapshot).agg(
         F.count_if("_new").alias("found"), F.count_if(~F.col("_new")).alias("known")

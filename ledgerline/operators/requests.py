@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.fixed_values import MISSING_HTML_MESSAGE, NOTIFICATION_TEMPLATE
@@ -13,19 +13,27 @@ _NOTICE_FIELDS = ("companyname", "formtype", "table")
 _RENDER_FIELDS = ("formurl", "options", "ticker", "date", "formtype")
 
 
+def _is_recipient(name: Column) -> Column:
+    return F.coalesce(name, F.lit("")) != ""
+
+
+def _incomplete() -> Column:
+    return any_null("to", *_NOTICE_FIELDS) | ~F.coalesce(F.exists("to", _is_recipient), F.lit(False))
+
+
 def notification_outbox(requests: DataFrame, template: str = NOTIFICATION_TEMPLATE) -> DataFrame:
-    """One row per recipient of every complete request, with its template data as JSON."""
-    complete = requests.filter(~any_null("to", *_NOTICE_FIELDS))
+    """One row per recipient of every complete request, with its template data as JSON; blank recipients get none."""
+    complete = requests.filter(~_incomplete())
     return complete.select(
-        F.explode("to").alias("recipient"),
+        F.explode(F.filter("to", _is_recipient)).alias("recipient"),
         F.lit(template).alias("template"),
         record_json(_NOTICE_FIELDS).alias("template_data"),
     )
 
 
 def notification_rejects(requests: DataFrame) -> DataFrame:
-    """Requests that lack a field; nothing is sent for them."""
-    return requests.filter(any_null("to", *_NOTICE_FIELDS))
+    """Requests that lack a field or any recipient; nothing is sent for them."""
+    return requests.filter(_incomplete())
 
 
 def render_manifest(

@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.fixed_values import ROUTES, SUMMARY_FORMAT, Route
-from ledgerline.functions.payloads import array_json
+from ledgerline.functions.payloads import record_json
 from ledgerline.operators.enrich import HTTP_ERROR, OK
 from ledgerline.schemas import FILING_ENRICHED_COLUMNS
 
-MESSAGE_RECORDS = 1_000
-
 
 def _by_form(routes: Sequence[Route], attribute: str) -> Column:
     return F.coalesce(*[
@@ -27,51 +25,24 @@ def route_filings(filings: DataFrame, routes: Sequence[Route] = ROUTES) -> DataF
     return wanted.withColumn("route", _by_form(routes, "name")).withColumn("title", _by_form(routes, "title"))
 
 
-def route_messages(
-    routed: DataFrame,
-    columns: Sequence[str] = FILING_ENRICHED_COLUMNS,
-    max_records: int = MESSAGE_RECORDS,
-) -> DataFrame:
-    """Messages ``(route, title, n_records, body)``, the body being a JSON array of records.
+def route_messages(routed: DataFrame, columns: Sequence[str] = FILING_ENRICHED_COLUMNS) -> DataFrame:
+    """The outbox ``(route, title, body)``: one JSON object per record.
 
-    A destination with up to ``max_records`` records gets one message, an empty one gets none. A larger
-    one gets several, none of them longer: equal records are counted first, long runs of copies are cut,
-    and the pieces are hashed into groups of about ``max_records``, so a destination that takes a third
-    of all filings is spread over many groups and copies of one filing over many, too.
+    A destination's message is its records. Written by route, that is its partition; a destination without records has
+    none. Nothing is collected or shuffled, however much one destination gets.
     """
-    target = ["route", "title"]
-    counted = routed.groupBy(*target, *columns).agg(F.count(F.lit(1)).alias("copies"))
-    # One row per destination, of which there are as many as configured routes.
-    groups = counted.groupBy("route").agg(F.ceil(F.sum("copies") / max_records).alias("groups"))
-    pieces = (
-        counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                        F.floor((F.col("copies") - 1) / max_records))))
-        .withColumn("n", F.least(F.lit(max_records).cast("long"),
-                                 F.col("copies") - F.col("run") * max_records).cast("int"))
-        .join(F.broadcast(groups), "route")
-        .withColumn("slot", F.pmod(F.xxhash64("run", *columns), F.col("groups")))
-    )
-    collected = pieces.groupBy(*target, "slot").agg(
-        F.sort_array(F.collect_list(F.struct(F.struct(*columns).alias("record"), "n"))).alias("pieces")
-    )
-    repeated = F.flatten(F.transform("pieces", lambda piece: F.array_repeat(piece["record"], piece["n"])))
-    listed = collected.select(*target, repeated.alias("records"))
-    starts = F.sequence(F.lit(1), F.size("records"), F.lit(max_records))
-    cut = listed.withColumn("start", F.explode(starts)).select(
-        *target, F.slice("records", F.col("start"), F.lit(max_records)).alias("records")
-    )
-    return cut.select(*target, F.size("records").alias("n_records"), array_json(F.col("records")).alias("body"))
+    return routed.select("route", "title", record_json(columns).alias("body"))
 
 
 def batch_summary(enriched: DataFrame) -> DataFrame:
-    """One row about a batch: new filings, processed filings and the result line; none if nothing is new."""
+    """One row about a batch: new filings, processed filings, whether the state changed, and the result line."""
     counts = enriched.agg(
         F.count(F.lit(1)).alias("new_filings"),
         F.count_if(F.col("enrich_status").isin(OK, HTTP_ERROR)).alias("processed"),
     )
-    return counts.filter("new_filings > 0").select(
+    return counts.select(
         "new_filings",
         "processed",
-        F.lit(True).alias("state_changed"),
+        (F.col("new_filings") > 0).alias("state_changed"),
         F.format_string(SUMMARY_FORMAT, F.col("processed")).alias("body"),
     )

@@ -58,15 +58,18 @@ def tag_assignments(sets: DataFrame) -> DataFrame:
     return sets.select("*", F.inline_outer("tags").alias("key", "value")).drop("tags")
 
 
-def merge_tags(inventory: DataFrame, assignments: DataFrame) -> DataFrame:
+def merge_tags(inventory: DataFrame, assignments: DataFrame, tagged: DataFrame | None = None) -> DataFrame:
     """The tags resources have once the assignments are applied, as ``(region, resource_id, key, value)``.
 
     Assigned tags are set key by key and others stay, except on buckets, where the assigned set replaces
     all. If several events tag a resource, the last one counts. This is one grouping of both sides, not
     a full outer join: it is pre-aggregated, and a resource that is hot on either side does no harm.
+
+    Of events at the same time the one with the greater id counts, ids being compared as text. ``tagged`` may
+    name the assigned resources, one row each, so that the buckets need not be told from nine rows of each.
     """
     resource = ["region", "resource_id"]
-    replaced = assignments.filter(F.col("resource_class") == "bucket").select(*resource).distinct()
+    replaced = (assignments if tagged is None else tagged).filter(F.col("resource_class") == "bucket").select(*resource)
     existing = (
         inventory.join(replaced, resource, "left_anti")
         .select(*resource, F.posexplode("tags").alias("at", "tag"))

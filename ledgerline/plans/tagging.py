@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -23,21 +23,52 @@ def event_context(
     return ev.with_context(events, accounts, rules, aliases)
 
 
-@dataclass(frozen=True)
 class TaggedEvents:
     """The outcomes for a set of events.
 
-    Everything but ``inventory`` and ``attachments`` is a stored table here: the log is parsed once,
-    requests are followed once, each outcome reads the few narrow columns it needs, and what is joined by
-    event is not a grouping, so adaptive execution can split an event with very many resources.
+    A step that several outcomes read is stored when the first of them is asked for, so the log is parsed once and
+    requests are followed once, and what no outcome asks for is never run. Being stored tables, what is joined by event
+    is not a grouping, so adaptive execution can split an event with very many resources.
     """
 
-    context: DataFrame
-    unfulfilled: DataFrame
-    resources: DataFrame
-    chosen: DataFrame
-    attachments: DataFrame
-    inventory: DataFrame
+    def __init__(
+        self,
+        events: DataFrame,
+        accounts: DataFrame,
+        attachments: DataFrame,
+        inventory: DataFrame,
+        rules: Sequence[EventRule] = EVENT_RULES,
+        aliases: Sequence[AliasRule] = ALIAS_RULES,
+        work: str | None = None,
+    ):
+        self._built = event_context(events, accounts, rules, aliases)
+        self.attachments = attachments
+        self.inventory = inventory
+        self._work = work
+
+    def _stored(self, step: DataFrame, name: str) -> DataFrame:
+        return session.cut(step, name, self._work)
+
+    @cached_property
+    def context(self) -> DataFrame:
+        return self._stored(self._built, "context")
+
+    @cached_property
+    def requested(self) -> DataFrame:
+        return self._stored(ev.requested_resources(ev.event_resources(self.context), self.attachments), "requested")
+
+    @cached_property
+    def unfulfilled(self) -> DataFrame:
+        return self._stored(ev.unfulfilled_events(self.requested), "unfulfilled")
+
+    @cached_property
+    def resources(self) -> DataFrame:
+        named = ev.event_resources(self.context)
+        return self._stored(ev.fulfilled_resources(named, self.requested, self.unfulfilled), "resources")
+
+    @cached_property
+    def chosen(self) -> DataFrame:
+        return self._stored(tags.chosen_tags(self.resources, self.inventory), "chosen")
 
     @property
     def errors(self) -> DataFrame:
@@ -69,11 +100,5 @@ def tag_events(
     aliases: Sequence[AliasRule] = ALIAS_RULES,
     work: str | None = None,
 ) -> TaggedEvents:
-    """Run the steps up to the tags of each event, storing them below ``work`` (default: fresh folders)."""
-    context = session.cut(event_context(events, accounts, rules, aliases), "context", work)
-    named = ev.event_resources(context)
-    requested = session.cut(ev.requested_resources(named, attachments), "requested", work)
-    unfulfilled = session.cut(ev.unfulfilled_events(requested), "unfulfilled", work)
-    resources = session.cut(ev.fulfilled_resources(named, requested, unfulfilled), "resources", work)
-    chosen = session.cut(tags.chosen_tags(resources, inventory), "chosen", work)
-    return TaggedEvents(context, unfulfilled, resources, chosen, attachments, inventory)
+    """The tags of events; steps are stored below ``work`` (default: fresh folders) when an outcome needs them."""
+    return TaggedEvents(events, accounts, attachments, inventory, rules, aliases, work)

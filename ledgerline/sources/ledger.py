@@ -23,7 +23,6 @@ from ledgerline.schemas import FILING_COLUMNS, LEDGER
 
 _EPOCH_SCHEMA = "epoch long"
 _FIRST_EPOCH = -1
-_MONTHS_BY_NAME = 1_000
 
 
 def filing_month(date: Column) -> Column:
@@ -31,21 +30,15 @@ def filing_month(date: Column) -> Column:
 
 
 def _where_new_may_be(new: DataFrame) -> Column:
-    """A filter for the months and dates a batch holds; nulls, which equal each other, always pass.
+    """A filter for the months and dates a batch spans; nulls, which equal each other, always pass.
 
-    One row per month comes to the driver. Should there be very many, only the range of dates counts.
+    One row comes to the driver. The months prune folders, the dates row groups.
     """
-    per_month = new.filter("date is not null").groupBy(filing_month(F.col("date")).alias("month")).agg(
-        F.min("date").alias("first"), F.max("date").alias("last"))
-    held = per_month.limit(_MONTHS_BY_NAME + 1).collect()
-    if len(held) > _MONTHS_BY_NAME:
-        first, last = per_month.agg(F.min("first"), F.max("last")).first()
-        return F.col("date").isNull() | F.col("date").between(first, last)
-    if not held:
-        return F.col("month").isNull()
-    months = [row["month"] for row in held]
-    dates = F.col("date").between(min(row["first"] for row in held), max(row["last"] for row in held))
-    return (F.col("month").isNull() | F.col("month").isin(months)) & (F.col("date").isNull() | dates)
+    first, last = new.agg(F.min("date"), F.max("date")).first()
+    first, last = F.lit(first).cast("string"), F.lit(last).cast("string")
+    month, date = F.col("month"), F.col("date")
+    months = month.between(filing_month(first), filing_month(last))
+    return (month.isNull() | months) & (date.isNull() | date.between(first, last))
 
 
 @dataclass(frozen=True)
@@ -90,8 +83,11 @@ class FilingLedger:
         return self._read(spark, self._batch_folder(self.epoch(spark, batch_id), batch_id))
 
     def reset(self, spark: SparkSession) -> None:
-        """Forget everything found so far. To be called between batches."""
-        last = self.rows(spark).agg(F.max("batch_id").alias("epoch")).filter("epoch is not null")
+        """Forget everything found so far. To be called between batches. Only the current epoch is read for it."""
+        begun = spark.read.schema(_EPOCH_SCHEMA).parquet(self._epochs)
+        current = begun.agg(F.coalesce(F.max("epoch"), F.lit(_FIRST_EPOCH))).first()[0]
+        found = self._read(spark, f"{self._filings}/epoch={current}")
+        last = found.agg(F.max("batch_id").alias("epoch")).filter("epoch is not null")
         last.write.mode("append").parquet(self._epochs)
 
     def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame) -> DataFrame:

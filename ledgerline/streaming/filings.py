@@ -86,7 +86,7 @@ def start_feed_stream(
 def outbox_delivery(
     spark: SparkSession, links_path: str, outbox: str, routes: Sequence[Route] = ROUTES
 ) -> Delivery:
-    """Delivery that enriches a batch, and writes its messages, its dropped filings and its summary.
+    """Delivery that enriches a batch, and writes its messages by route, its dropped filings and its summary.
 
     ``links_path`` is the stored table of page links, read as it is when the batch runs. The enriched
     filings are stored first; the three outcomes are read from them.
@@ -97,7 +97,7 @@ def outbox_delivery(
         enriched = session.cut(
             enrich(committed.select(*FILING_COLUMNS), links), "filings", jobs.batch_folder(f"{outbox}/enriched", batch_id)
         )
-        jobs.replace_batch(route_messages(route_filings(survivors(enriched), routes)), f"{outbox}/messages", batch_id)
+        jobs.replace_batch(route_messages(route_filings(survivors(enriched), routes)), f"{outbox}/messages", batch_id, by="route")
         jobs.replace_batch(dropped(enriched), f"{outbox}/dropped", batch_id)
         jobs.replace_batch(batch_summary(enriched), f"{outbox}/summary", batch_id)
 

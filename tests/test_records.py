@@ -114,3 +114,6 @@ def test_the_comparison_shuffles_once(spark):
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    # one exchange for the grouping; copies of more than a run are spread by another, given number of partitions
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning(companyname") == 1

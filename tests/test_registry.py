@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -23,7 +24,11 @@ def db():
     return found
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# queries of the corpus operators have tests of their own
+NAMES = sorted(name for name in entry.queries() if not re.match(r"op\d+_|pipeline$", name))
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, SF_DIR)
     answer = db.execute(entry.oracle_sql()[name])
@@ -35,7 +40,7 @@ def test_query(spark, db, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -42,6 +42,16 @@ def test_incomplete_notices_are_set_aside(spark):
     assert requests.notification_rejects(df).count() == 2
 
 
+def test_blank_recipients(spark):
+    """Every request leaves something: a row per real recipient, or itself among the rejects."""
+    lists = [[], [None, ""], [None, "x@example.com", ""], ["x@example.com", "x@example.com"]]
+    df = spark.createDataFrame([(to, str(at), "8-K", "t") for at, to in enumerate(lists)], NOTICE)
+    sent = requests.notification_outbox(df).collect()
+    assert [(json.loads(row["template_data"])["companyname"], row["recipient"]) for row in sent] == [
+        ("2", "x@example.com"), ("3", "x@example.com"), ("3", "x@example.com")]
+    assert [row["companyname"] for row in requests.notification_rejects(df).collect()] == ["0", "1"]
+
+
 RENDER = "formurl string, options map<string,string>, ticker string, date string, formtype string"
 
 

@@ -24,7 +24,7 @@ RULES = alias_rules("acme-")
     ("ma-ma-a-b", "A", "B", ""),
     ("mit-ma-a", "MIT", "A", ""),
     ("acme-mit-a-b", "ACME_MIT_A", "B", ""),
-    ("prd-ma-", "", "PRD", None),
+    ("prd-ma-", "PRD", "", ""),
     ("zz-1-prd", None, None, None),
     (None, None, None, None),
 ])
@@ -33,13 +33,9 @@ def test_alias(spark, alias, lob, env, backup):
     df = df.select(acc.normalised_alias(F.col("alias"), RULES).alias("n"))
     df = df.select(acc.line_of_business(F.col("n")).alias("lob"), acc.environment(F.col("n")).alias("env"))
     got = df.select("lob", "env", acc.default_backup(F.col("env"))).first()
-    if alias == "prd-ma-":
-        lob, env, backup = "", "PRD", "monthly"
-        assert tuple(got) in {("", "PRD", "monthly"), ("PRD", "", "")}
-    else:
-        assert tuple(got)[:2] == (lob, env)
-        if env is not None:
-            assert got[2] == backup
+    assert tuple(got)[:2] == (lob, env)
+    if env is not None:
+        assert got[2] == backup
 
 
 def user(name="u", kind="IAMUser", principal="AID", issuer=None):
