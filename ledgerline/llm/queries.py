@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
-    decontaminate, exact_dedup, near_dedup, passages, pieces, quality, secrets, sharding, token_counts, toxicity,
+    decontaminate, exact_dedup, near_dedup, passages, pieces, quality, secret_scan, sharding, token_counts, toxicity,
 )
 
 SHARDS = 40
@@ -51,7 +51,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = pieces
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(_documents(spark, sf_dir))
+    return secret_scan.scan(_documents(spark, sf_dir))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizers: str = pieces.TOKENIZERS) -> DataFrame:

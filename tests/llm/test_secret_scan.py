@@ -4,7 +4,7 @@ import random
 
 from corpora import CLASHES, edge_rows, edge_table, sentence, table
 
-from ledgerline.llm import secrets
+from ledgerline.llm import secret_scan
 
 
 def findings(n=160, seed=3):
@@ -26,7 +26,7 @@ def findings(n=160, seed=3):
 
 def test_verdicts(spark):
     rows, truth = findings()
-    got = secrets.scan(table(spark, rows)).collect()
+    got = secret_scan.scan(table(spark, rows)).collect()
     assert {row.doc_id for row in got if row.secret} == truth
     texts = {row[0]: row[1] for row in rows}
     for row in got:
@@ -37,27 +37,27 @@ def test_own_labels_and_context_free_findings(spark):
     """The forest may be trained on labels of the caller's and used on findings that no rule settles."""
     rows, truth = findings()
     docs = table(spark, rows)
-    corpus = secrets.corpus_of(docs)
-    found = secrets.described(secrets.candidates(docs), corpus)
+    corpus = secret_scan.corpus_of(docs)
+    found = secret_scan.described(secret_scan.candidates(docs), corpus)
     labels = spark.createDataFrame([(i, int(i in truth)) for i, *_ in rows], "doc_id long, label int")
-    forest = secrets.train(found.join(labels, "doc_id"))
-    assert forest.getNumTrees == secrets.TREES
+    forest = secret_scan.train(found.join(labels, "doc_id"))
+    assert forest.getNumTrees == secret_scan.TREES
     fresh, held = findings(60, seed=8)
-    test = secrets.described(secrets.candidates(table(spark, fresh)), corpus).withColumn(
-        "vector", secrets.array_to_vector("features"))
-    got = forest.transform(test).withColumn("score", secrets.vector_to_array("probability")[1]).collect()
+    test = secret_scan.described(secret_scan.candidates(table(spark, fresh)), corpus).withColumn(
+        "vector", secret_scan.array_to_vector("features"))
+    got = forest.transform(test).withColumn("score", secret_scan.vector_to_array("probability")[1]).collect()
     assert len({row.doc_id for row in got if row.score >= 0.5} ^ held) <= 2
 
 
 def test_features():
     import numpy as np
 
-    splitter = secrets.Splitter(secrets._NOT_LETTERS)
+    splitter = secret_scan.Splitter(secret_scan._NOT_LETTERS)
     data = np.frombuffer(b"river stone", dtype=np.uint8)
     known = np.sort(splitter.words(data, np.array([0, 11]))[0])
-    corpus = secrets.Corpus(np.zeros((secrets.SYMBOLS, secrets.SYMBOLS)), known)
-    rows = secrets.describe(corpus, ["xxRiverstonexx", "0f" * 8], [14, 16], ["token = \"", "see http://a.b/"], ["\" and", ".html x"])
-    one, two = (dict(zip(secrets.FEATURES, row, strict=True)) for row in rows)
+    corpus = secret_scan.Corpus(np.zeros((secret_scan.SYMBOLS, secret_scan.SYMBOLS)), known)
+    rows = secret_scan.describe(corpus, ["xxRiverstonexx", "0f" * 8], [14, 16], ["token = \"", "see http://a.b/"], ["\" and", ".html x"])
+    one, two = (dict(zip(secret_scan.FEATURES, row, strict=True)) for row in rows)
     assert one["coverage"] == 10 / 14
     assert (one["announced"], one["assigned"], one["quoted"], one["hex"]) == (1, 1, 1, 0)
     assert (two["hex"], two["coverage"], two["path_before"], two["extension"], two["changes"]) == (1, 0, 1, 1, 1)
@@ -66,7 +66,7 @@ def test_features():
 def test_edge_cases(spark):
     docs = edge_table(spark)
     assert set(CLASHES) < set(docs.columns)
-    got = secrets.scan(docs).collect()
+    got = secret_scan.scan(docs).collect()
     assert [(row.doc_id, row.start, row.length, row.score) for row in got] == [(8, 0, 3000, 0.0)]
     assert len(edge_rows()) == docs.count()
-    assert secrets.scan(edge_table(spark, [])).collect() == []
+    assert secret_scan.scan(edge_table(spark, [])).collect() == []
