@@ -137,27 +137,50 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
+def described(docs: DataFrame, text: str = "text", into: str = "statistics") -> DataFrame:
+    """``docs`` with the array ``into`` of each text's statistics."""
+
+    @F.arrow_udf("array<double>")
+    def measured(column: pa.Array) -> pa.Array:
+        splitter = Splitter()
+        batch = pa.RecordBatch.from_arrays([column], ["text"])
+        parts = [statistics(splitter, part.column("text")) for part in groups_of_texts(batch, "text")]
+        flat = np.vstack(parts).ravel() if parts else np.zeros(0)
+        ends = np.arange(0, len(flat) + 1, len(STATISTICS), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+    return docs.withColumn(into, measured(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+
+
+def _rows_of(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
+
+
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``quality, at, total``: per batch and class the count, sums and products, one number a row."""
-    splitter = Splitter()
-    for whole in batches:
-        for batch in groups_of_texts(whole, "text"):
-            rows = statistics(splitter, batch.column("text"))
-            quality = batch.column("quality").to_numpy(zero_copy_only=False)
-            for label in (0, 1):
-                own = np.column_stack([np.ones((quality == label).sum()), rows[quality == label]])
-                flat = (own.T @ own).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(flat), label, dtype=np.int32)), pa.array(np.arange(len(flat), dtype=np.int32)),
-                     pa.array(flat)], ["quality", "at", "total"])
-
-
-def train(docs: DataFrame, labels: DataFrame) -> Discriminant:
-    """The model learnt from ``labels (doc_id, quality)`` of ``docs (doc_id, text)``, without the held-out rows."""
+    """``quality, at, total``: per task and class the count, sums and products, one number a row."""
+    side = len(STATISTICS) + 1
+    total = np.zeros((2, side, side))
+    for batch in batches:
+        rows, quality = _rows_of(batch.column("statistics")), batch.column("quality").to_numpy(zero_copy_only=False)
+        for label in (0, 1):
+            own = np.column_stack([np.ones((quality == label).sum()), rows[quality == label]])
+            total[label] += own.T @ own
+    for label in (0, 1):
+        flat = total[label].ravel()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(flat), label, dtype=np.int32)), pa.array(np.arange(len(flat), dtype=np.int32)),
+             pa.array(flat)], ["quality", "at", "total"])
+
+
+def train(measured: DataFrame, labels: DataFrame) -> Discriminant:
+    """The model learnt from ``labels (doc_id, quality)`` of ``measured (doc_id, statistics)``, without held-out rows.
+
+    What is joined are ids and statistics; texts are not shuffled.
+    """
     known = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    rows = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(known, "doc_id").select("text", "quality")
-    moments = rows.mapInArrow(_moments, "quality int, at int, total double")
+    rows = measured.where(~held_out(F.col("doc_id"))).select("doc_id", "statistics").join(known, "doc_id")
+    moments = rows.select("quality", "statistics").mapInArrow(_moments, "quality int, at int, total double")
     sums = moments.groupBy("quality", "at").agg(F.sum("total").alias("total")).collect()
     side = len(STATISTICS) + 1
     total = np.zeros((2, side * side))
@@ -167,14 +190,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Discriminant:
     return discriminant([float(one[0, 0]) for one in total], [one[0, 1:] for one in total], [one[1:, 1:] for one in total])
 
 
-def score(docs: DataFrame, model: Discriminant, text: str = "text", into: str = "quality_score") -> DataFrame:
-    """``docs`` with the probability ``into`` of good quality."""
+def score(measured: DataFrame, model: Discriminant, statistics: str = "statistics", into: str = "quality_score") -> DataFrame:
+    """``measured`` with the probability ``into`` of good quality."""
 
     @F.arrow_udf("double")
     def scored(column: pa.Array) -> pa.Array:
-        splitter = Splitter()
-        batch = pa.RecordBatch.from_arrays([column], ["text"])
-        parts = [model.scores(statistics(splitter, part.column("text"))) for part in groups_of_texts(batch, "text")]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+        return pa.array(model.scores(_rows_of(column)))
 
-    return docs.withColumn(into, scored(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    return measured.withColumn(into, scored(F.col(f"`{statistics}`")))

@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import session
 from ledgerline.llm import (
     decontaminate, exact_dedup, near_dedup, passages, pieces, quality, secret_scan, sharding, token_counts, toxicity,
 )
@@ -68,7 +69,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    docs = quality.described(_documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    docs = session.cut(docs, "quality-statistics")
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.score(docs, model, into="score")
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",

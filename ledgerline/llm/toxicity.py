@@ -6,7 +6,7 @@ categories before it; in training those are out-of-fold predictions, so that a l
 ``labels`` marks documents as toxic or not. Categories are weak labels made from it: a toxic document belongs to a
 category if it has one of the category's seed words (``CATEGORIES``, a parameter), and to ``unlisted`` if it has none;
 the last link learns the given label itself. The vocabulary is not the seeds but the words whose share differs most between toxic and other labelled
-documents, by ``CERTAINTY`` standard errors at least. Of near copies in the sample (equal smallest hash of five words)
+documents, by ``CERTAINTY`` standard errors at least and with ``SUPPORT`` documents. Of near copies in the sample (equal smallest hash of five words)
 one trains, so that a family of copies with one label does not make its words toxic.
 
 Training uses at most ``sample`` labelled rows, those first in the order of a hash of their id; all other work covers
@@ -43,8 +43,9 @@ SAMPLE = 12_000
 VOCABULARY = 256
 FOLDS = 5
 PREFIXES = (4, 5, 6)  # bytes
-CERTAINTY = 6.0
-RIDGE = 2.0
+CERTAINTY = 4.5
+SUPPORT = 4
+RIDGE = 0.2
 LIMIT = 0.5
 
 _LETTERS = {*range(65, 91), *range(97, 123), *range(128, 256)}
@@ -171,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int =
     pooled = (F.col("toxic") + F.col("clean") + 1.0) / (kinds[0] + kinds[1] + 2.0)
     apart = F.col("toxic") / kinds[1] - F.col("clean") / kinds[0]
     words = words.withColumn("z", F.abs(apart) / F.sqrt(pooled * (1 - pooled) * (1.0 / kinds[0] + 1.0 / kinds[1])))
-    best = words.where(F.col("z") >= CERTAINTY).orderBy(F.col("z").desc(), "word").limit(size).select("word").collect()
+    sure = words.where((F.col("z") >= CERTAINTY) & (F.col("toxic") + F.col("clean") >= SUPPORT))
+    best = sure.orderBy(F.col("z").desc(), "word").limit(size).select("word").collect()
     vocabulary = np.sort(np.array([row.word for row in best], dtype=np.int64).view(np.uint64))
 
     seeds = [np.array(sorted(word_hash(word) for word in found), dtype=np.uint64) for found in categories.values()]

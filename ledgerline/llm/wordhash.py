@@ -87,7 +87,7 @@ class Splitter:
         whole = mix((sums[last] - sums[first]) * self.inverse[first])
         if not self.prefixes:
             return whole, first + at, last - first
-        starts_of = [mix((sums[np.minimum(first + size, last)] - sums[first]) * self.inverse[first] ^ np.uint64(size))
+        starts_of = [mix(mix((sums[np.minimum(first + size, last)] - sums[first]) * self.inverse[first]) ^ np.uint64(size))
                      for size in self.prefixes]
         return np.column_stack([whole, *starts_of]), first + at, last - first
 

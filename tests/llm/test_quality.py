@@ -27,8 +27,8 @@ def labelled(n=900):
 
 def test_held_out_accuracy(spark):
     rows, labels = labelled()
-    model = quality.train(table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    scored = quality.score(table(spark, rows), model).withColumn("out", quality.held_out(quality.F.col("doc_id")))
+    model = quality.train(quality.described(table(spark, rows)), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    scored = quality.score(quality.described(table(spark, rows)), model).withColumn("out", quality.held_out(quality.F.col("doc_id")))
     got = {row.doc_id: row for row in scored.collect()}
     assert all(row.out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, row in got.items())
     right = [(got[i].quality_score >= 0.5) == bool(good) for i, good, _ in labels if got[i].out]
@@ -38,7 +38,7 @@ def test_held_out_accuracy(spark):
 def test_held_out_labels_are_not_read(spark):
     rows, labels = labelled(300)
     turned = [(i, 1 - q if zlib.crc32(str(i).encode()) % 3 == 1 else q, 0) for i, q, _ in labels]
-    models = [quality.train(table(spark, rows), spark.createDataFrame(one, "doc_id long, quality int, toxic int"))
+    models = [quality.train(quality.described(table(spark, rows)), spark.createDataFrame(one, "doc_id long, quality int, toxic int"))
               for one in (labels, turned)]
     assert np.allclose(models[0].means, models[1].means)
     assert np.allclose(models[0].factors, models[1].factors)
@@ -71,13 +71,13 @@ def test_statistics_of_a_text():
 def test_edge_cases(spark):
     rows, labels = labelled(200)
     marks = [*labels, (None, 1, 0), (4, None, 0), (5, 7, 0)]
-    model = quality.train(table(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
-    scored = quality.score(edge_table(spark), model).collect()
+    model = quality.train(quality.described(table(spark, rows)), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    scored = quality.score(quality.described(edge_table(spark)), model).collect()
     assert len(scored) == len(edge_rows())
     assert all(0 <= row.quality_score <= 1 for row in scored)
     by_text = {}
     for row in scored:
         assert by_text.setdefault(row.text or "", row.quality_score) == row.quality_score
-    none = quality.train(table(spark, rows), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
-    assert {row.quality_score for row in quality.score(edge_table(spark), none).collect()} == {0.5}
-    assert quality.score(edge_table(spark, []), model).collect() == []
+    none = quality.train(quality.described(table(spark, rows)), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert {row.quality_score for row in quality.score(quality.described(edge_table(spark)), none).collect()} == {0.5}
+    assert quality.score(quality.described(edge_table(spark, [])), model).collect() == []
