@@ -21,6 +21,7 @@ from ledgerline.streaming.filings import commit_batch
 
 _OLD_UNTIL = dt.datetime(2024, 1, 16)
 _NEW_FROM = dt.datetime(2024, 1, 10)
+_ENTITY = "0000000007"
 _SEEN_UNTIL = dt.datetime(1997, 1, 1)
 
 
@@ -62,6 +63,15 @@ def feed_latest_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.latest_page(filings, tie_break="entry_id").select("entry_id", *FILING_COLUMNS)
 
 
+def feed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of a form type, and the first of an entity."""
+    filings = feed_parse(spark, sf_dir)
+    pages = {"form": feed.latest_page(filings, tie_break="entry_id", start=10, form_type="8-K"),
+             "entity": feed.latest_page(filings, tie_break="entry_id", entity=_ENTITY)}
+    shown = [page.select(F.lit(name).alias("page"), "entry_id", *FILING_COLUMNS) for name, page in pages.items()]
+    return shown[0].unionByName(shown[1])
+
+
 def _old_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     filings = derive(spark, sf_dir, inputs.FILINGS)
     old = filings.filter(F.col("ts") < _before(_OLD_UNTIL))
@@ -142,6 +152,7 @@ QUERIES = {
     "feed_parse": feed_parse,
     "feed_rejects": feed_rejects,
     "feed_latest_page": feed_latest_page,
+    "feed_page": feed_page,
     "filing_diff": filing_diff,
     "filing_state_after": filing_state_after,
     "filing_diff_after_reset": filing_diff_after_reset,
@@ -253,6 +264,13 @@ CHECKS = {
     "feed_rejects": f"with {_JUDGED} select entry_id, reason from judged where reason is not null",
     "feed_latest_page": f"""
         with {_JUDGED} select entry_id, {_FILING} from parsed order by date desc, entry_id desc limit 10""",
+    "feed_page": f"""
+        with {_JUDGED}
+        select * from (select 'form' as page, entry_id, {_FILING} from parsed where formtype = '8-K'
+                       order by date desc, entry_id desc limit 10 offset 10)
+        union all
+        select * from (select 'entity' as page, entry_id, {_FILING} from parsed where cik = '{_ENTITY}'
+                       order by date desc, entry_id desc limit 10)""",
     "filing_diff": f"with {_OLD_NEW} select * from fresh",
     "filing_state_after": f"with {_OLD_NEW} select * from old union all select * from fresh",
     "filing_diff_after_reset": f"""

@@ -42,6 +42,16 @@ def rejected_entries(entries: DataFrame) -> DataFrame:
     return _judged(entries).filter(F.col("reason").isNotNull()).drop("read")
 
 
-def latest_page(filings: DataFrame, size: int = FEED_PAGE_SIZE, tie_break: str = "cik") -> DataFrame:
-    """The newest filings, as one feed page shows them."""
-    return filings.orderBy(F.desc("date"), F.desc(tie_break)).limit(size)
+def latest_page(
+    filings: DataFrame,
+    size: int = FEED_PAGE_SIZE,
+    tie_break: str = "cik",
+    start: int = 0,
+    entity: str | None = None,
+    form_type: str | None = None,
+) -> DataFrame:
+    """The newest filings from place ``start`` on, as one feed page shows them, of an entity or form type if named."""
+    for column, wanted in (("cik", entity), ("formtype", form_type)):
+        if wanted is not None:
+            filings = filings.filter(F.col(column) == wanted)
+    return filings.orderBy(F.desc("date"), F.desc(tie_break)).offset(start).limit(size)
