@@ -11,7 +11,7 @@ from ledgerline import session
 from ledgerline.catalog import inputs
 from ledgerline.catalog.inputs import derive, for_check
 from ledgerline.functions.html import LinkSection
-from ledgerline.operators import enrich, entities, feed, records, route
+from ledgerline.operators import enrich, entities, feed, records
 from ledgerline.plans.filings import FilingBatch, deliver, process_entries, store_links
 from ledgerline.schemas import FILING, FILING_COLUMNS, FILING_ENRICHED_COLUMNS
 from ledgerline.sources.feed import land_feed, read_feed

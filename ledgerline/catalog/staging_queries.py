@@ -10,7 +10,7 @@ from ledgerline import session
 from ledgerline.catalog import inputs
 from ledgerline.catalog.inputs import derive, for_check
 from ledgerline.functions import times
-from ledgerline.functions.payloads import array_json, parse_array
+from ledgerline.functions.payloads import parse_array
 from ledgerline.operators import conform as conforming
 from ledgerline.operators import requests
 from ledgerline.plans import staging
