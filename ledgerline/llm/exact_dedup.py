@@ -40,7 +40,8 @@ def mark_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     met = stored.where("maybe").select("doc_id", "tag", "sha")
     groups = met.groupBy("sha").agg(
         F.max(F.struct("doc_id", "tag")).alias("last"), F.count(F.lit(1)).alias("group_size"))
-    shared = met.join(groups, "sha").select(
+    # stored, so that both sides of the join are plain and a text with very many copies can be split
+    shared = met.join(session.cut(groups, "exact-groups"), "sha").select(
         "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
         (F.col("tag") == F.col("last.tag")).alias("kept"), F.col("sha").alias("text_sha256"))
     return alone.unionByName(shared)
