@@ -7,9 +7,15 @@ characters); a document of one to four words has one element, the whole sequence
 * Documents with equal sets form a class first; everything after that sees a class once, however many copies it has.
 * One hash per shingle gives the whole signature: its top bits name one of ``BINS`` bins, and a bin keeps its smallest
   hash. An empty bin takes the value of the first filled bin in a random order of its own, the same for every document.
-* A bucket is a band of ``ROWS`` bins with equal values. It becomes a star: its smallest class against the others, so
-  a bucket of n classes gives n - 1 pairs. When not all of them turn out to be connected, the bucket goes on without
-  its centres into another round, until every two of its classes are compared or connected. No pair is dropped.
+* A bucket is a band of ``ROWS`` bins with equal values. Candidate edges are stars: a class is compared with its hub, the
+  class that meets most others in buckets. Two classes of one hub that are similar either share enough within what both
+  have in common with the hub, or they share a shingle that the hub lacks. The first is known without comparing them; for
+  the second there is a bucket for each such shingle, where what a class shares with the hub and has in such buckets
+  bounds its similarity. That is exact, and spares a large family of copies from comparing its heavily edited members
+  with all others.
+* Buckets whose classes are not all connected then become stars themselves: a bucket of n classes gives n - 1 pairs, of one
+  centre with each of the rest, and goes on without its centres into another round with eight times as many, until every two of
+  its classes are compared, connected or known to differ. No pair is dropped, and none is formed within what is connected.
 * With 51 bands of 5 bins a pair at the limit shares no bucket with a probability of about one in a million.
 
 Empty and null texts and texts without words are linked with nothing. Equal rows are one class. Rows without an id
@@ -26,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import session
-from ledgerline.llm.components import connected
+from ledgerline.llm.components import connected, twice
 from ledgerline.llm.rowsets import bloom_of, probe, row_key, without_rows
 from ledgerline.llm.wordhash import Splitter, groups_of_texts, mix, text_buffers
 
@@ -137,59 +143,123 @@ def _near_sizes(n: Column, m: Column) -> Column:
     return 100 * F.least(n, m) >= SIMILARITY * F.greatest(n, m)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose full sets are similar."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``u, v, common, similar``: the pairs with the size of their intersection."""
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    return pairs.join(left, "u").join(right, "v").where(
-        _similar(common, F.size("a"), F.size("b"))).select("u", "v")
+    met = pairs.join(left, "u").join(right, "v").select(
+        "u", "v", F.size(F.array_intersect("a", "b")).alias("common"), F.size("a").alias("n"), F.size("b").alias("m"))
+    return met.select("u", "v", "common", _similar(F.col("common"), F.col("n"), F.col("m")).alias("similar"))
+
+
+def _reachable(s: Column, n: Column, m: Column) -> Column:
+    """Whether sets of sizes ``n`` and ``m`` are similar if they have ``s`` elements in common."""
+    return (100 + SIMILARITY) * s >= SIMILARITY * (n + m)
+
+
+def _hubs(members: DataFrame, state: DataFrame) -> DataFrame:
+    """``node, hub``: the class that meets most others among those a class meets, and those this one meets, and so on."""
+    met = members.select("key", "node").join(state.select("node", "meetings"), "node")
+    best = met.groupBy("key").agg(F.max(F.struct("meetings", (-F.col("node")).alias("first"))).alias("best"))
+    points = met.join(best, "key").groupBy("node").agg(F.max("best").alias("best")).select(
+        F.col("node").alias("u"), (-F.col("best.first")).alias("to"))
+    return twice(twice(session.cut(points, "near-points"))).select(F.col("u").alias("node"), F.col("to").alias("hub"))
+
+
+def _beyond(members: DataFrame, state: DataFrame, sets: DataFrame) -> DataFrame:
+    """A bucket for each hub and each shingle that the hub lacks but several of its classes in open buckets have."""
+    left = members.join(state.select("node", "label", "hub"), "node")
+    still = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    rest = left.join(still.select("key"), "key").select("node", "hub").distinct()
+    own = sets.select("node", F.col("shingles").alias("own"))
+    hubs = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("theirs"))
+    found = rest.join(own, "node").join(hubs, "hub").select(
+        "hub", "node", F.explode(F.array_except("own", "theirs")).alias("shingle"))
+    found = session.cut(found.select(F.xxhash64("hub", "shingle").alias("key"), "node"), "near-differences")
+    shared = found.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
+    return found.join(shared, "key").select("key", "node", F.lit(False).alias("within"))
 
 
 def _linked(docs: DataFrame, classes: DataFrame, buckets: DataFrame) -> DataFrame:
-    """``node, label`` of the classes that are linked with another one; label is the same within a component."""
+    """``node, label`` of the classes that share a bucket; label is the same within a component."""
     shared = buckets.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("who"))
-    once = shared.where("size > 1").groupBy("size", "low", "who").agg(F.min("key").alias("key")).select("key")
-    members = session.cut(buckets.join(once, "key"), "near-members")
-    wanted = members.select("node").distinct().join(classes.select("node", "doc_id", "d1", "d2", "n"), "node")
-    wanted = session.cut(wanted, "near-wanted")
-    ids = wanted.select(F.xxhash64("doc_id").alias("h"))
+    # buckets of the same classes are one, which counts for all of them when a hub is chosen
+    once = shared.where("size > 1").groupBy("size", "low", "who").agg(
+        F.min("key").alias("key"), F.count(F.lit(1)).alias("weight")).select("key", "weight")
+    members = session.cut(buckets.join(once, "key").select("key", "node", "weight"), "near-members")
+    met = members.groupBy("node").agg(F.sum("weight").alias("meetings"))
+    state = session.cut(classes.select("node", "doc_id", "d1", "d2", "n").join(met, "node").withColumn(
+        "label", F.col("node")), "near-state")
+    ids = state.select(F.xxhash64("doc_id").alias("h"))
     texts = docs.select(F.col("doc_id"), F.col("text"))
     texts = probe(texts, F.xxhash64("doc_id"), bloom_of(ids, "h"), "maybe").where("maybe").select("text")
     found = texts.mapInArrow(_full_sets, "n long, d1 long, d2 long, shingles array<long>")
-    sets = found.join(wanted.select("node", "n", "d1", "d2"), ["n", "d1", "d2"]).groupBy("node").agg(
+    sets = found.join(state.select("node", "n", "d1", "d2"), ["n", "d1", "d2"]).groupBy("node").agg(
         F.any_value("shingles").alias("shingles"))
     sets = session.cut(sets, "near-sets")
 
-    links = None
-    tested = None
-    labels = None
-    centres = [F.min(F.struct("node", "n", "label")), F.max(F.struct("node", "n", "label"))]
+    hubs = _hubs(members, state)
+    pairs = hubs.where("node <> hub").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v"))
+    tested = session.cut(pairs.distinct(), "near-pairs")
+    compared = session.cut(_compared(tested, sets), "near-compared")
+    ends = [F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")]
+    spokes = hubs.select("node", "hub", *ends).join(compared, ["u", "v"], "left")
+    spokes = spokes.select("node", "hub", "common", F.coalesce("similar", F.lit(True)).alias("on"))
+    state = state.drop("doc_id", "d1", "d2").join(spokes, "node").withColumn(
+        "common", F.coalesce("common", "n").cast("long"))
+    state = _joined(state, compared.where("similar").select("u", "v"))
+    members = members.select("key", "node", F.lit(True).alias("within"))
+    beyond = session.cut(_beyond(members, state, sets), "near-beyond")
+    members = members.unionByName(beyond)
+    extra = beyond.groupBy("node").agg(F.count(F.lit(1)).alias("extra"))
+    state = session.cut(state.join(extra, "node", "left").withColumn("extra", F.coalesce("extra", F.lit(0))), "near-state")
+
+    stars = 1
     while True:
-        left = members.withColumn("label", F.col("node")) if labels is None else members.join(
-            labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        left = session.cut(left, "near-left")
-        agreed = left.groupBy("key").agg(
-            F.min("label").alias("lowest"), F.max("label").alias("highest"),
-            F.array_distinct(F.array(*centres)).alias("centres")).where("lowest < highest")
-        met = left.join(agreed.select("key", F.explode("centres").alias("centre")), "key")
-        met = met.where((F.col("node") != F.col("centre.node")) & (F.col("label") != F.col("centre.label"))
-                        & _near_sizes(F.col("n"), F.col("centre.n")))
-        pairs = met.select(F.least("node", "centre.node").alias("u"), F.greatest("node", "centre.node").alias("v"))
-        pairs = pairs.distinct() if tested is None else pairs.distinct().join(tested, ["u", "v"], "left_anti")
-        pairs = session.cut(pairs, "near-pairs")
-        new = session.cut(_verified(pairs, sets), "near-links")
-        links = new if links is None else links.unionByName(new)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = connected(links)
-        # a centre has met its whole bucket; what stays open are the others of buckets with several components
-        open_ = agreed.select("key", F.transform("centres", lambda c: c["node"]).alias("done"))
-        members = left.join(open_, "key").where(~F.array_contains("done", F.col("node"))).select("key", "node", "n")
-        members = session.cut(members, "near-members")
-        again = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        if again.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").isEmpty():
-            return labels
+        left = session.cut(members.join(state, "node"), "near-left")
+        open_ = left.groupBy("key").agg(
+            F.count(F.lit(1)).alias("size"), F.min("label").alias("lowest"), F.max("label").alias("highest"),
+            F.min("hub").alias("low"), F.max("hub").alias("high"), F.min("n").alias("least"), F.min("node").alias("first"),
+            F.max(F.when(~F.col("on"), F.col("common") * ((100 + SIMILARITY) / SIMILARITY) - F.col("n"))).alias("cap"),
+            F.bit_xor(F.xxhash64("node", "within")).alias("who")).where("lowest < highest")
+        # buckets that have come to hold the same classes go on as one
+        open_ = open_.groupBy("size", "first", "who", "low", "high", "least", "cap").agg(F.min("key").alias("key"))
+        drawn = F.pmod(F.xxhash64("node", "key", F.lit(stars)), F.col("size")) < stars
+        # of a pair to compare one is not similar to the common hub, and the other is no larger than that one's cap
+        inside = F.when(F.col("on"), F.col("n") <= F.col("cap") + 1e-6).otherwise(
+            _reachable(F.col("common"), F.col("n"), F.col("least")))
+        outside = _reachable(F.col("common") + F.col("extra"), F.col("n"), F.col("least"))
+        useful = F.when(~F.col("within"), outside).when(F.col("low") == F.col("high"), inside).otherwise(True)
+        placed = session.cut(left.join(open_, "key").where(useful).select(
+            "key", "node", "within", "n", "label", "hub", "common", "extra",
+            ((F.col("node") == F.col("first")) | drawn).alias("centre")), "near-placed")
+        if placed.isEmpty():
+            return state.select("node", "label")
+        centres = placed.where("centre").select(
+            "key", *(F.col(name).alias(f"c_{name}") for name in ("node", "n", "label", "hub", "common", "extra")))
+        within = F.least("common", "c_common")
+        most = F.when(F.col("within"), within).otherwise(within + F.least("extra", "c_extra"))
+        met = placed.join(centres, "key").where(
+            (F.col("label") != F.col("c_label")) & _near_sizes(F.col("n"), F.col("c_n"))
+            & ((F.col("hub") != F.col("c_hub")) | _reachable(most, F.col("n"), F.col("c_n"))))
+        pairs = met.select(F.least("node", "c_node").alias("u"), F.greatest("node", "c_node").alias("v")).distinct()
+        pairs = session.cut(pairs.join(tested, ["u", "v"], "left_anti"), "near-pairs")
+        tested = tested.unionByName(pairs)
+        compared = session.cut(_compared(pairs, sets), "near-compared")
+        state = _joined(state, compared.where("similar").select("u", "v"))
+        # a centre has met its whole bucket; the others go on
+        members = placed.where("not centre").select("key", "node", "within")
+        stars *= 8
+
+
+def _joined(state: DataFrame, links: DataFrame) -> DataFrame:
+    """``state`` after the nodes of each link have got the same label."""
+    one, two = (state.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")) for end in ("u", "v"))
+    ends = links.join(one, "u").join(two, "v").select(F.col("lu").alias("u"), F.col("lv").alias("v"))
+    moved = connected(ends).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return session.cut(state.join(moved, "label", "left").withColumn(
+        "label", F.coalesce("root", "label")).drop("root"), "near-state")
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -203,7 +273,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     classes = filled.groupBy("n", "d1", "d2").agg(
         F.min("tag").alias("node"), F.min(order).alias("first"), F.any_value("bands").alias("bands"))
     classes = session.cut(classes.withColumn("doc_id", F.col("first.doc_id")), "near-classes")
-    buckets = session.cut(classes.select(F.explode("bands").alias("key"), "node", "n"), "near-buckets")
+    buckets = session.cut(classes.select(F.explode("bands").alias("key"), "node"), "near-buckets")
     labels = _linked(docs, classes, buckets)
     rooted = classes.select("n", "d1", "d2", "node", "first").join(labels, "node", "left").withColumn(
         "root", F.coalesce("label", "node"))
