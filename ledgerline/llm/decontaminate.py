@@ -6,10 +6,12 @@ A text becomes a sequence of tokens (runs of letters, digits and bytes beyond AS
 * a capitalised word that does not begin a sentence becomes a name slot,
 * a unit after a number becomes a unit slot.
 
-Windows of ``WINDOW`` such tokens are joined by hash with those of the benchmark items; a window needs ``PLAIN`` tokens
-that are no slots. Matches of a document and an item that lie on one alignment are held together if their slots are
+Windows of ``WINDOW`` such tokens are joined by hash with those of the benchmark items. A window with fewer than ``PLAIN``
+tokens that are no slots is joined on what stands in its slots as well, so it matches word for word only. Matches of a document and an item that lie on one alignment are held together if their slots are
 consistent: the same value in the item always stands for the same value in the document. They count when they number
-``MATCHES``, or all windows of a shorter item. An item of fewer tokens than a window is one window of its own length.
+``MATCHES``, or all windows of a shorter item; the windows with ``PLAIN`` such tokens also count on their own, so that what
+is word for word elsewhere takes no match away. An item of fewer tokens than a window is one window of its own length; of
+slots alone it matches nothing.
 
 The scan keeps a window only if a bitmap of fixed size, made from the benchmark, has its bit; so only likely matches
 leave the scan, whatever the sizes, and an exact join follows.
@@ -134,15 +136,21 @@ def _is_slot(tokens: np.ndarray) -> np.ndarray:
     return (tokens == NUMBER) | (tokens == NAME) | (tokens == UNIT)
 
 
-def _windows(tokens: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of the windows that lie within one text and have enough plain tokens."""
+def _windows(tokens: np.ndarray, values: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and hash of the windows that lie within one text, and whether they have enough plain tokens.
+
+    The hash of one that has not is that of its values.
+    """
     rolled = _rolled(tokens, size)
     sums = np.concatenate(([0], np.cumsum(_is_slot(tokens))))
     starts = np.arange(len(rolled))
     inside = np.searchsorted(bounds, starts, "right") == np.searchsorted(bounds, starts + size - 1, "right")
-    plain = size - (sums[starts + size] - sums[starts]) >= min(PLAIN, size)
-    keep = np.flatnonzero(inside & plain)
-    return keep, rolled[keep]
+    count = size - (sums[starts + size] - sums[starts])
+    plain = count >= min(PLAIN, size)
+    if not plain.all():
+        rolled = np.where(plain, rolled, _rolled(mix(values ^ tokens), size))
+    keep = np.flatnonzero(inside & (plain | (count > 0) | (size == WINDOW)))
+    return keep, rolled[keep], plain[keep]
 
 
 def _slots(tokens: np.ndarray, values: np.ndarray, starts: np.ndarray, size: int) -> pa.Array:
@@ -156,7 +164,10 @@ def _slots(tokens: np.ndarray, values: np.ndarray, starts: np.ndarray, size: int
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``item, h, size, at, slots, windows`` of benchmark items; windows: how many the item has."""
+    """``item, h, size, at, slots, plain, windows, every`` of benchmark items.
+
+    windows: how many with enough plain tokens the item has; every: how many at all.
+    """
     canonical = Canonical()
     for whole in batches:
         for batch in groups_of_texts(whole, "text"):
@@ -166,13 +177,14 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 size = min(WINDOW, len(own))
                 if not size:
                     continue
-                starts, rolled = _windows(own, np.array([0, len(own)]), size)
+                starts, rolled, plain = _windows(own, kept, np.array([0, len(own)]), size)
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column("item")[row].as_py()] * n, pa.int64()), pa.array(rolled.view(np.int64)),
                      pa.array(np.full(n, size, dtype=np.int32)), pa.array(starts.astype(np.int64)),
-                     _slots(own, kept, starts, size), pa.array(np.full(n, n, dtype=np.int64))],
-                    ["item", "h", "size", "at", "slots", "windows"])
+                     _slots(own, kept, starts, size), pa.array(plain), pa.array(np.full(n, plain.sum(), dtype=np.int64)),
+                     pa.array(np.full(n, n, dtype=np.int64))],
+                    ["item", "h", "size", "at", "slots", "plain", "windows", "every"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -183,7 +195,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     """
     items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("item"), F.col(f"`{item_text}`").alias("text"))
     items = session.cut(items.mapInArrow(
-        _item_windows, "item long, h long, size int, at long, slots array<long>, windows long"), "benchmark-windows")
+        _item_windows, "item long, h long, size int, at long, slots array<long>, plain boolean, windows long, every long"),
+        "benchmark-windows")
     marked = items.select(F.pmod("h", F.lit(BITMAP_BITS)).cast("int").alias("bit")).distinct().toPandas()["bit"]
     bitmap = np.zeros(BITMAP_BITS, dtype=bool)
     bitmap[marked.to_numpy(dtype=np.int64)] = True
@@ -198,7 +211,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
             for batch in groups_of_texts(whole, "text"):
                 tokens, values, bounds = canonical.tokens(batch.column("text"))
                 for size in sizes:
-                    starts, rolled = _windows(tokens, bounds, size)
+                    starts, rolled, _ = _windows(tokens, values, bounds, size)
                     likely = bits[(rolled & np.uint64(BITMAP_BITS - 1)).astype(np.int64)]
                     starts, rolled = starts[likely], rolled[likely]
                     rows = np.searchsorted(bounds, starts, "right") - 1
@@ -213,10 +226,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     found = keyed.mapInArrow(scan, "doc_id long, a long, b int, h long, at long, slots array<long>")
     met = found.alias("d").join(items.alias("i"), F.col("d.h") == F.col("i.h")).where(
         F.size("d.slots") == F.size("i.slots")).select(
-        "doc_id", "a", "b", "item", "windows", F.col("d.at").alias("at"), (F.col("d.at") - F.col("i.at")).alias("shift"),
+        "doc_id", "a", "b", "item", "plain", "windows", "every", F.col("d.at").alias("at"),
+        (F.col("d.at") - F.col("i.at")).alias("shift"),
         F.arrays_zip(F.col("i.slots").alias("was"), F.col("d.slots").alias("now")).alias("slots"))
-    met = session.cut(met, "benchmark-matches")
-    alignment = ["doc_id", "a", "b", "item", "shift"]
+    # judged twice if the item has other windows: by those with enough plain tokens, and by all
+    judged = F.explode(F.when(F.col("plain") & (F.col("windows") < F.col("every")), F.array(F.lit(False), F.lit(True))).otherwise(
+        F.array(~F.col("plain"))))
+    met = met.withColumn("whole", judged).withColumn("windows", F.when(F.col("whole"), F.col("every")).otherwise(F.col("windows")))
+    met = session.cut(met.drop("plain", "every"), "benchmark-matches")
+    alignment = ["doc_id", "a", "b", "item", "shift", "whole"]
     # null-safe on the id: rows without one are told apart by their key
     whole = met.groupBy(*alignment).agg(
         F.max("windows").alias("windows"), F.countDistinct("at").alias("matched"), F.min("at").alias("first_token"))
@@ -228,8 +246,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     one, two = whole.alias("w"), values.alias("v")
     same = [F.col(f"w.{name}").eqNullSafe(F.col(f"v.{name}")) for name in alignment]
     joined = one.join(two, same, "left").where("pairs is null or pairs = known")
-    return joined.select("w.doc_id", "w.a", "w.b", F.col("w.item").alias("item_id"), "matched",
-                         F.coalesce("changed", F.lit(0)).cast("long").alias("changed"), "first_token")
+    joined = joined.select("w.doc_id", "w.a", "w.b", F.col("w.item").alias("item_id"), "w.shift", "matched",
+                           F.coalesce("changed", F.lit(0)).cast("long").alias("changed"), "first_token")
+    best = F.max(F.struct("matched", "changed", "first_token")).alias("best")
+    return joined.groupBy("doc_id", "a", "b", "item_id", "shift").agg(best).select("doc_id", "a", "b", "item_id", "best.*")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:

@@ -41,6 +41,19 @@ def test_slots_must_be_consistent(spark):
     assert set(found(spark, [good, bad], [item])) == {(0, 0)}
 
 
+def test_copies_rich_in_slots(spark):
+    """Windows of few plain tokens match word for word, and take no match of the others away."""
+    rng = random.Random(4)
+    figures = "In table " + " ".join(f"{rng.randrange(900)} km {rng.randrange(90)}" for _ in range(12))
+    people = "so asked Peter Paul Mary Anna Karl Otto Emil Frank Clara Hugo Ida"
+    mixed = "count how many of the red pens we have 3 4 5 6 7 8 9 10 11 12 13 14 15 16"
+    items = ["What is 12 + 7 * 3 - 4?", figures, people, mixed]
+    texts = [f"{sentence(rng, 20)}. {item} {sentence(rng, 20)}" for item in items]
+    texts += [texts[0].replace("12 + 7", "13 + 7"), " ".join(str(rng.randrange(900)) for _ in range(60)),
+              texts[3].replace("have 3 4 5 6", "have 21 22 23 24")]
+    assert set(found(spark, texts, items)) == {(0, 0), (1, 1), (2, 2), (3, 3), (6, 3)}
+
+
 def test_short_items_and_passages(spark):
     rng = random.Random(2)
     long = sentence(rng, 60)
