@@ -13,7 +13,8 @@ Words are cut wherever no piece holds both neighbouring characters, as before a
 piece become byte pieces. The ids are those of the public library for the same model.
 
 A null or empty text has no ids and decodes to an empty text. A text keeps its rows, ties and order: one result per row.
-Very long texts are taken in parts. The marker character U+2581 in a text is read back as a space, as the format
+Very long texts are taken in parts. What a
+worker holds is bounded: half a megabyte of text at a time and 24 MB of segments met before, which it then forgets. The marker character U+2581 in a text is read back as a space, as the format
 defines it.
 """
 
@@ -35,9 +36,10 @@ TOKENIZERS = "/opt/tokenizers"
 MARK = "▁"
 BASE = 0x9E3779B97F4A7C15 | 1
 GATE_BITS = 21
-CELLS = 1 << 21
-KNOWN_SEGMENTS = 1_000_000
-PART_CHARS = 1 << 20
+CELLS = 1 << 18
+KNOWN_BYTES = 24 << 20
+PART_CHARS = 1 << 18
+GROUP_BYTES = 1 << 19
 
 
 def _key(text: str) -> int:
@@ -300,7 +302,7 @@ class Encoder:
         example[codes[::-1]] = np.arange(len(codes))[::-1]
         places = self._places(distinct)
         if (places < 0).any():
-            if len(self.known) + int((places < 0).sum()) > KNOWN_SEGMENTS:
+            if sum(part.nbytes for part in (self.known, self.rows, self.bounds, self.flat)) > KNOWN_BYTES:
                 self._forget()
                 places[:] = -1
             new = np.flatnonzero(places < 0)
@@ -368,7 +370,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _tools(model.value)
         for whole in batches:
-            for batch in groups_of_texts(whole, "t", 4 << 20):
+            for batch in groups_of_texts(whole, "t", GROUP_BYTES):
                 texts = batch.column("t").to_pylist()
                 flat, bounds = _encode_all(encoder, texts)
                 same = [decoder.decode(flat[a:b]) == (one or "")

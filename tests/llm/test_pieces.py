@@ -51,7 +51,7 @@ def test_round_trip(encoder):
 
 
 def test_forgetting_changes_nothing(encoder, monkeypatch, library):
-    monkeypatch.setattr(pieces, "KNOWN_SEGMENTS", 50)
+    monkeypatch.setattr(pieces, "KNOWN_BYTES", 2000)
     small = pieces.Encoder(encoder.model)
     texts = [text for _, text, *_ in corpus()]
     assert [ids_of(small, [text])[0] for text in texts] == library.encode(texts)
