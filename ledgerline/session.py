@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job here relies on: entry times are rendered in UTC, casts raise instead of
-# wrapping, and joins whose key is hot are split by adaptive execution even if that costs a shuffle.
+# wrapping, joins whose key is hot are split by adaptive execution even if that costs a shuffle, and a batch
+# for a Python worker holds some megabytes, however long its rows.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -17,6 +18,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 _local_roots: dict[str, str] = {}
