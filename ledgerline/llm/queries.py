@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerline import session
 from ledgerline.llm import (
-    decontaminate, exact_dedup, near_dedup, passages, pieces, quality, secret_scan, sharding, token_counts, toxicity,
+    alignment, decontaminate, exact_dedup, near_dedup, passages, pieces, pitman_yor, quality, secret_scan, sharding,
+    token_counts, toxicity, whitening,
 )
 
 SHARDS = 40
@@ -77,6 +78,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(_documents(spark, sf_dir))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = pieces.TOKENIZERS) -> DataFrame:
+    return alignment.align(_documents(spark, sf_dir), os.path.join(tokenizers, "byte_bpe_50k.json"),
+                           os.path.join(tokenizers, "piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -92,6 +106,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_lm_scoring": op11_lm_scoring,
+    "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
 

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import hashlib
+import os
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from corpora import corpus, edge_rows, edge_table, table
+
+from ledgerline.llm import alignment, pieces
+
+BPE = os.path.join(pieces.TOKENIZERS, "byte_bpe_50k.json")
+PIECES = os.path.join(pieces.TOKENIZERS, "piece_bpe_32k.model")
+pytestmark = pytest.mark.skipif(not os.path.exists(BPE), reason="no vocabulary here")
+NAMES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+TRICKY = ["a\x00b", "x <|endoftext|> y", "▁marked", "  two  spaces ", "\n\n\n", "<s></s><0x0A>", "漢字かな交じり文", "😀😀 😀", "naïve café",
+          "don't I'll 1234567 !!!???", "a" * 900, "tab\t\tq", "é" * 50, " "]
+
+
+@pytest.fixture(scope="module")
+def tools():
+    with open(BPE, "rb") as one, open(PIECES, "rb") as two:
+        return alignment.Tokenizers(one.read(), two.read())
+
+
+def plain(tools, texts):
+    """Everything by loops over tokens, one text after another."""
+    per_text, documents = [], Counter()
+    for text in texts:
+        whole = (" " + (text or "")).encode()
+        a, b = (one[0] for one in tools.encode([text])) if text else ([], [])
+        if not text or b"".join(tools.bytes_a[i] for i in a) != whole or b"".join(tools.bytes_b[i] for i in b) != whole:
+            per_text.append(None)
+            continue
+        groups, at = [], [0, 0]
+        ends = [0, 0]
+        own = [[], []]
+        while at[0] < len(a) or at[1] < len(b):
+            side = 0 if ends[0] <= ends[1] and at[0] < len(a) else 1
+            token = (a, b)[side][at[side]]
+            own[side].append(token)
+            ends[side] += len((tools.bytes_a, tools.bytes_b)[side][token])
+            at[side] += 1
+            if ends[0] == ends[1]:
+                groups.append(own)
+                own = [[], []]
+        links = Counter((x, y) for one, two in groups for x in one for y in two)
+        documents.update(set(links))
+        per_text.append((len(a), len(b), groups, links))
+    most = defaultdict(int)
+    for (x, _), count in documents.items():
+        most[x] = max(most[x], count)
+    rows = []
+    for found in per_text:
+        if found is None:
+            rows.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links = found
+        written = ";".join("|".join(",".join(map(str, side)) for side in group) for group in groups)
+        rows.append((n_a, n_b, len(groups), sum(links.values()),
+                     sum(times for pair, times in links.items() if documents[pair] == most[pair[0]]),
+                     sum(times * documents[pair] for pair, times in links.items()), hashlib.sha256(written.encode()).hexdigest()))
+    return rows
+
+
+def check(spark, tools, rows, df=None):
+    found = alignment.align(table(spark, rows) if df is None else df, BPE, PIECES)
+    assert found.columns == ["doc_id", *NAMES]
+    expected = sorted(((i, *one) for (i, *_), one in zip(rows, plain(tools, [row[1] for row in rows]), strict=True)), key=repr)
+    assert sorted((tuple(row) for row in found.collect()), key=repr) == expected
+
+
+def test_against_loops(spark, tools):
+    rows = corpus(size=60)
+    rows += [(1000 + i, text, "en", "s", 0) for i, text in enumerate(TRICKY + TRICKY[:3])]
+    check(spark, tools, rows)
+
+
+def test_rare_pairs_are_joined(spark, tools, monkeypatch):
+    monkeypatch.setattr(alignment, "FREQUENT", 40)
+    check(spark, tools, corpus(size=25))
+    monkeypatch.setattr(alignment, "FREQUENT", 0)
+    check(spark, tools, corpus(size=6))
+
+
+def test_edge_rows(spark, tools):
+    rows = edge_rows()
+    check(spark, tools, rows, edge_table(spark))
+
+
+def test_empty_table(spark):
+    assert alignment.align(table(spark, []), BPE, PIECES).count() == 0
+
+
+def test_parts_change_nothing(tools, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(("a", "Bc", "dé", "12", "x.", "😀", "don't")) for _ in range(400)) for _ in range(4)] + TRICKY
+    whole = alignment.align_texts(tools, texts)
+    monkeypatch.setattr(alignment, "PART_CHARS", 20)
+    monkeypatch.setattr(alignment, "BLOCK_CHARS", 90)
+    monkeypatch.setattr(alignment, "CELLS", 3)
+    parts = alignment.align_texts(tools, texts)
+    for one, two in zip(whole, parts, strict=True):
+        assert [getattr(one, name) for name in NAMES[:4]] == [getattr(two, name) for name in NAMES[:4]]
+        assert (one.digest and one.digest.hexdigest()) == (two.digest and two.digest.hexdigest())
+        for left, right in zip(one.merged(), two.merged(), strict=True):
+            assert left.tolist() == right.tolist()
