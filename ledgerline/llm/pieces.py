@@ -14,14 +14,14 @@ piece become byte pieces. The ids are those of the public library for the same m
 
 A null or empty text has no ids and decodes to an empty text. A text keeps its rows, ties and order: one result per row.
 Very long texts are taken in parts. What a
-worker holds is bounded: half a megabyte of text at a time and 24 MB of segments met before, which it then forgets. The marker character U+2581 in a text is read back as a space, as the format
+worker holds is bounded: half a megabyte of text at a time and 40 MB of segments met before, which it then forgets. The marker character U+2581 in a text is read back as a space, as the format
 defines it.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,9 +37,10 @@ MARK = "▁"
 BASE = 0x9E3779B97F4A7C15 | 1
 GATE_BITS = 21
 CELLS = 1 << 18
-KNOWN_BYTES = 24 << 20
+KNOWN_BYTES = 40 << 20
 PART_CHARS = 1 << 18
 GROUP_BYTES = 1 << 19
+LEARN_BYTES = 4 << 20
 
 
 def _key(text: str) -> int:
@@ -162,6 +163,11 @@ class PieceModel:
         return apart
 
 
+def _sorted_by_first(keys: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    return keys[order], others[order]
+
+
 class Encoder:
     """Encodes texts in segments between which no piece can reach, remembering the segments it has met."""
 
@@ -182,6 +188,8 @@ class Encoder:
     def _forget(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)
         self.rows = np.zeros(0, dtype=np.int64)
+        # those learnt since the last time all were sorted
+        self.late_known, self.late_rows = self.known, self.rows
         self.flat = np.zeros(0, dtype=np.int32)
         self.bounds = np.zeros(1, dtype=np.int64)
 
@@ -255,6 +263,7 @@ class Encoder:
         order = np.argsort(lengths, kind="stable")
         hashes, starts, lengths = hashes[order], starts[order], lengths[order]
         flats, counts = [self.flat], []
+        at_row = len(self.bounds) - 1
         for length in np.unique(lengths).tolist():
             first, last = np.searchsorted(lengths, [length, length + 1])
             step = max(1, CELLS // length)
@@ -265,26 +274,29 @@ class Encoder:
                 counts.append(used)
         self.flat = np.concatenate(flats)
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(counts))])
-        known = np.concatenate([self.known, hashes])
-        rows = np.concatenate([self.rows, np.arange(len(self.known), len(known))])
-        order = np.argsort(known, kind="stable")
-        self.known, self.rows = known[order], rows[order]
+        self.late_known, self.late_rows = _sorted_by_first(
+            np.concatenate([self.late_known, hashes]),
+            np.concatenate([self.late_rows, np.arange(at_row, at_row + len(hashes))]))
+        if len(self.late_known) > len(self.known) // 4:
+            self.known, self.rows = _sorted_by_first(
+                np.concatenate([self.known, self.late_known]), np.concatenate([self.rows, self.late_rows]))
+            self.late_known, self.late_rows = self.known[:0], self.rows[:0]
 
     def _places(self, hashes: np.ndarray) -> np.ndarray:
         """Where each hash is known, -1 where it is not."""
-        if not len(self.known):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        return np.where(self.known[at] == hashes, self.rows[at], -1)
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and the bounds of each text's."""
+        places = np.full(len(hashes), -1)
+        for known, rows in ((self.known, self.rows), (self.late_known, self.late_rows)):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                places = np.where(known[at] == hashes, rows[at], places)
+        return places
+
+    def _segments(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """The characters of all texts, start, length and hash of each segment, and where each text ends."""
         marked = [MARK + text if text else "" for text in texts]
         chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        if not len(chars):
-            return np.zeros(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
+        ends = np.concatenate(([0], np.cumsum([len(text) for text in marked], dtype=np.int64)))
         chars = np.where(chars == 32, np.uint32(ord(MARK)), chars)
-        ends = np.concatenate(([0], np.cumsum([len(text) for text in marked])))
         kinds = self.classes[chars]
         cut = np.ones(len(chars), dtype=bool)
         cut[1:] = ~self.joins[kinds[:-1], kinds[1:]]
@@ -296,20 +308,39 @@ class Encoder:
         sums = np.zeros(len(chars) + 1, dtype=np.uint64)
         np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * self.powers[:len(chars)], out=sums[1:])
         hashes = (sums[starts + lengths] - sums[starts]) * self.inverse[starts]
-        hashes = mix(hashes) ^ lengths.astype(np.uint64)
-        codes, distinct = pd.factorize(hashes)
-        example = np.zeros(len(distinct), dtype=np.int64)
-        example[codes[::-1]] = np.arange(len(codes))[::-1]
-        places = self._places(distinct)
-        if (places < 0).any():
-            if sum(part.nbytes for part in (self.known, self.rows, self.bounds, self.flat)) > KNOWN_BYTES:
-                self._forget()
-                places[:] = -1
-            new = np.flatnonzero(places < 0)
-            at = example[new]
-            self._learn(distinct[new], starts[at], lengths[at], chars)
-            places = self._places(distinct)
-        rows = places[codes]
+        return chars, starts, lengths, mix(hashes) ^ lengths.astype(np.uint64), ends
+
+    def meet(self, groups: Iterable[list[str | None]]) -> None:
+        """Learns the segments of some groups of texts together, of which only those not met before are kept in memory."""
+        kept = (self.known, self.rows, self.late_known, self.late_rows, self.bounds, self.flat)
+        if sum(part.nbytes for part in kept) > KNOWN_BYTES:
+            self._forget()
+        found = []
+        for texts in groups:
+            chars, starts, lengths, hashes, _ = self._segments(texts)
+            codes, distinct = pd.factorize(hashes)
+            example = np.zeros(len(distinct), dtype=np.int64)
+            example[codes[::-1]] = np.arange(len(codes))[::-1]
+            at = example[self._places(distinct) < 0]
+            sizes = lengths[at]
+            places = np.arange(sizes.sum()) + np.repeat(starts[at] - np.cumsum(sizes) + sizes, sizes)
+            found.append((hashes[at], sizes, chars[places]))
+        if not found:
+            return
+        hashes, sizes, chars = (np.concatenate(part) for part in zip(*found, strict=True))
+        distinct, first = np.unique(hashes, return_index=True)
+        if len(distinct):
+            self._learn(distinct, (np.cumsum(sizes) - sizes)[first], sizes[first], chars)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and the bounds of each text's."""
+        _, starts, _, hashes, ends = self._segments(texts)
+        if not len(starts):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
+        rows = self._places(hashes)
+        if (rows < 0).any():
+            self.meet([texts])
+            rows = self._places(hashes)
         first, sizes = self.bounds[rows], self.bounds[rows + 1] - self.bounds[rows]
         stops = np.cumsum(sizes)
         ids = self.flat[np.arange(stops[-1]) + np.repeat(first - stops + sizes, sizes)]
@@ -362,6 +393,14 @@ def _encode_all(encoder: Encoder, texts: list[str | None]) -> tuple[np.ndarray,
     return np.concatenate([ids for own in found for ids in own]), bounds
 
 
+def _met(encoder: Encoder, whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The texts of a batch in small groups, whose segments were learnt some megabytes of text at a time."""
+    for large in groups_of_texts(whole, "t", LEARN_BYTES):
+        small = list(groups_of_texts(large, "t", GROUP_BYTES))
+        encoder.meet([text for text in batch.column("t").to_pylist() if text and len(text) <= PART_CHARS] for batch in small)
+        yield from small
+
+
 def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids",
                   round_trip: str | None = None) -> DataFrame:
     """``docs`` with the array ``ids`` instead of ``text``; ``round_trip`` names a flag: decoding gives the text back."""
@@ -370,7 +409,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _tools(model.value)
         for whole in batches:
-            for batch in groups_of_texts(whole, "t", GROUP_BYTES):
+            for batch in _met(encoder, whole):
                 texts = batch.column("t").to_pylist()
                 flat, bounds = _encode_all(encoder, texts)
                 same = [decoder.decode(flat[a:b]) == (one or "")
