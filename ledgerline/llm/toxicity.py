@@ -153,6 +153,16 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(counts["count"].to_numpy().astype(np.int64) - toxic)], ["word", "toxic", "clean"])
 
 
+def _matrix(lists: pa.ChunkedArray, width: int, blank: int) -> np.ndarray:
+    """Lists of one length as rows, and rows of zeros after them."""
+    rows = np.zeros((len(lists) + blank, width))
+    at = 0
+    for chunk in lists.chunks:
+        rows[at:at + len(chunk)] = chunk.flatten().to_numpy().reshape(len(chunk), width)
+        at += len(chunk)
+    return rows
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = VOCABULARY,
           categories: dict[str, tuple[str, ...]] = CATEGORIES) -> Chain:
     """The chain learnt from ``labels (doc_id, toxic)`` of ``docs (doc_id, text)``."""
@@ -189,12 +199,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int =
                      pa.array(marks.tolist(), pa.list_(pa.float64()))], ["doc_id", "toxic", "counts", "marks"])
 
     seen = rows.mapInArrow(count, "doc_id long, toxic int, counts array<double>, marks array<double>")
-    seen = seen.where("toxic = 1 or exists(counts, c -> c > 0)").orderBy("doc_id", "counts", "toxic").toPandas()
+    seen = seen.where("toxic = 1 or exists(counts, c -> c > 0)").orderBy("doc_id", "counts", "toxic").toArrow()
     # documents without any vocabulary word are one row, weighted by repetition at most `sample` times
-    blank = kinds[0] + kinds[1] - len(seen)
-    counts = np.vstack([*seen["counts"], *([np.zeros(len(vocabulary))] * blank)])
-    toxic = np.concatenate([seen["toxic"].to_numpy(), np.zeros(blank)]).astype(float)
-    marks = np.vstack([*seen["marks"], *([np.zeros(len(marker.vocabulary))] * blank)]) > 0
+    blank = kinds[0] + kinds[1] - seen.num_rows
+    counts, marks = (_matrix(seen.column(name), width, blank) for name, width in (
+        ("counts", len(vocabulary)), ("marks", len(marker.vocabulary))))
+    toxic = np.concatenate([seen.column("toxic").to_numpy(), np.zeros(blank)]).astype(float)
+    marks = marks > 0
     targets = [toxic * marks[:, np.isin(marker.vocabulary, own)].any(axis=1) for own in seeds]
     targets.append(toxic * ~marks.any(axis=1))
     chain.weights = fit_chain(counts, [*targets, toxic], np.arange(len(toxic)) % FOLDS)
