@@ -291,9 +291,13 @@ def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id, kept``; one row of each component is kept."""
+    """Per row: ``doc_id, n_shingles, component_id, kept``.
+
+    ``component_id`` is the smallest id of the component, and ``kept`` says that the row has it: of rows that share
+    their id all or none are kept. Where no row of a component has an id, all of them are.
+    """
     return _grouped(_named(docs, doc_id, text)).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("tag") == F.col("keeper")).alias("kept"))
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

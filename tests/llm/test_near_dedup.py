@@ -62,7 +62,8 @@ def test_edge_cases(spark):
     got = near_dedup.near_duplicates(edge_table(spark)).collect()
     sets = [shingles(text) for _, text, *_ in rows]
     assert sorted(row.n_shingles for row in got) == sorted(map(len, sets))
-    assert sum(row.kept for row in got) == len(set(roots(sets)))
+    # the contract's rule: all rows of the smallest id, however often it is repeated
+    assert all(row.kept == (row.doc_id == row.component_id) for row in got)
     assert all(row.component_id == row.doc_id and row.kept for row in got if row.n_shingles == 0)
     kept = near_dedup.drop_near_duplicates(edge_table(spark))
     assert kept.columns == edge_table(spark).columns
@@ -134,3 +135,11 @@ def test_connected(spark, shape):
     got = {r.node: r.label for r in components.connected(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert set(got) == {n for u, v in edges if u != v for n in (u, v)}
     assert all((got[i] == got[j]) == (find(i) == find(j)) for i in got for j in got)
+
+
+def test_rows_that_share_their_id(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text, "en", "s", 1)]
+    got = near_dedup.near_duplicates(table(spark, rows)).collect()
+    assert sorted((row.doc_id, row.component_id, row.kept) for row in got) == [(1, 1, True), (1, 1, True), (2, 1, False)]
+    assert near_dedup.drop_near_duplicates(table(spark, rows)).count() == 1
