@@ -35,6 +35,16 @@ LEDGER = extend(
     T.StructField("month", T.StringType()),
 )
 
+# Several batches merged into one run; the batch is a column of the files there.
+LEDGER_RUNS = extend(
+    FILING,
+    T.StructField("snapshot_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("epoch", T.LongType()),
+    T.StructField("run", T.StringType()),
+    T.StructField("month", T.StringType()),
+)
+
 # Daily crawl records, in the declared order of the staged dataset.
 STAGED_FILING = strings("cik", "date", "formtype", "inter_url", "companyname", "formurl")
 STAGED_PARTITIONS = ("y", "m", "d")

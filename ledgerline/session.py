@@ -85,3 +85,23 @@ def cut(df: DataFrame, name: str, folder: str | None = None, by: str | None = No
         writer = writer.partitionBy(by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly below ``path`` in any store Spark can write to; none if it does not exist."""
+    folder, files = _located(spark, path)
+    if not files.exists(folder):
+        return []
+    return [f"{path}/{one.getPath().getName()}" for one in files.listStatus(folder)
+            if one.isDirectory() and not one.getPath().getName().startswith("_")]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with everything in it; nothing happens if it does not exist."""
+    folder, files = _located(spark, path)
+    files.delete(folder, True)
+
+
+def _located(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -9,20 +9,33 @@ current epoch alone, so neither reading nor listing it grows with what came befo
 ``month`` is the calendar month of a filing's ``date``. As ``date`` takes part in record equality, a batch
 can only meet equal records in its own months and between its first and last date. The months prune
 folders, the dates prune row groups, which are sorted by date.
+
+Every poll leaves a folder, so the folders are merged from time to time: ``merged/epoch=E/run=R/month=M/`` holds
+the filings of several batches, and a manifest below ``manifests/epoch=E/version=V/`` names the runs that count
+and the last batch they hold. A manifest is one row in one file. Until it is there nothing has changed, and from
+then on the batches it covers are read from the runs alone; so a crash between two steps changes nothing, and
+readers that began before go on with the files they listed. Runs of one level are merged once ``FAN_IN`` of them
+have come together: a filing is rewritten as often as the logarithm of the number of polls says. ``vacuum``
+removes what the last manifests no longer name.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.schemas import FILING_COLUMNS, LEDGER
+from ledgerline import session
+from ledgerline.schemas import FILING_COLUMNS, LEDGER, LEDGER_RUNS
 
+FAN_IN = 8
 _EPOCH_SCHEMA = "epoch long"
 _FIRST_EPOCH = -1
+_MANIFEST_SCHEMA = "upto long, runs array<struct<run: string, level: int>>, epoch long, version long"
 
 
 def filing_month(date: Column) -> Column:
@@ -41,6 +54,16 @@ def _where_new_may_be(new: DataFrame) -> Column:
     return (month.isNull() | months) & (date.isNull() | date.between(first, last))
 
 
+@dataclass(frozen=True)
+class Manifest:
+    """The merged runs of an epoch, oldest first, and the last batch they hold; without runs that is -1."""
+
+    epoch: int
+    version: int = 0
+    upto: int = -1
+    runs: tuple[tuple[str, int], ...] = ()
+
+
 @dataclass(frozen=True)
 class FilingLedger:
     root: str
@@ -49,6 +72,14 @@ class FilingLedger:
     def _filings(self) -> str:
         return f"{self.root}/filings"
 
+    @property
+    def _merged(self) -> str:
+        return f"{self.root}/merged"
+
+    @property
+    def _manifests(self) -> str:
+        return f"{self.root}/manifests"
+
     @property
     def _epochs(self) -> str:
         return f"{self.root}/epochs"
@@ -56,13 +87,15 @@ class FilingLedger:
     def _batch_folder(self, epoch: int, batch_id: int) -> str:
         return f"{self._filings}/epoch={epoch}/batch_id={batch_id}"
 
+    def _run_folder(self, epoch: int, run: str) -> str:
+        return f"{self._merged}/epoch={epoch}/run={run}"
+
     def _read(self, spark: SparkSession, path: str) -> DataFrame:
-        try:
-            return spark.read.schema(LEDGER).option("basePath", self._filings).parquet(path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], LEDGER)
+        return _present(spark, LEDGER, self._filings, [path])
+
+    def _runs(self, spark: SparkSession, manifests: Sequence[Manifest]) -> DataFrame:
+        folders = [self._run_folder(one.epoch, run) for one in manifests for run, _ in one.runs]
+        return _present(spark, LEDGER_RUNS, self._merged, folders).select(*LEDGER.names)
 
     def ensure(self, spark: SparkSession) -> FilingLedger:
         """Create the empty ledger if there is none."""
@@ -74,38 +107,141 @@ class FilingLedger:
         begun = spark.read.schema(_EPOCH_SCHEMA).parquet(self._epochs).filter(F.col("epoch") < batch_id)
         return begun.agg(F.coalesce(F.max("epoch"), F.lit(_FIRST_EPOCH))).first()[0]
 
+    def _versions(self, spark: SparkSession, path: str) -> list[Manifest]:
+        """Manifests below ``path``, the newest of each epoch last; their number is that of the merges kept."""
+        found = _present(spark, _MANIFEST_SCHEMA, self._manifests, [path]).collect()
+        return sorted((Manifest(row["epoch"], row["version"], row["upto"], tuple((run["run"], run["level"]) for run in row["runs"]))
+                       for row in found), key=lambda one: (one.epoch, one.version))
+
+    def manifest(self, spark: SparkSession, epoch: int) -> Manifest:
+        """What is merged of an epoch, as of now."""
+        return [Manifest(epoch), *self._versions(spark, f"{self._manifests}/epoch={epoch}")][-1]
+
+    def place(self, spark: SparkSession, batch_id: int) -> Manifest:
+        """The epoch a batch belongs to and what is merged of it; for the methods that take a place."""
+        return self.manifest(spark, self.epoch(spark, batch_id))
+
     def rows(self, spark: SparkSession) -> DataFrame:
         """All filings ever found, whether or not they still count as seen."""
-        return self._read(spark, self._filings)
-
-    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        newest = list({one.epoch: one for one in self._versions(spark, self._manifests)}.values())
+        single = self._read(spark, self._filings)
+        if not newest:
+            return single
+        covered = F.lit(False)
+        for one in newest:
+            covered = covered | ((F.col("epoch") == one.epoch) & (F.col("batch_id") <= one.upto))
+        return single.filter(~covered).unionByName(self._runs(spark, newest))
+
+    def _of_epoch(self, spark: SparkSession, at: Manifest) -> DataFrame:
+        """The filings of an epoch: merged ones, and the folders of later batches."""
+        single = self._read(spark, f"{self._filings}/epoch={at.epoch}").filter(F.col("batch_id") > at.upto)
+        return single.unionByName(self._runs(spark, [at])) if at.runs else single
+
+    def batch(self, spark: SparkSession, batch_id: int, place: Manifest | None = None) -> DataFrame:
         """The filings found by one batch."""
-        return self._read(spark, self._batch_folder(self.epoch(spark, batch_id), batch_id))
+        at = place or self.place(spark, batch_id)
+        if batch_id <= at.upto:
+            return self._runs(spark, [at]).filter(F.col("batch_id") == batch_id)
+        return self._read(spark, self._batch_folder(at.epoch, batch_id))
 
     def reset(self, spark: SparkSession) -> None:
         """Forget everything found so far. To be called between batches. Only the current epoch is read for it."""
         begun = spark.read.schema(_EPOCH_SCHEMA).parquet(self._epochs)
         current = begun.agg(F.coalesce(F.max("epoch"), F.lit(_FIRST_EPOCH))).first()[0]
-        found = self._read(spark, f"{self._filings}/epoch={current}")
+        found = self._of_epoch(spark, self.manifest(spark, current))
         last = found.agg(F.max("batch_id").alias("epoch")).filter("epoch is not null")
         last.write.mode("append").parquet(self._epochs)
 
-    def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame) -> DataFrame:
+    def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame, place: Manifest | None = None) -> DataFrame:
         """State for a batch: earlier batches of its epoch, where ``new`` may have equals."""
-        epoch = self._read(spark, f"{self._filings}/epoch={self.epoch(spark, batch_id)}")
+        epoch = self._of_epoch(spark, place or self.place(spark, batch_id))
         return epoch.filter(F.col("batch_id") < batch_id).filter(_where_new_may_be(new))
 
-    def commit(self, found: DataFrame, batch_id: int) -> None:
+    def commit(self, found: DataFrame, batch_id: int, place: Manifest | None = None) -> None:
         """Write a batch's filings in place of whatever an earlier attempt left.
 
-        An empty batch writes no rows. The rebalance keeps files large and splits a month that is hot.
+        An empty batch writes no rows. A batch that is merged already is history and cannot be written again.
         """
+        at = place or self.place(found.sparkSession, batch_id)
+        if batch_id <= at.upto:
+            raise ValueError(f"batch {batch_id} is merged already")
         shaped = found.select(*FILING_COLUMNS, "snapshot_id").withColumn("month", filing_month(F.col("date")))
-        (
-            shaped.hint("rebalance", "month")
-            .sortWithinPartitions("month", "date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("month")
-            .parquet(self._batch_folder(self.epoch(found.sparkSession, batch_id), batch_id))
-        )
+        _write_by_month(shaped, self._batch_folder(at.epoch, batch_id))
+
+    def compact(self, spark: SparkSession, before: int) -> bool:
+        """Merge the batches before ``before`` in its epoch that are not merged yet; one merge runs at a time.
+
+        ``before`` is the last batch or a later one, as only that may still be written again. The new run takes in the
+        runs of its level once ``FAN_IN`` have come together, and those of the next one likewise, in one write. Says
+        whether there was anything to merge.
+        """
+        at = self.place(spark, before)
+        single = self._read(spark, f"{self._filings}/epoch={at.epoch}")
+        single = single.filter((F.col("batch_id") > at.upto) & (F.col("batch_id") < before))
+        last = single.agg(F.max("batch_id")).first()[0]
+        if last is None:
+            return False
+        kept, level = list(at.runs), 0
+        absorbed: list[tuple[str, int]] = []
+        while sum(own == level for _, own in kept) >= FAN_IN - 1:
+            absorbed += [run for run in kept if run[1] == level]
+            kept = [run for run in kept if run[1] != level]
+            level += 1
+        rows = single if not absorbed else single.unionByName(
+            self._runs(spark, [Manifest(at.epoch, runs=tuple(absorbed))]))
+        name = uuid.uuid4().hex
+        _write_by_month(rows.drop("epoch"), self._run_folder(at.epoch, name))
+        named = [(last, [*kept, (name, level)])]
+        row = spark.createDataFrame(named, "upto long, runs array<struct<run: string, level: int>>")
+        row.coalesce(1).write.parquet(f"{self._manifests}/epoch={at.epoch}/version={at.version + 1}")
+        return True
+
+    def vacuum(self, spark: SparkSession, keep: int = 1, epochs: bool = False) -> None:
+        """Remove folders that none of the last ``keep`` manifests of their epoch needs.
+
+        With ``keep`` of 2 or more, readers that began before the last merge go on. Runs that a merge left behind when it
+        failed go, too, so no merge may be running. ``epochs`` also removes all epochs but the current one.
+        """
+        begun = spark.read.schema(_EPOCH_SCHEMA).parquet(self._epochs)
+        current = begun.agg(F.coalesce(F.max("epoch"), F.lit(_FIRST_EPOCH))).first()[0]
+        for folder in session.subfolders(spark, self._filings):
+            epoch = int(folder.rsplit("=", 1)[1])
+            if epochs and epoch < current:
+                for root in (self._filings, self._merged, self._manifests):
+                    session.remove(spark, f"{root}/epoch={epoch}")
+                continue
+            versions = self._versions(spark, f"{self._manifests}/epoch={epoch}")
+            kept, gone = versions[-keep:], versions[:-keep]
+            live = {run for one in kept for run, _ in one.runs}
+            for run in session.subfolders(spark, f"{self._merged}/epoch={epoch}"):
+                if run.rsplit("=", 1)[1] not in live:
+                    session.remove(spark, run)
+            merged = min((one.upto for one in kept), default=-1)
+            for batch in session.subfolders(spark, folder):
+                if int(batch.rsplit("=", 1)[1]) <= merged:
+                    session.remove(spark, batch)
+            for one in gone:
+                session.remove(spark, f"{self._manifests}/epoch={epoch}/version={one.version}")
+
+
+def _present(spark: SparkSession, schema, base: str, paths: list[str]) -> DataFrame:
+    """The Parquet files below ``paths``; none if there are no such paths yet."""
+    try:
+        if paths:
+            return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], schema)
+
+
+def _write_by_month(rows: DataFrame, folder: str) -> None:
+    """Rows with their ``month``; the rebalance keeps files large and splits a month that is hot."""
+    (
+        rows.hint("rebalance", "month")
+        .sortWithinPartitions("month", "date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("month")
+        .parquet(folder)
+    )

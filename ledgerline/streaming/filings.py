@@ -35,10 +35,16 @@ def commit_batch(ledger: FilingLedger, snapshots: DataFrame, batch_id: int) -> D
     twice, for its days and for the comparison.
     """
     spark = snapshots.sparkSession
-    ledger.ensure(spark)
-    seen = ledger.seen_before(spark, batch_id, snapshots)
-    ledger.commit(fresh_across_snapshots(snapshots, seen, FILING_COLUMNS), batch_id)
-    return ledger.batch(spark, batch_id)
+    place = ledger.ensure(spark).place(spark, batch_id)
+    seen = ledger.seen_before(spark, batch_id, snapshots, place)
+    ledger.commit(fresh_across_snapshots(snapshots, seen, FILING_COLUMNS), batch_id, place)
+    return ledger.batch(spark, batch_id, place)
+
+
+def keep_up(spark: SparkSession, ledger: FilingLedger, batch_id: int, merge_every: int | None) -> None:
+    """Merge what came before every ``merge_every``-th batch; what the manifest before names stays for its readers."""
+    if merge_every and batch_id % merge_every == merge_every - 1 and ledger.compact(spark, batch_id):
+        ledger.vacuum(spark, keep=2)
 
 
 def start_filing_stream(
@@ -47,11 +53,13 @@ def start_filing_stream(
     checkpoint: str,
     on_committed: Delivery | None = None,
     every: str | None = None,
+    merge_every: int | None = None,
 ) -> StreamingQuery:
     """Stream ``(snapshot_id, filing columns)`` into the ledger.
 
     ``on_committed`` gets each batch's filings read back from the ledger. If it fails, the batch is run
     again with the same outcome, so nothing new is lost; it should replace its output by batch, too.
+    ``merge_every`` batches the ledger's folders are merged and those no longer needed are removed.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -59,6 +67,7 @@ def start_filing_stream(
             committed = commit_batch(ledger, batch, batch_id)
         if on_committed is not None:
             on_committed(committed, batch_id)
+        keep_up(batch.sparkSession, ledger, batch_id, merge_every)
 
     return jobs.start(snapshots, handle, checkpoint, every)
 
@@ -70,6 +79,7 @@ def start_feed_stream(
     checkpoint: str,
     on_committed: Delivery | None = None,
     every: str | None = None,
+    merge_every: int | None = None,
 ) -> StreamingQuery:
     """The same from raw feed entries; the unusable ones are written below ``rejects``, by batch."""
 
@@ -79,6 +89,7 @@ def start_feed_stream(
             committed = commit_batch(ledger, filing_snapshots(batch), batch_id)
         if on_committed is not None:
             on_committed(committed, batch_id)
+        keep_up(batch.sparkSession, ledger, batch_id, merge_every)
 
     return jobs.start(entries, handle, checkpoint, every)
 

@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import pytest
+
+from conftest import bag
+from ledgerline import session
+from ledgerline.schemas import FILING, FILING_COLUMNS, extend, strings
+from ledgerline.sources import ledger as ledgers
+from ledgerline.sources.ledger import FilingLedger
+from ledgerline.streaming.filings import commit_batch, keep_up
+
+SNAPSHOTS = extend(FILING, *strings("snapshot_id"))
+
+
+def poll(spark, n, size=3):
+    """Poll ``n`` repeats two filings of the one before and has a new one; some have no date."""
+    rows = [(f"C{k}", "8-K", str(k), None if k % 7 == 0 else f"2024-0{1 + k % 4}-03 00:00:00", f"u{k}", f"s{n:04}")
+            for k in range(n, n + size)]
+    return spark.createDataFrame(rows, SNAPSHOTS)
+
+
+def found(spark, ledger):
+    return bag(ledger.rows(spark).select("companyname", "snapshot_id", "batch_id", "epoch", "month"))
+
+
+def folders(spark, ledger):
+    epochs = [epoch for kind in ("filings", "merged") for epoch in session.subfolders(spark, f"{ledger.root}/{kind}")]
+    return sum(len(session.subfolders(spark, epoch)) for epoch in epochs)
+
+
+def test_merged_polls_are_the_same_state(spark, folder, monkeypatch):
+    monkeypatch.setattr(ledgers, "FAN_IN", 3)
+    plain, merged = FilingLedger(folder("plain")), FilingLedger(folder("merged"))
+    most = 0
+    for n in range(20):
+        for ledger in (plain, merged):
+            commit_batch(ledger, poll(spark, n), n)
+        keep_up(spark, merged, n, 3)
+        most = max(most, folders(spark, merged))
+    assert found(spark, merged) == found(spark, plain)
+    assert len(found(spark, merged)) == 22
+    # two merges' worth of polls and one, and the runs of two manifests, two of a level at most
+    assert most <= 7 + 4 < folders(spark, plain) == 20
+    levels = [level for _, level in merged.manifest(spark, -1).runs]
+    assert levels and max(levels) >= 1 and all(levels.count(level) < 3 for level in levels)
+    for n in (0, 7, 18, 19):
+        assert bag(merged.batch(spark, n).select(*FILING_COLUMNS)) == bag(plain.batch(spark, n).select(*FILING_COLUMNS))
+    with pytest.raises(ValueError, match="merged already"):
+        commit_batch(merged, poll(spark, 3), 3)
+
+
+def test_crash_between_the_steps_of_a_merge(spark, folder, monkeypatch):
+    ledger = FilingLedger(folder("ledger"))
+    for n in range(4):
+        commit_batch(ledger, poll(spark, n), n)
+    before = found(spark, ledger)
+    old = ledger.rows(spark)
+
+    def fail(*_):
+        raise RuntimeError("crash")
+
+    write = ledgers._write_by_month
+    with monkeypatch.context() as patch:
+        # the run is written, the manifest is not
+        patch.setattr(ledgers, "_write_by_month", lambda rows, path: (write(rows, path), fail()))
+        with pytest.raises(RuntimeError):
+            ledger.compact(spark, 3)
+    assert found(spark, ledger) == before and ledger.manifest(spark, -1).version == 0
+    assert ledger.compact(spark, 3)
+    # the manifest is there, nothing is removed yet
+    assert found(spark, ledger) == before
+    assert bag(old.select("companyname", "snapshot_id", "batch_id", "epoch", "month")) == before
+    runs = session.subfolders(spark, f"{ledger.root}/merged/epoch=-1")
+    assert len(runs) == 2
+    ledger.vacuum(spark)
+    assert found(spark, ledger) == before
+    assert len(session.subfolders(spark, f"{ledger.root}/merged/epoch=-1")) == 1
+    assert [path[-1] for path in session.subfolders(spark, f"{ledger.root}/filings/epoch=-1")] == ["3"]
+    # the last batch may be written again, and the next one meets the merged state
+    assert commit_batch(ledger, poll(spark, 3), 3).count() == 1
+    assert bag(commit_batch(ledger, poll(spark, 4), 4).select("companyname")) == [("C6",)]
+    assert not ledger.compact(spark, 3)
+
+
+def test_merge_keeps_to_its_epoch(spark, folder):
+    ledger = FilingLedger(folder("ledger"))
+    for n in range(3):
+        commit_batch(ledger, poll(spark, n), n)
+    ledger.reset(spark)
+    for n in range(3, 6):
+        commit_batch(ledger, poll(spark, 0), n)
+    before = found(spark, ledger)
+    assert ledger.compact(spark, 5)
+    assert ledger.compact(spark, 2)
+    assert found(spark, ledger) == before
+    assert ledger.manifest(spark, 2).upto == 4 and ledger.manifest(spark, -1).upto == 1
+    ledger.vacuum(spark, epochs=True)
+    assert found(spark, ledger) == [row for row in before if row[3] == 2]
+    ledger.reset(spark)
+    assert commit_batch(ledger, poll(spark, 0), 6).count() == 3
+
+
+def test_state_of_runs_is_pruned(spark, folder):
+    ledger = FilingLedger(folder("ledger"))
+    for n in range(8):
+        commit_batch(ledger, poll(spark, n), n)
+    ledger.compact(spark, 7)
+    new = spark.createDataFrame([("C5", "8-K", "5", "2024-02-03 00:00:00", "u5")], FILING)
+    seen = ledger.seen_before(spark, 8, new)
+    assert {row["month"] for row in seen.collect()} <= {"2024-02", None}
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("month") and "PartitionFilters: [" in plan
+
+
+def test_removing_what_is_not_there(spark, folder):
+    path = folder("nothing")
+    assert session.subfolders(spark, path) == []
+    session.remove(spark, path)
