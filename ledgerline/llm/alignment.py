@@ -11,18 +11,20 @@ whatever the corpus, travel to every task as two arrays; all rarer ones are shuf
 no hot key, as the hot ones are not in it.
 
 A text that is null or empty, or whose tokens do not spell a space and the text, has no tokens: all measures 0, digest ''.
-Equal rows each count and each get a row. A very long text is taken in parts cut at a space between two ASCII letters or
-digits, where tokens of both kinds end; only a text without such a place is one part. An empty table gives an empty result.
+Equal rows each count and each get a row. Texts are encoded part by part, cut at single spaces between Latin, Greek or
+Cyrillic signs, where tokens of both kinds end; so only a run without such a place is encoded in one piece, however long the
+text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +37,10 @@ from ledgerline.llm.wordhash import groups_of_texts
 
 FREQUENT = 1 << 18
 BLOCK_CHARS = 1 << 18
-PART_CHARS = 1 << 17
+KNOWN_CHARS = 1_500_000
 GROUP_BYTES = 1 << 20
 CELLS = 1 << 20
-_PLACE = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+_PLACE = re.compile("(?<=[!-~À-ӿ]) (?=[!-~À-ӿ])")
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -73,6 +75,8 @@ class Tokenizers:
         self.sizes_a, self.sizes_b = (np.array([len(part) for part in parts]) for parts in (self.bytes_a, self.bytes_b))
         # ids as text, each with what may follow it: a comma, a bar or a semicolon
         self.written = [b"%d%c" % (i, mark) for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in b",|;"]
+        self.pairs = len(self.bytes_a) * len(self.bytes_b)
+        self.cuts = not any(re.search(b"[^ ] ", piece) for piece in self.bytes_b)
 
     def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         found = self.a.encode_batch_fast([" " + part for part in parts], add_special_tokens=False)
@@ -85,55 +89,26 @@ class Tokenizers:
                 and b"".join(map(self.bytes_b.__getitem__, b)) == whole)
 
 
-@dataclass
-class Alignment:
-    """What is known of one text: counts, the digest so far, and its id pairs with their numbers of links."""
-
-    n_a: int = 0
-    n_b: int = 0
-    n_groups: int = 0
-    n_links: int = 0
-    digest: object = None
-    pairs: list[np.ndarray] = field(default_factory=list)
-    links: list[np.ndarray] = field(default_factory=list)
-    spelt: bool = True
-
-    def add(self, n_a: int, n_b: int, n_groups: int, n_links: int, groups: bytes, pairs: np.ndarray, links: np.ndarray):
-        self.n_a, self.n_b, self.n_groups = self.n_a + n_a, self.n_b + n_b, self.n_groups + n_groups
-        self.n_links += n_links
-        if self.digest is None:
-            self.digest = hashlib.sha256(groups)
-        else:
-            self.digest.update(b";" + groups)
-        self.pairs.append(pairs)
-        self.links.append(links)
-
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs in rising order and their links."""
-        if not self.pairs:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        if len(self.pairs) == 1:
-            return self.pairs[0], self.links[0]
-        return _summed(np.concatenate(self.pairs), np.concatenate(self.links))
-
-
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in rising order and the sums of their weights."""
+    if not len(keys):
+        return keys, weights
     order = np.argsort(keys, kind="stable")
     keys, weights = keys[order], weights[order]
-    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
-    return keys[heads], np.add.reduceat(weights, heads) if len(heads) else weights
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[heads], np.add.reduceat(weights, heads)
 
 
-def _parts(text: str) -> Iterator[str]:
-    """A very long text in parts, each without the space that encoding puts before it."""
-    at = 0
-    while len(text) - at > PART_CHARS:
-        place = _PLACE.search(text, at + PART_CHARS)
-        if not place:
-            break
-        yield text[at:place.start()]
-        at = place.end()
-    yield text[at:]
+@dataclass
+class Aligned:
+    """The alignment of some texts or parts, a place each: counts, groups as text, and pairs with their links in runs."""
+
+    spelt: np.ndarray
+    counts: np.ndarray  # columns n_a, n_b, n_groups, n_links
+    written: list[bytes]
+    bounds: np.ndarray
+    pairs: np.ndarray
+    links: np.ndarray
 
 
 def _linked(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
@@ -170,19 +145,16 @@ def _linked(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, wi
     return tuple(np.concatenate(part) for part in zip(*found, strict=True))
 
 
-def _align_block(tools: Tokenizers, block: list[tuple[int, str]], results: list[Alignment]) -> None:
-    """Adds the parts of a block, each with the number of its text, to the texts' results."""
-    found_a, found_b = tools.encode([part for _, part in block])
-    good = []
-    for (owner, part), a, b in zip(block, found_a, found_b, strict=True):
-        if results[owner].spelt and tools.spelt(part, a, b):
-            good.append((owner, a, b))
-        else:
-            results[owner].spelt = False
+def align_parts(tools: Tokenizers, parts: list[str]) -> Aligned:
+    """The alignment of parts, each by itself; nothing of those that their tokens do not spell."""
+    found_a, found_b = tools.encode(parts)
+    spelt = np.array([tools.spelt(part, a, b) for part, a, b in zip(parts, found_a, found_b, strict=True)], dtype=bool)
+    good = np.flatnonzero(spelt).tolist()
+    counts = np.zeros((len(parts), 4), dtype=np.int64)
     if not good:
-        return
-    counts_a, counts_b = (np.array([len(one[k]) for one in good]) for k in (1, 2))
-    a, b = (np.concatenate([np.array(one[k], dtype=np.int64) for one in good]) for k in (1, 2))
+        return Aligned(spelt, counts, [b""] * len(parts), np.zeros(len(parts) + 1, dtype=np.int64), counts[:0, 0], counts[:0, 0])
+    counts_a, counts_b = (np.array([len(found[k]) for k in good]) for found in (found_a, found_b))
+    a, b = (np.fromiter(itertools.chain.from_iterable(found[k] for k in good), dtype=np.int64) for found in (found_a, found_b))
     ends_a, ends_b = np.cumsum(tools.sizes_a[a]), np.cumsum(tools.sizes_b[b])
     ends = np.zeros(int(ends_a[-1]) + 1, dtype=np.uint8)
     ends[ends_a] |= 1
@@ -193,51 +165,113 @@ def _align_block(tools: Tokenizers, block: list[tuple[int, str]], results: list[
     part_of_group = np.repeat(np.arange(len(good)), counts_b)[last_b]
     groups = np.bincount(part_of_group, minlength=len(good))
     links = np.add.reduceat(in_a * in_b, np.cumsum(groups) - groups)
+    counts[good] = np.column_stack([counts_a, counts_b, groups, links])
     order = np.empty(len(a) + len(b), dtype=np.int64)
     order[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = a * 3 + last_a
     order[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = b * 3 + 2 * last_b
-    stops = np.cumsum(counts_a + counts_b)
+    marks = list(map(tools.written.__getitem__, order.tolist()))
+    written, at = [b""] * len(parts), 0
+    for k, size in zip(good, (counts_a + counts_b).tolist(), strict=True):
+        written[k] = b"".join(marks[at:at + size])[:-1]
+        at += size
     group, pair, times = _linked(a, b, in_a, in_b, len(tools.bytes_b))
-    # the parts are in order, so sorting by part and pair leaves each part's pairs together
-    owner = part_of_group[group]
-    order_of = np.lexsort((pair, owner))
-    owner, pair, times = owner[order_of], pair[order_of], times[order_of]
-    heads = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])))
-    times = np.add.reduceat(times, heads)
-    pair, owner = pair[heads], owner[heads]
-    bounds = np.searchsorted(owner, np.arange(len(good) + 1))
-    for k, (text, *_) in enumerate(good):
-        start = int(stops[k] - counts_a[k] - counts_b[k])
-        written = b"".join(map(tools.written.__getitem__, order[start:stops[k]].tolist()))[:-1]
-        results[text].add(int(counts_a[k]), int(counts_b[k]), int(groups[k]), int(links[k]), written,
-                          pair[bounds[k]:bounds[k + 1]], times[bounds[k]:bounds[k + 1]])
-
-
-def align_texts(tools: Tokenizers, texts: list[str]) -> list[Alignment]:
-    """The alignment of each text; one without tokens where they do not spell it."""
-    results = [Alignment() for _ in texts]
-    block, size = [], 0
-    for owner, text in enumerate(texts):
-        for part in _parts(text) if text else ():
-            block.append((owner, part))
-            size += len(part)
-            if size >= BLOCK_CHARS:
-                _align_block(tools, block, results)
-                block, size = [], 0
-    if block:
-        _align_block(tools, block, results)
-    return [one if one.spelt else Alignment() for one in results]
+    owner = np.array(good)[part_of_group[group]]
+    sizes, pair, times = _summed_by(owner, pair, times, len(parts), tools.pairs)
+    return Aligned(spelt, counts, written, np.concatenate(([0], np.cumsum(sizes))), pair, times)
+
+
+def _summed_by(owner: np.ndarray, pair: np.ndarray, times: np.ndarray, owners: int, kinds: int) -> tuple[np.ndarray, ...]:
+    """How many distinct pairs each owner has, and these one owner after another with their links added up."""
+    if owners * kinds < 1 << 63:
+        keys, times = _summed(owner * kinds + pair, times)
+        owner, pair = keys // kinds, keys % kinds
+    else:
+        order = np.lexsort((pair, owner))
+        owner, pair, times = owner[order], pair[order], times[order]
+        heads = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])))
+        owner, pair, times = owner[heads], pair[heads], np.add.reduceat(times, heads)
+    return np.bincount(owner, minlength=owners), pair, times
+
+
+class Aligner:
+    """Aligns texts part by part and remembers the parts it has met, most of which are common words.
+
+    A text is cut at each single space between two signs of ``_PLACE``. There a token of either kind ends: A looks at words
+    apart, and none of B's pieces goes on beyond the end of a word, which is checked. So what a text has is the sum of what
+    its parts have. The parts kept are bounded by ``KNOWN_CHARS``, beyond which all are forgotten.
+    """
+
+    def __init__(self, tools: Tokenizers):
+        self.tools = tools
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.chars = 0
+        self.spelt = np.zeros(0, dtype=bool)
+        self.counts = np.zeros((0, 4), dtype=np.int64)
+        self.written: list[bytes] = []
+        self.bounds = np.zeros(1, dtype=np.int64)
+        self.pairs = self.links = np.zeros(0, dtype=np.int64)
+
+    def _meet(self, parts: list[str]) -> None:
+        if self.chars > KNOWN_CHARS:
+            self._forget()
+        new = list(dict.fromkeys(part for part in parts if part not in self.places))
+        found, at = [], 0
+        while at < len(new):
+            stop, size = at, 0
+            while stop < len(new) and (stop == at or size + len(new[stop]) <= BLOCK_CHARS):
+                size += len(new[stop])
+                stop += 1
+            found.append(align_parts(self.tools, new[at:stop]))
+            at = stop
+        if not found:
+            return
+        self.places.update(zip(new, range(len(self.written), len(self.written) + len(new)), strict=True))
+        self.chars += sum(map(len, new))
+        self.spelt = np.concatenate([self.spelt, *(one.spelt for one in found)])
+        self.counts = np.concatenate([self.counts, *(one.counts for one in found)])
+        self.written += itertools.chain.from_iterable(one.written for one in found)
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(
+            np.concatenate([np.diff(one.bounds) for one in found]))])
+        self.pairs = np.concatenate([self.pairs, *(one.pairs for one in found)])
+        self.links = np.concatenate([self.links, *(one.links for one in found)])
+
+    def align(self, texts: list[str]) -> Aligned:
+        """The alignment of each text; ``written`` holds digests, empty for a text without tokens."""
+        cut = _PLACE.split if self.tools.cuts else lambda text: [text]
+        split = [cut(text) if text else [] for text in texts]
+        parts = list(itertools.chain.from_iterable(split))
+        self._meet(parts)
+        at = np.fromiter(map(self.places.__getitem__, parts), dtype=np.int64, count=len(parts))
+        sizes = np.array([len(own) for own in split])
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        spelt = np.bincount(owner, weights=~self.spelt[at], minlength=len(texts)) == 0
+        kept = spelt[owner]
+        whole = np.column_stack([np.bincount(owner[kept], weights=self.counts[at[kept], k], minlength=len(texts))
+                                 for k in range(4)]).astype(np.int64)
+        digests, place = [], 0
+        for good, size in zip((spelt & (sizes > 0)).tolist(), sizes.tolist(), strict=True):
+            own = at[place:place + size].tolist()
+            digests.append(hashlib.sha256(b";".join(map(self.written.__getitem__, own))).hexdigest().encode() if good else b"")
+            place += size
+        at, owner = at[kept], owner[kept]
+        lengths = self.bounds[at + 1] - self.bounds[at]
+        rows = np.arange(lengths.sum()) + np.repeat(self.bounds[at] - np.cumsum(lengths) + lengths, lengths)
+        each, pairs, links = _summed_by(np.repeat(owner, lengths), self.pairs[rows], self.links[rows], len(texts), self.tools.pairs)
+        return Aligned(spelt, whole, digests, np.concatenate(([0], np.cumsum(each))), pairs, links)
 
 
 def _key(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def _tools(shared: dict) -> Tokenizers:
-    """One pair of tokenizers per worker process, kept in the worker's copy of the broadcast."""
-    if "tools" not in shared:
-        shared["tools"] = Tokenizers(shared["bpe"], shared["pieces"])
-    return shared["tools"]
+def _aligner(shared: dict) -> Aligner:
+    """One aligner per worker process, kept in the worker's copy of the broadcast."""
+    if "aligner" not in shared:
+        shared["aligner"] = Aligner(Tokenizers(shared["bpe"], shared["pieces"]))
+    return shared["aligner"]
 
 
 def aligned_texts(texts: DataFrame, bpe_path: str, pieces_path: str) -> DataFrame:
@@ -253,20 +287,16 @@ def aligned_texts(texts: DataFrame, bpe_path: str, pieces_path: str) -> DataFram
     kind = "int" if pair_width(contents["pieces"]) * _bpe_size(contents["bpe"]) < 1 << 31 else "long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = _tools(shared.value)
+        aligner = _aligner(shared.value)
         number = pa.int32() if kind == "int" else pa.int64()
         for whole in batches:
             for batch in groups_of_texts(whole, "text", GROUP_BYTES):
-                found = align_texts(tools, batch.column("text").to_pylist())
-                merged = [one.merged() for one in found]
-                ends = pa.array(np.concatenate(([0], np.cumsum([len(pairs) for pairs, _ in merged]))).astype(np.int32))
-                pairs, links = (pa.array(np.concatenate(part), type=number) for part in zip(*merged, strict=True))
+                found = aligner.align(batch.column("text").to_pylist())
+                ends = pa.array(found.bounds.astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(part).cast(number)) for part in (found.pairs, found.links)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), batch.column("rows"),
-                     *(pa.array([getattr(one, name) for one in found], type=pa.int64())
-                       for name in ("n_a", "n_b", "n_groups", "n_links")),
-                     pa.array([one.digest.hexdigest() if one.digest else "" for one in found]),
-                     pa.ListArray.from_arrays(ends, pairs), pa.ListArray.from_arrays(ends, links)],
+                    [batch.column("key"), batch.column("rows"), *(pa.array(column) for column in found.counts.T),
+                     pa.array([one.decode() for one in found.written]), *lists],
                     ["key", "rows", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "links"])
 
     schema = ("key binary, rows long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "

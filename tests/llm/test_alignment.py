@@ -93,16 +93,56 @@ def test_empty_table(spark):
     assert alignment.align(table(spark, []), BPE, PIECES).count() == 0
 
 
+def same(one, two):
+    assert one.counts.tolist() == two.counts.tolist() and one.written == two.written
+    for name in ("spelt", "bounds", "pairs", "links"):
+        assert getattr(one, name).tolist() == getattr(two, name).tolist()
+
+
 def test_parts_change_nothing(tools, monkeypatch):
+    """Texts as a whole, in parts, and in parts of which few are remembered and encoded together."""
     rng = random.Random(4)
-    texts = [" ".join(rng.choice(("a", "Bc", "dé", "12", "x.", "😀", "don't")) for _ in range(400)) for _ in range(4)] + TRICKY
-    whole = alignment.align_texts(tools, texts)
-    monkeypatch.setattr(alignment, "PART_CHARS", 20)
+    words = ("a", "Bc", "dé", "12", "x.", "😀", "don't", "'s", "É", "▁", "µ", "Ж", "ß)", "漢", " ", "\n", "…", "1st", "_")
+    texts = [" ".join(rng.choice(words) for _ in range(300)) for _ in range(12)] + TRICKY
+    parts = alignment.Aligner(tools).align(texts)
+    monkeypatch.setattr(alignment, "KNOWN_CHARS", 30)
     monkeypatch.setattr(alignment, "BLOCK_CHARS", 90)
     monkeypatch.setattr(alignment, "CELLS", 3)
-    parts = alignment.align_texts(tools, texts)
-    for one, two in zip(whole, parts, strict=True):
-        assert [getattr(one, name) for name in NAMES[:4]] == [getattr(two, name) for name in NAMES[:4]]
-        assert (one.digest and one.digest.hexdigest()) == (two.digest and two.digest.hexdigest())
-        for left, right in zip(one.merged(), two.merged(), strict=True):
-            assert left.tolist() == right.tolist()
+    monkeypatch.setattr(tools, "pairs", 1 << 62)  # too many kinds of pairs for one number per text and pair
+    small = alignment.Aligner(tools)
+    for at in range(0, len(texts), 5):
+        small.align(texts[at:at + 5])
+    same(small.align(texts), parts)
+    monkeypatch.setattr(tools, "cuts", False)
+    same(alignment.Aligner(tools).align(texts), parts)
+
+
+def test_wide_groups_by_distinct_ids():
+    """A group with more links than are expanded at once."""
+    rng = random.Random(1)
+    import numpy as np
+
+    a, b = np.array([rng.randrange(5) for _ in range(3000)]), np.array([rng.randrange(4) for _ in range(2000)])
+    in_a, in_b = np.array([1, 2990, 9]), np.array([5, 1990, 5])
+    group, pair, times = alignment._linked(a, b, in_a, in_b, 10)
+    found = Counter()
+    for g, p, t in zip(group.tolist(), pair.tolist(), times.tolist(), strict=True):
+        found[g, p] += t
+    plain, at, bt = Counter(), 0, 0
+    for g, (n, m) in enumerate(zip(in_a.tolist(), in_b.tolist(), strict=True)):
+        own = Counter(a[at:at + n].tolist())
+        other = Counter(b[bt:bt + m].tolist())
+        plain.update({(g, x * 10 + y): k * c for x, k in own.items() for y, c in other.items()})
+        at, bt = at + n, bt + m
+    assert found == plain
+
+
+@pytest.mark.parametrize("alphabet", ["ab 1.'é", "a \n\t\u00a0\u2003é", "aЖ 漢😀'_-"])
+def test_random_texts(tools, alphabet):
+    rng = random.Random(alphabet)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(300)]
+    aligner = alignment.Aligner(tools)
+    found = aligner.align(texts)
+    expected = plain(tools, texts)
+    assert found.counts.tolist() == [list(row[:4]) for row in expected]
+    assert [one.decode() for one in found.written] == [row[6] for row in expected]
