@@ -182,6 +182,8 @@ def align_parts(tools: Tokenizers, parts: list[str]) -> Aligned:
 
 def _summed_by(owner: np.ndarray, pair: np.ndarray, times: np.ndarray, owners: int, kinds: int) -> tuple[np.ndarray, ...]:
     """How many distinct pairs each owner has, and these one owner after another with their links added up."""
+    if not len(owner):
+        return np.zeros(owners, dtype=np.int64), pair, times
     if owners * kinds < 1 << 63:
         keys, times = _summed(owner * kinds + pair, times)
         owner, pair = keys // kinds, keys % kinds
