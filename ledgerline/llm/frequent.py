@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +25,27 @@ def head_of(counts: DataFrame, column: str, limit: int) -> Column:
             break
         lowest = at
     return F.coalesce(step >= lowest, F.lit(False))
+
+
+class Search:
+    """Finds 64-bit hashes among sorted ones in a few steps each: the upper bits say where to look."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = max(1, len(keys).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.concatenate(([0], np.cumsum(np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits))))
+
+    def places(self, wanted: np.ndarray) -> np.ndarray:
+        """Where each hash is, -1 where it is not among the keys."""
+        cell = (wanted >> self.shift).astype(np.int64)
+        at, stop = self.first[cell], self.first[cell + 1]
+        found = np.full(len(wanted), -1)
+        rows = np.flatnonzero(at < stop)
+        here = at[rows]
+        while len(rows):
+            hit = self.keys[here] == wanted[rows]
+            found[rows[hit]] = here[hit]
+            on = ~hit & (here + 1 < stop[rows])
+            rows, here = rows[on], here[on] + 1
+        return found
