@@ -33,10 +33,15 @@ def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.entity_lookup(derive(spark, sf_dir, inputs.ENTITY_MASTER))
 
 
-def entry_polls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The filings of an early poll and of a later one that holds them again."""
+def raw_polls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The entries of an early poll and of a later one that holds them again."""
     entries = _entries(spark, sf_dir)
-    early = entries.filter(F.col("landed") < _before(_SEEN_UNTIL))
+    return entries.filter(F.col("landed") < _before(_SEEN_UNTIL)), entries
+
+
+def entry_polls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The filings of these polls."""
+    early, entries = raw_polls(spark, sf_dir)
     return feed.parse_entries(early), feed.parse_entries(entries)
 
 
@@ -298,11 +303,25 @@ CHECKS = {
         with {_JUDGED}, {_UNSEEN}, {_enriched('unseen')} select * from routed""",
 }
 
-# Both polls, one after the other: all of the early one, and what the later one adds.
-POLLED_MESSAGES = f"""
+_POLLED = f"""
     with {_JUDGED}, {_UNSEEN},
     polled as (
       select {_FILING} from parsed where landed < timestamp '{_SEEN_UNTIL}'
       union all select {_FILING} from unseen
-    ), {_enriched('polled')}
+    ), {_enriched('polled')}"""
+
+# Everything that both polls leave behind: messages, entries that are none, filings that are dropped, and the totals.
+POLLED_OUTPUTS = f"""
+    {_POLLED}
+    select 'message' as output, route as name, body as detail from ({_MESSAGES}) sent
+    union all select 'reject', reason, entry_id from judged where reason is not null and landed < timestamp '{_SEEN_UNTIL}'
+    union all select 'reject', reason, entry_id from judged where reason is not null
+    union all select 'dropped', enrich_status, inter_url from enriched where enrich_status in ('no_link', 'no_page')
+    union all select 'summary', 'new_filings', cast(count(*) as varchar) from enriched
+    union all select 'summary', 'processed', cast(count(*) filter (where enrich_status in ('ok', 'http_error')) as varchar)
+      from enriched"""
+
+# Both polls, one after the other: all of the early one, and what the later one adds.
+POLLED_MESSAGES = f"""
+    {_POLLED}
     {_MESSAGES}"""

@@ -246,6 +246,24 @@ select case when o_orderkey % 31 = 0 then null
 from <orders> join <customer> on o_custkey = c_custkey
 """
 
+# Lines of request files: complete ones, some without a field or a recipient, some cut off, some that are no object.
+REQUEST_LINES = f"""
+select o_orderkey,
+  case when o_orderkey % 29 = 0 then substr(line, 1, length(line) - 9)
+       when o_orderkey % 43 = 0 then '[' || line || ']'
+       when o_orderkey % 47 = 0 then {_text('o_orderkey')}
+       else line end as line
+from (
+  select o_orderkey,
+    '{{"to":' || case when o_orderkey % 37 = 0 then '[]' when o_orderkey % 41 = 0 then '["",null]'
+                     else '["desk' || {_text('o_orderkey % 7')} || '@example.com","team@example.com"]' end
+      || case when o_orderkey % 31 = 0 then '' else ',"companyname":"' || c_name || '"' end
+      || ',"formtype":"' || {_FORM.format(key='o_orderkey')} || '","' || 'table":"<td>'
+      || o_orderpriority || '</td>"}}' as line
+  from <orders> join <customer> on o_custkey = c_custkey
+) written
+"""
+
 RENDER = f"""
 select 'https://www.sec.gov/d/' || {_text('o_orderkey')} as formurl,
   'A4' as page_size,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +16,11 @@ from ledgerline.functions.payloads import parse_array
 from ledgerline.operators import conform as conforming
 from ledgerline.operators import requests
 from ledgerline.plans import staging
-from ledgerline.schemas import STAGED_FILING, strings
+from ledgerline.schemas import NOTIFICATION_REQUEST, STAGED_FILING, strings
 from ledgerline.sources import daily_files
-from ledgerline.sources.tables import read_table
-from ledgerline.streaming.ingest import ingested, start_ingest
+from ledgerline.sources.tables import read_table, readable, scan_requests, unreadable
+from ledgerline.streaming import jobs
+from ledgerline.streaming.ingest import ingested, set_aside, start_ingest
 
 _PREFIX = "ymd="
 _FIELDS = ", ".join(STAGED_FILING.names)
@@ -63,14 +66,7 @@ def stream_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per day what became of its files; on three days out of five they are broken in some way."""
-    body, day = F.col("body"), F.col("ymd").substr(7, 2).cast("int") % 5
-    broken = (
-        F.when(day == 0, F.expr("substr(body, 1, length(body) - 3)"))
-        .when(day == 1, F.concat(F.lit('{"rows":'), body, F.lit("}")))
-        .when(day == 2, F.concat(F.expr("substr(body, 1, length(body) - 1)"), F.lit(", 7]")))
-        .otherwise(body)
-    )
-    folder = _landed(spark, _payloads(spark, sf_dir).withColumn("body", broken))
+    folder = _landed(spark, _breaking(spark, sf_dir))
     parsed = daily_files.parse_files(daily_files.read_files(spark, folder, prefix=_PREFIX))
     return parsed.groupBy("ymd", F.coalesce("reason", F.lit("ok")).alias("outcome")).agg(
         F.count(F.lit(1)).alias("files"),
@@ -78,6 +74,60 @@ def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _breaking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily files, on three days out of five broken in some way."""
+    body, day = F.col("body"), F.col("ymd").substr(7, 2).cast("int") % 5
+    broken = (
+        F.when(day == 0, F.expr("substr(body, 1, length(body) - 3)"))
+        .when(day == 1, F.concat(F.lit('{"rows":'), body, F.lit("}")))
+        .when(day == 2, F.concat(F.expr("substr(body, 1, length(body) - 1)"), F.lit(", 7]")))
+        .otherwise(body)
+    )
+    return _payloads(spark, sf_dir).withColumn("body", broken)
+
+
+def stream_json_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of files, four a batch, done ones moved away: per day the records passed on and the files set aside."""
+    root = session.workspace(spark, "backlog")
+    folder = _landed(spark, _breaking(spark, sf_dir))
+    files = daily_files.stream_files(spark, folder, prefix=_PREFIX, **jobs.admission(max_files=4, done=f"{root}/done"))
+    start_ingest(files, f"{root}/target", f"{root}/checkpoint").awaitTermination()
+    passed = ingested(spark, f"{root}/target").select("ymd", F.lit("records").alias("outcome"))
+    bad = set_aside(spark, f"{root}/target").select("ymd", F.col("reason").alias("outcome"))
+    return passed.unionByName(bad).groupBy("ymd", "outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def staged_day_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good and a broken day published twice, first without the larger ids: what readers see of the last run."""
+    root = session.workspace(spark, "published")
+    broken = _breaking(spark, sf_dir).where(F.col("ymd").isin(*_PUBLISHED))
+    for folder in (_landed(spark, broken.withColumn("body", F.lit("[]"))), _landed(spark, broken)):
+        for ymd in _PUBLISHED:
+            raw = spark.read.text(f"{folder}/{_PREFIX}{ymd}", wholetext=True)
+            raw.write.mode("overwrite").text(f"{root}/raw/{ymd}")
+            staging.publish_day(spark, f"{root}/raw", f"{root}/days", dt.datetime.strptime(ymd, "%Y%m%d").date())
+    staging.remove_unpublished(spark, f"{root}/days")
+    records = staging.read_published(spark, f"{root}/days").withColumn("reason", F.lit(None).cast("string"))
+    bad = staging.read_published(spark, f"{root}/days", "set_aside").select("reason", "d")
+    return records.unionByName(bad, allowMissingColumns=True)
+
+
+def request_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request files line by line: what is sent, what is incomplete and what cannot be read; every line is in one of them."""
+    folder = session.workspace(spark, "requests")
+    derive(spark, sf_dir, inputs.REQUEST_LINES).select("line").write.text(folder)
+    scanned = session.cut(scan_requests(spark, folder, NOTIFICATION_REQUEST), "scanned-requests")
+    read = readable(scanned)
+    sent = requests.notification_outbox(read).select(
+        F.lit("sent").alias("outcome"), "recipient", F.col("template_data").alias("detail"))
+    none = F.lit(None).cast("string").alias("recipient")
+    kept_back = requests.notification_rejects(read).select(
+        F.lit("incomplete").alias("outcome"), none, F.col("companyname").alias("detail"))
+    unread = unreadable(scanned).select(F.lit("unreadable").alias("outcome"), none, F.col("line").alias("detail"))
+    return sent.unionByName(kept_back).unionByName(unread)
+
+
+_PUBLISHED = ("20240105", "20240108")
 _TURN = strings("conv_id", "turn", "role", "text")
 
 
@@ -159,6 +209,9 @@ QUERIES = {
     "staged_parquet_roundtrip": staged_parquet_roundtrip,
     "stream_json_ingest": stream_json_ingest,
     "json_quarantine": json_quarantine,
+    "stream_json_backlog": stream_json_backlog,
+    "staged_day_published": staged_day_published,
+    "request_scan": request_scan,
     "json_flatten": json_flatten,
     "schema_conform": schema_conform,
     "schema_conform_typed": schema_conform_typed,
@@ -187,6 +240,31 @@ CHECKS = {
           cast(case when cast(substr(ymd, 7, 2) as integer) % 5 in (0, 1, 2) then 0 else count(*) end as bigint)
             as records
         from {for_check(inputs.DAILY)} d group by ymd""",
+    "stream_json_backlog": f"""
+        select ymd, outcome, case when outcome = 'records' then count(*) else count(distinct chunk) end as rows
+        from (select *, case cast(substr(ymd, 7, 2) as integer) % 5 when 0 then 'malformed'
+                          when 1 then 'not_an_array_of_objects' when 2 then 'not_an_array_of_objects' else 'records' end
+                        as outcome from {for_check(inputs.DAILY)} d) judged
+        group by ymd, outcome""",
+    "staged_day_published": f"""
+        select {_FIELDS}, cast(null as varchar) as reason, 20240108 as d
+        from {for_check(inputs.DAILY)} d where ymd = '20240108'
+        union all
+        select distinct null, null, null, null, null, null, 'malformed', 20240105 from {for_check(inputs.DAILY)} d
+        where ymd = '20240105' group by chunk""",
+    "request_scan": f"""
+        with lines as (select *, case when o_orderkey % 29 = 0 or o_orderkey % 43 = 0 or o_orderkey % 47 = 0 then 'unreadable'
+                                      when o_orderkey % 37 = 0 or o_orderkey % 41 = 0 or o_orderkey % 31 = 0 then 'incomplete'
+                                      else 'sent' end as outcome
+                       from {for_check(inputs.REQUEST_LINES)} l)
+        select outcome, unnest(cast(json_extract(line, '$.to') as varchar[])) as recipient,
+          cast(json_object('companyname', line ->> '$.companyname', 'formtype', line ->> '$.formtype',
+                           'table', line ->> '$.table') as varchar) as detail
+        from lines where outcome = 'sent'
+        union all
+        select outcome, null, line ->> '$.companyname' from lines where outcome = 'incomplete'
+        union all
+        select outcome, null, line from lines where outcome = 'unreadable'""",
     "json_flatten": """
         select cast(conv_id as string) as conv_id, cast(turn as string) as turn, role, text from conversations
         union all

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,14 @@ from pyspark.sql import functions as F
 
 from ledgerline import session
 from ledgerline.catalog import inputs
-from ledgerline.catalog.filing_queries import POLLED_MESSAGES, entry_polls
+from ledgerline.catalog.filing_queries import POLLED_MESSAGES, POLLED_OUTPUTS, entry_polls, raw_polls
 from ledgerline.catalog.inputs import derive, for_check
 from ledgerline.operators.enrich import page_links
 from ledgerline.schemas import FILING, FILING_COLUMNS, extend, strings
+from ledgerline.sources.feed import land_feed, stream_feed
 from ledgerline.sources.ledger import FilingLedger
-from ledgerline.streaming.filings import Delivery, outbox_delivery, start_filing_stream
+from ledgerline.streaming import jobs
+from ledgerline.streaming.filings import Delivery, outbox_delivery, start_feed_stream, start_filing_stream
 
 # Three polls whose filings overlap and which hold all of them; the first two arrive together.
 _SNAPSHOTS = {
@@ -100,7 +103,53 @@ def stream_filing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select("route", "title", "body")
 
 
+def stream_feed_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polls as Atom files, a few files a batch: whatever the stream leaves behind, in one table.
+
+    Entries of one link share a file, so a filing and its copies come in one snapshot. The ledger is merged as it grows.
+    """
+    root = session.workspace(spark, "feed-outputs")
+    ledger, landing, outbox, links = FilingLedger(f"{root}/ledger"), f"{root}/feed", f"{root}/outbox", f"{root}/links"
+    page_links(derive(spark, sf_dir, inputs.PAGES)).write.parquet(links)
+    for name, poll in zip(("p1", "p2"), raw_polls(spark, sf_dir)):
+        land_feed(poll.repartition(_FILES_A_POLL, "link"), f"{landing}/poll={name}")
+        entries = stream_feed(spark, landing, **jobs.admission(max_files=3, done=f"{root}/done"))
+        start_feed_stream(entries, ledger, f"{outbox}/rejects", f"{root}/checkpoint",
+                          outbox_delivery(spark, links, outbox), merge_every=2).awaitTermination()
+    summary = spark.read.schema("new_filings long, processed long").parquet(f"{outbox}/summary")
+    totals = summary.agg(*[F.sum(name).cast("string").alias(name) for name in ("new_filings", "processed")])
+    outputs = [
+        _output("message", spark.read.schema("body string, route string").parquet(f"{outbox}/messages"), "route", "body"),
+        _output("reject", spark.read.schema("reason string, entry_id string").parquet(f"{outbox}/rejects"),
+                "reason", "entry_id"),
+        _output("dropped", spark.read.schema("enrich_status string, inter_url string").parquet(f"{outbox}/dropped"),
+                "enrich_status", "inter_url"),
+        _output("summary", totals.unpivot([], ["new_filings", "processed"], "name", "detail"), "name", "detail"),
+    ]
+    return functools.reduce(DataFrame.unionByName, outputs)
+
+
+_FILES_A_POLL = 5
+
+
+def _output(kind: str, rows: DataFrame, name: str, detail: str) -> DataFrame:
+    return rows.select(F.lit(kind).alias("output"), F.col(name).alias("name"), F.col(detail).alias("detail"))
+
+
+def stream_ledger_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same polls as in ``stream_filing_diff``, one a batch; the ledger is merged after each and swept."""
+    stream = _Feed(spark, "merged")
+    for at, name in enumerate(_SNAPSHOTS):
+        _land(spark, sf_dir, stream.landing, (name,))
+        stream.run()
+        stream.ledger.compact(spark, at)
+        stream.ledger.vacuum(spark)
+    return stream.found().drop("batch_id")
+
+
 QUERIES = {
+    "stream_feed_outputs": stream_feed_outputs,
+    "stream_ledger_merged": stream_ledger_merged,
     "stream_filing_diff": stream_filing_diff,
     "stream_replay": stream_replay,
     "stream_filing_messages": stream_filing_messages,
@@ -121,4 +170,10 @@ _FOUND = f"""
 
 _REPLAYED = f"select *, cast(1 as bigint) as failures from ({_FOUND}) found"
 
-CHECKS = {"stream_filing_diff": _FOUND, "stream_replay": _REPLAYED, "stream_filing_messages": POLLED_MESSAGES}
+CHECKS = {
+    "stream_filing_diff": _FOUND,
+    "stream_replay": _REPLAYED,
+    "stream_filing_messages": POLLED_MESSAGES,
+    "stream_feed_outputs": POLLED_OUTPUTS,
+    "stream_ledger_merged": f"select snapshot_id, {_FILING} from ({_FOUND}) found",
+}

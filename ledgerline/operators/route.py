@@ -34,12 +34,21 @@ def route_messages(routed: DataFrame, columns: Sequence[str] = FILING_ENRICHED_C
     return routed.select("route", "title", record_json(columns).alias("body"))
 
 
-def batch_summary(enriched: DataFrame) -> DataFrame:
-    """One row about a batch: new filings, processed filings, whether the state changed, and the result line."""
-    counts = enriched.agg(
+def summary_counts() -> list[Column]:
+    """What a summary counts of enriched filings; for an aggregate, or for observing a pass that writes them."""
+    return [
         F.count(F.lit(1)).alias("new_filings"),
         F.count_if(F.col("enrich_status").isin(OK, HTTP_ERROR)).alias("processed"),
-    )
+    ]
+
+
+def batch_summary(enriched: DataFrame) -> DataFrame:
+    """One row about a batch: new filings, processed filings, whether the state changed, and the result line."""
+    return summary_of(enriched.agg(*summary_counts()))
+
+
+def summary_of(counts: DataFrame) -> DataFrame:
+    """The summary row of counts that were taken before."""
     return counts.select(
         "new_filings",
         "processed",

@@ -87,6 +87,12 @@ def cut(df: DataFrame, name: str, folder: str | None = None, by: str | None = No
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``."""
+    folder, files = _located(spark, path)
+    return files.exists(folder)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """The folders directly below ``path`` in any store Spark can write to; none if it does not exist."""
     folder, files = _located(spark, path)

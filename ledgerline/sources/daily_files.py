@@ -43,7 +43,7 @@ def read_files(spark: SparkSession, root: str, ymd: str | None = None, prefix: s
 
 
 def stream_files(spark: SparkSession, root: str, prefix: str = "", **options: str) -> DataFrame:
-    """One row per newly landed file, of all day folders."""
+    """One row per newly landed file, of all day folders. ``options`` may bound a batch (``jobs.admission``)."""
     reader = spark.readStream.format("text").option("wholetext", True).options(**options)
     return _whole_files(reader.load(f"{root}/{prefix}{_ANY_DAY}"))
 

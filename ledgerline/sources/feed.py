@@ -33,7 +33,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_feed(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """The same entries as a stream; every landed file is one poll."""
+    """The same entries as a stream; every landed file is one poll. ``options`` may bound a batch (``jobs.admission``)."""
     reader = spark.readStream.format("xml").options(**_ENTRY, **options).schema(FEED_ENTRY)
     return _entries(reader.load(path))
 

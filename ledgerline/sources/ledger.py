@@ -25,7 +25,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,13 +225,10 @@ class FilingLedger:
 
 def _present(spark: SparkSession, schema, base: str, paths: list[str]) -> DataFrame:
     """The Parquet files below ``paths``; none if there are no such paths yet."""
-    try:
-        if paths:
-            return spark.read.schema(schema).option("basePath", base).parquet(*paths)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return spark.createDataFrame([], schema)
+    there = [path for path in paths if session.exists(spark, path)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*there)
 
 
 def _write_by_month(rows: DataFrame, folder: str) -> None:

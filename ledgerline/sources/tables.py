@@ -20,6 +20,36 @@ def read_requests(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).json(path)
 
 
+UNREADABLE = "unreadable"
+
+
+def scan_requests(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every line of the request files, parsed; ``unreadable`` holds the line itself where it is no JSON object.
+
+    Lines are read and parsed once. Blank lines are none. A field of another type than the schema's makes its line
+    unreadable as a whole.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    declared = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
+    parsed = with_once(lines, "request", F.from_json("value", declared, {"columnNameOfCorruptRecord": UNREADABLE}))
+    is_object = F.ltrim("value").startswith("{")
+    bad = F.col(f"request.{UNREADABLE}").isNotNull() | F.col("request").isNull() | ~is_object
+    return parsed.select(
+        *[F.when(~bad, F.col(f"request.`{name}`")).alias(name) for name in schema.names],
+        F.when(bad, F.col("value")).alias(UNREADABLE),
+    )
+
+
+def readable(scanned: DataFrame) -> DataFrame:
+    """The requests among scanned lines."""
+    return scanned.where(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
+
+
+def unreadable(scanned: DataFrame) -> DataFrame:
+    """The lines that hold no request, as they are."""
+    return scanned.where(F.col(UNREADABLE).isNotNull()).select(F.col(UNREADABLE).alias("line"))
+
+
 def audit_fields(record: Column) -> list[Column]:
     """Flat columns of a parsed audit record; ``detail`` stays nested for the rule table."""
     user = record["detail"]["userIdentity"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,7 @@ from ledgerline.fixed_values import ROUTES, Route
 from ledgerline.operators.enrich import dropped, enrich, survivors
 from ledgerline.operators.feed import parse_entries, rejected_entries
 from ledgerline.operators.records import fresh_across_snapshots
-from ledgerline.operators.route import batch_summary, route_filings, route_messages
+from ledgerline.operators.route import route_filings, route_messages, summary_counts, summary_of
 from ledgerline.schemas import FILING_COLUMNS
 from ledgerline.sources.ledger import FilingLedger
 from ledgerline.streaming import jobs
@@ -100,16 +100,19 @@ def outbox_delivery(
     """Delivery that enriches a batch, and writes its messages by route, its dropped filings and its summary.
 
     ``links_path`` is the stored table of page links, read as it is when the batch runs. The enriched
-    filings are stored first; the three outcomes are read from them.
+    filings are stored first, counted for the summary as they are written; messages and dropped filings
+    are read from them.
     """
 
     def send(committed: DataFrame, batch_id: int) -> None:
-        links = spark.read.parquet(links_path)
+        links, counted = spark.read.parquet(links_path), Observation()
         enriched = session.cut(
-            enrich(committed.select(*FILING_COLUMNS), links), "filings", jobs.batch_folder(f"{outbox}/enriched", batch_id)
+            enrich(committed.select(*FILING_COLUMNS), links).observe(counted, *summary_counts()),
+            "filings", jobs.batch_folder(f"{outbox}/enriched", batch_id)
         )
+        counts = spark.createDataFrame([counted.get], "new_filings long, processed long")
         jobs.replace_batch(route_messages(route_filings(survivors(enriched), routes)), f"{outbox}/messages", batch_id, by="route")
         jobs.replace_batch(dropped(enriched), f"{outbox}/dropped", batch_id)
-        jobs.replace_batch(batch_summary(enriched), f"{outbox}/summary", batch_id)
+        jobs.replace_batch(summary_of(counts), f"{outbox}/summary", batch_id)
 
     return send

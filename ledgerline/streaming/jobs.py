@@ -57,6 +57,16 @@ def kept(batch: DataFrame) -> Iterator[None]:
         batch.unpersist()
 
 
+def admission(max_files: int | None = None, done: str | None = None) -> dict[str, str]:
+    """Options of a stream over files: at most so many of them in a batch, and where to move those that are done.
+
+    A backlog then becomes several batches of a bounded size. Files move once a later batch has begun, so the last
+    ones stay until more arrive; ``done`` must lie outside the landing folder.
+    """
+    options = {} if max_files is None else {"maxFilesPerTrigger": str(max_files)}
+    return options if done is None else {**options, "cleanSource": "archive", "sourceArchiveDir": done}
+
+
 def batch_folder(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 
