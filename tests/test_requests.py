@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import bag
 from ledgerline.operators import requests
 from ledgerline.schemas import NOTIFICATION_REQUEST, RENDER_REQUEST
-from ledgerline.sources.tables import read_requests
+from ledgerline.sources.tables import read_requests, readable, scan_requests, unreadable
 
 def test_read_requests(spark, tmp_path):
     lines = [{"to": ["x@example.com"], "companyname": "A", "formtype": "8-K", "table": "t", "more": 1},
@@ -92,3 +92,17 @@ def test_entities(spark):
         (None, "A", "t"), ("1", "A", "t"), ("2", "B", "t"), ("7", "D", " ")]
     assert entity_lookup(df).columns == ["cik", "companyname", "ticker"]
     assert df.select(F.lit(1)).count() == len(rows)
+
+
+def test_every_line_is_accounted_for(spark, tmp_path):
+    good = {"to": ["x@example.com"], "companyname": "A", "formtype": "8-K", "table": "t"}
+    lines = [json.dumps(good), json.dumps({"companyname": "B"}), json.dumps(good)[:-5], "", "  ", f"[{json.dumps(good)}]", "7",
+             "null", "{}", '{"to":"x@example.com","companyname":"C","formtype":"8-K","table":"t"}', "  " + json.dumps(good)]
+    (tmp_path / "requests.json").write_text("\n".join(lines))
+    scanned = scan_requests(spark, str(tmp_path), NOTIFICATION_REQUEST)
+    assert scanned.count() == 9
+    assert bag(unreadable(scanned)) == sorted((lines[at],) for at in (2, 5, 6, 7, 9))
+    requested = readable(scanned)
+    assert requested.columns == list(NOTIFICATION_REQUEST.names)
+    assert [row["recipient"] for row in requests.notification_outbox(requested).collect()] == ["x@example.com"] * 2
+    assert bag(requests.notification_rejects(requested).select("companyname")) == [("B",), (None,)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import bag, executed_plan
 from ledgerline.operators.enrich import page_links
+from ledgerline.operators.route import batch_summary
 from ledgerline.schemas import FILING, FILING_COLUMNS, extend, strings
 from ledgerline.sources.daily_files import stream_files
 from ledgerline.sources.feed import stream_feed
@@ -240,3 +241,39 @@ def test_a_hot_record_in_a_stream_is_kept_whole(spark, folder, tmp_path):
     start_filing_stream(stream, ledger, folder("checkpoint")).awaitTermination()
     found = ledger.batch(spark, 0)
     assert bag(found.groupBy("companyname").count()) == [("A", copies), ("B", 1)]
+
+
+def test_a_backlog_is_taken_in_batches(spark, folder, tmp_path):
+    """Twelve files at five a batch: three batches, every record once, and done files moved away."""
+    raw, done, target, checkpoint = tmp_path / "raw", tmp_path / "done", folder("ingested"), folder("checkpoint")
+
+    def land(names):
+        for at in names:
+            os.makedirs(raw / f"2024010{at % 3 + 1}", exist_ok=True)
+            (raw / f"2024010{at % 3 + 1}" / f"f{at}").write_text(f'[{{"cik":"{at}"}}]' if at != 7 else "broken")
+        files = stream_files(spark, str(raw), **jobs.admission(max_files=5, done=str(done)))
+        start_ingest(files, target, checkpoint).awaitTermination()
+
+    land(range(12))
+    rows = ingested(spark, target).select("cik", "batch_id").collect()
+    assert sorted(int(row["cik"]) for row in rows) == [at for at in range(12) if at != 7]
+    batches = [row["batch_id"] for row in rows] + [row["batch_id"] for row in set_aside(spark, target).collect()]
+    assert sorted(batches.count(batch) for batch in set(batches)) == [2, 5, 5]
+    land(range(12, 14))
+    assert ingested(spark, target).count() == 13
+    assert any(name.startswith("f") for _, _, names in os.walk(done) for name in names)
+
+
+def test_the_summary_is_counted_as_filings_are_written(spark, folder):
+    """No second pass over the stored filings, and the same figures as of one."""
+    links, outbox, ledger = folder("links"), folder("outbox"), FilingLedger(folder("ledger"))
+    crawled = spark.createDataFrame([("u1", 200, TABLE.format(1)), ("u2", 404, "")], "url string, status int, html string")
+    page_links(crawled).write.parquet(links)
+    deliver = outbox_delivery(spark, links, outbox)
+    for batch_id, rows in enumerate(([A, A, B, C], [])):
+        polled = spark.createDataFrame([(*row, f"s{batch_id}") for row in rows], SNAPSHOTS)
+        deliver(commit_batch(ledger, polled, batch_id), batch_id)
+        stored = spark.read.parquet(jobs.batch_folder(f"{outbox}/enriched", batch_id) + "/filings")
+        told = spark.read.parquet(jobs.batch_folder(f"{outbox}/summary", batch_id))
+        assert bag(told) == bag(batch_summary(stored))
+    assert bag(told) == [(0, 0, False, "Finished downloading for 0 companies.")]
