@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 import re
 from dataclasses import dataclass
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,7 +20,21 @@ from ledgerline.fixed_values import (
 # Comments, scripts and styles hold text that looks like tags but is none.
 _NOT_MARKUP = r"(?s)<(?:!--.*?-->|(?i:script)\b.*?</(?i:script)\s*>|(?i:style)\b.*?</(?i:style)\s*>)"
 _HREF = r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+# Character references as browsers read them: a number, or a name that may lack its semicolon.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_PIECES = rf"(?s){_REFERENCE}|&|[^&]+"
+# Names that count without a semicolon, also in front of other letters.
+_BARE = {name: text for name, text in html5.items() if not name.endswith(";")}
+_LONGEST_BARE = max(map(len, _BARE))
+_LARGEST = 0x10FFFF
+
+
+def _odd_numbers() -> dict[int, str]:
+    """Numbers that stand for something else than their code point: controls, surrogates' neighbours, non-characters."""
+    planes = (plane << 16 | last for plane in range(17) for last in (0xFFFE, 0xFFFF))
+    read = {number: html.unescape(f"&#{number};") for number in (*range(0xA0), *range(0xFDD0, 0xFDF0), *planes)}
+    return {number: text for number, text in read.items() if text != chr(number)}
 
 
 @dataclass(frozen=True)
@@ -44,6 +60,51 @@ class LinkSection:
         return pattern + "[^>]*>"
 
 
+def _literal_map(values: dict) -> Column:
+    """A constant map of strings, made from one literal: no value holds the signs between them."""
+    written = "\x01".join(f"{key}\x02{value}" for key, value in values.items())
+    return F.str_to_map(F.lit(written), F.lit("\x01"), F.lit("\x02"))
+
+
+def _numbered(digits: Column, base: int) -> Column:
+    """The character of a number; the replacement character where there is none."""
+    significant = F.regexp_replace(digits, "^0+", "")
+    number = F.when(F.length(significant) > 8, _LARGEST + 1).otherwise(
+        F.conv(F.concat(F.lit("0"), significant), base, 10).cast("long"))
+    none = (number > _LARGEST) | number.between(0xD800, 0xDFFF)
+    point = F.decode(F.unhex(F.lpad(F.hex(F.when(~none, number)), 8, "0")), "UTF-32")
+    return F.when(none, F.lit("\ufffd")).otherwise(F.coalesce(F.element_at(_literal_map(_odd_numbers()), number.cast("string")), point))
+
+
+def _named(name: Column) -> Column:
+    """What a name stands for; else the longest name it begins with counts; else it is text."""
+    starts = F.transform(F.sequence(F.lit(_LONGEST_BARE), F.lit(2), F.lit(-1)), lambda size: F.substr(name, F.lit(1), size))
+    bare = _literal_map(_BARE)
+    begins = F.get(F.filter(starts, lambda start: (F.length(start) < F.length(name)) & F.map_contains_key(bare, start)), F.lit(0))
+    return F.coalesce(
+        F.element_at(_literal_map(html5), name),
+        F.concat(F.element_at(bare, begins), F.substr(name, F.length(begins) + 1)),
+        F.concat(F.lit("&"), name),
+    )
+
+
+def decoded_references(text: Column) -> Column:
+    """``text`` with its character references read as browsers read them; each once, so what they yield is text."""
+
+    def read(piece: Column) -> Column:
+        name = F.substr(piece, F.lit(2))
+        digits = F.regexp_replace(name, "^#[xX]?|;$", "")
+        return (
+            F.when(~F.rlike(piece, F.lit("(?s)^&.")), piece)
+            .when(F.rlike(name, F.lit("^#[xX]")), _numbered(digits, 16))
+            .when(name.startswith("#"), _numbered(digits, 10))
+            .otherwise(_named(name))
+        )
+
+    whole = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), read), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
 def first_text_anchor(html: Column, section: LinkSection = LinkSection()) -> Column:
     """The first ``<a>`` with non-empty text inside the section, as markup; null if there is none.
 
@@ -82,9 +143,7 @@ def _state(depth: Column, anchor: Column) -> Column:
 def link_target(anchor: Column) -> Column:
     """The ``href`` of an anchor, or null if it has none."""
     target = F.concat(*[F.regexp_extract(anchor, _HREF, group) for group in (1, 2, 3)])
-    for entity, char in _ENTITIES:
-        target = F.replace(target, F.lit(entity), F.lit(char))
-    return F.when(F.rlike(anchor, F.lit(_HREF)), target)
+    return F.when(F.rlike(anchor, F.lit(_HREF)), decoded_references(target))
 
 
 def document_link(html: Column, section: LinkSection = LinkSection(), base: str = SITE_BASE) -> Column:
