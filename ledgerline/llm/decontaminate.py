@@ -2,16 +2,22 @@
 
 A text becomes a sequence of tokens (runs of letters, digits and bytes beyond ASCII, A-Z lower-cased) in which
 
-* a number, also one in words or with inner points and commas, becomes a number slot,
-* a capitalised word that does not begin a sentence becomes a name slot,
+* a number, also one of several words or with inner points and commas, becomes a number slot,
+* a capitalised word that does not begin a sentence becomes a name slot, several in a row one,
 * a unit after a number becomes a unit slot.
 
 Windows of ``WINDOW`` such tokens are joined by hash with those of the benchmark items. A window with fewer than ``PLAIN``
-tokens that are no slots is joined on what stands in its slots as well, so it matches word for word only. Matches of a document and an item that lie on one alignment are held together if their slots are
-consistent: the same value in the item always stands for the same value in the document. They count when they number
-``MATCHES``, or all windows of a shorter item; the windows with ``PLAIN`` such tokens also count on their own, so that what
-is word for word elsewhere takes no match away. An item of fewer tokens than a window is one window of its own length; of
-slots alone it matches nothing.
+tokens that are no slots is joined on what stands in its slots as well, so it matches word for word only. Matches of a
+document and an item that lie on one alignment are held together, and their slots are checked: the same value in the item
+should always stand for the same value in the document. Of several values the one of most windows is taken, and windows
+with another one contradict it. An alignment counts in any of three cases:
+
+* nothing contradicts it, and its windows number ``MATCHES``, or all windows of a shorter item;
+* as many of its windows are equal value for value, whatever the others say;
+* ``STRETCH`` of its windows are left when those that contradict are taken away.
+
+The windows with ``PLAIN`` such tokens also count on their own, so that what is word for word elsewhere takes no match away.
+An item of fewer tokens than a window is one window of its own length; of slots alone it matches nothing.
 
 The scan keeps a window only if a bitmap of fixed size, made from the benchmark, has its bit; so only likely matches
 leave the scan, whatever the sizes, and an exact join follows.
@@ -36,6 +42,7 @@ from ledgerline.llm.wordhash import Splitter, groups_of_texts, mix, text_buffers
 WINDOW = 8
 PLAIN = 4
 MATCHES = 6
+STRETCH = 12
 BITMAP_BITS = 1 << 22
 
 _ALNUM = {*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)}
@@ -92,13 +99,21 @@ class Canonical:
         # "1,000" and "3.14" are one number
         goes_on = follows & digit & (gap == 1) & ((before == 44) | (before == 46))
         goes_on[1:] &= digit[:-1]
-        number = digit | _among(hashes, self.number_words)
+        in_words = _among(hashes, self.number_words)
+        number = digit | in_words
         unit = follows & ~number & _among(hashes, self.units)
         unit[1:] &= number[:-1]
         capital = (first >= 65) & (first <= 90) & (lengths > 1)
         second = data[np.minimum(starts + 1, len(data) - 1)]
         capital &= ((second >= 97) & (second <= 122)) | (second >= 128)
         name = capital & ~number & ~unit & follows & ~self._after_end(data, starts, lengths, capital & follows)
+        # "thirty five", "thirty-five", "3 million" and "New York" are one slot each
+        close = follows & (gap == 1)
+        more = close & in_words & ((before == 32) | (before == 45))
+        more[1:] &= number[:-1]
+        also = close & name & (before == 32)
+        also[1:] &= name[:-1]
+        goes_on |= more | also
         tokens = np.select([number, unit, name], [NUMBER, UNIT, NAME], hashes)
         if goes_on.any():
             heads = np.flatnonzero(~goes_on)
@@ -234,29 +249,44 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
         F.array(~F.col("plain"))))
     met = met.withColumn("whole", judged).withColumn("windows", F.when(F.col("whole"), F.col("every")).otherwise(F.col("windows")))
     met = session.cut(met.drop("plain", "every"), "benchmark-matches")
-    alignment = ["doc_id", "a", "b", "item", "shift", "whole"]
-    # null-safe on the id: rows without one are told apart by their key
+    return _judged(met).select("doc_id", "a", "b", F.col("item").alias("item_id"), "matched", "changed", "first_token")
+
+
+def _judged(met: DataFrame) -> DataFrame:
+    """The best verdict on each alignment of ``met`` that counts: a row per document row, item and shift."""
+    alignment = ["a", "b", "item", "shift", "whole"]
+    equal = ~F.exists("slots", lambda slot: slot["was"] != slot["now"])
     whole = met.groupBy(*alignment).agg(
-        F.max("windows").alias("windows"), F.countDistinct("at").alias("matched"), F.min("at").alias("first_token"))
-    whole = whole.where(F.col("matched") >= F.least(F.col("windows"), F.lit(MATCHES)))
-    values = met.select(*alignment, F.explode("slots").alias("slot")).distinct()
-    values = values.groupBy(*alignment).agg(
-        F.count(F.lit(1)).alias("pairs"), F.countDistinct("slot.was").alias("known"),
-        F.sum((F.col("slot.was") != F.col("slot.now")).cast("long")).alias("changed"))
-    one, two = whole.alias("w"), values.alias("v")
-    same = [F.col(f"w.{name}").eqNullSafe(F.col(f"v.{name}")) for name in alignment]
-    joined = one.join(two, same, "left").where("pairs is null or pairs = known")
-    joined = joined.select("w.doc_id", "w.a", "w.b", F.col("w.item").alias("item_id"), "w.shift", "matched",
-                           F.coalesce("changed", F.lit(0)).cast("long").alias("changed"), "first_token")
-    best = F.max(F.struct("matched", "changed", "first_token")).alias("best")
-    return joined.groupBy("doc_id", "a", "b", "item_id", "shift").agg(best).select("doc_id", "a", "b", "item_id", "best.*")
+        F.any_value("doc_id").alias("doc_id"), F.least(F.max("windows"), F.lit(MATCHES)).alias("wanted"),
+        F.countDistinct("at").alias("found"), F.countDistinct(F.when(equal, F.col("at"))).alias("equal"),
+        F.min("at").alias("first_token"))
+    slots = met.select(*alignment, "at", F.explode("slots").alias("slot")).select(*alignment, "at", "slot.*")
+    values = slots.groupBy(*alignment, "was", "now").agg(F.countDistinct("at").alias("n"))
+    usual = values.groupBy(*alignment, "was").agg(F.max_by("now", F.struct("n", "now")).alias("usual"))
+    against = slots.join(usual, [*alignment, "was"]).where("now <> usual").groupBy(*alignment).agg(
+        F.countDistinct("at").alias("against"))
+    changed = values.groupBy(*alignment).agg(F.sum((F.col("was") != F.col("now")).cast("long")).alias("changed"))
+    none = F.lit(0).cast("long")
+    told = whole.join(against, alignment, "left").join(changed, alignment, "left").select(
+        *alignment, "doc_id", "wanted", "equal", "first_token", "found", F.coalesce("against", none).alias("against"),
+        F.coalesce("changed", none).alias("changed"))
+    left = F.col("found") - F.col("against")
+    counts = ((F.col("against") == 0) & (F.col("found") >= F.col("wanted"))) | (F.col("equal") >= F.col("wanted")) | (
+        left >= STRETCH)
+    best = F.max(F.struct(F.greatest(left, F.col("equal")).alias("matched"), "changed", "first_token")).alias("best")
+    return told.where(counts).groupBy("a", "b", "item", "shift").agg(
+        F.any_value("doc_id").alias("doc_id"), best).select("doc_id", "a", "b", "item", "best.*")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
-    """``doc_id, item_id, matched, changed, first_token``: the best alignment of each document and item that match."""
+    """``doc_id, item_id, matched, changed, first_token``: the best alignment of each document and item that match.
+
+    Rows that share an id are one document; each text without an id is one of its own.
+    """
     found = matches(docs, benchmark, **columns)
     best = F.max(F.struct("matched", (-F.col("changed")).alias("same"), (-F.col("first_token")).alias("early")))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
+    nameless = F.when(F.col("doc_id").isNull(), F.struct("a", "b")).alias("text_key")
+    return found.groupBy("doc_id", nameless, "item_id").agg(best.alias("best")).select(
         "doc_id", "item_id", "best.matched", (-F.col("best.same")).alias("changed"),
         (-F.col("best.early")).alias("first_token"))
 

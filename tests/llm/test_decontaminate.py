@@ -29,7 +29,7 @@ def test_exact_shouted_and_parameterised_copies(spark):
     texts = [f"{around[0]} {ITEM} {around[1]}", f"{around[0]} {other} {around[1]}", " ".join(around), ITEM.replace(".", " ###"),
              around[1], broken]
     got = found(spark, texts, [ITEM, sentence(rng, 30)])
-    assert set(got) == {(0, 0), (1, 0), (3, 0)}
+    assert set(got) == {(0, 0), (1, 0), (3, 0), (5, 0)}
     assert got[0, 0] == 0
     assert got[1, 0] >= 5
 
@@ -103,3 +103,111 @@ def test_edge_cases(spark):
     assert decontaminate.drop_contaminated(docs, none).count() == docs.count()
     assert decontaminate.drop_contaminated(edge_table(spark, []), items).collect() == []
     assert decontaminate.contaminated(edge_table(spark, []), none).collect() == []
+
+
+def test_replaced_in_other_words(spark):
+    """A slot may get more or fewer words, and one changed slot hides nothing that is equal around it."""
+    rng = random.Random(9)
+    texts = [ITEM.replace("12", "thirty five"), ITEM.replace("12", "thirty-five"), ITEM.replace("Peter", "Peter van Smith Jones"),
+             ITEM.replace("12 apples", "3 million apples").replace("Peter", "Anna Maria"), ITEM.replace("of the 12", "of the 14"),
+             ITEM.replace("5 apples", "7 apples").replace("12", "20"), sentence(rng, 60)]
+    texts = [f"{sentence(rng, 20)}. {text} {sentence(rng, 20)}" for text in texts]
+    assert {i for i, _ in found(spark, texts, [ITEM])} >= {0, 1, 3, 4, 5}
+    assert 6 not in {i for i, _ in found(spark, texts, [ITEM])}
+
+
+def test_long_passage_with_one_contradiction(spark):
+    item = ("we take 3 from the jar and put it on the shelf near the wall then we go on to read what it says and after that we "
+            "take 3 more from the box and all of it ends up in a bag")
+    other = item.replace("take 3 from", "take 8 from").replace("take 3 more", "take 9 more")
+    assert set(found(spark, [other, item.replace("3", "8")], [item])) == {(0, 0), (1, 0)}
+
+
+def windows_of(text):
+    """Tokens and values of a text by a regular expression, and its windows, as the module describes them."""
+    numbers, units = set(decontaminate.NUMBER_WORDS), set(decontaminate.UNITS)
+    words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9]+", text)]
+    tokens, last_kind, last_end, was_number = [], None, 0, False
+    for at, (word, start, end) in enumerate(words):
+        low, gap = word.lower(), text[last_end:start]
+        number = low[0].isdigit() or low in numbers
+        unit = at > 0 and not number and was_number and low in units
+        ended = any(c in ".!?:\n" for c in gap)
+        name = (at > 0 and not number and not unit and len(word) > 1 and word[0].isupper() and word[1].islower() and not ended)
+        kind = "#" if number else "u" if unit else "N" if name else None
+        joined = at > 0 and (
+            (low[0].isdigit() and words[at - 1][0][0].isdigit() and gap in (".", ","))
+            or (low in numbers and was_number and gap in (" ", "-")) or (name and last_kind == "N" and gap == " "))
+        if joined:
+            tokens[-1] = (tokens[-1][0], tokens[-1][1] + (low,))
+        else:
+            tokens.append((kind or low, (low,) if kind else ()))
+        last_kind, last_end, was_number = kind, end, number
+    return tokens
+
+
+def plain_match(text, item):
+    """Whether one alignment of the texts counts, by loops over all shifts."""
+    mine, theirs = windows_of(text), windows_of(item)
+    size = min(8, len(theirs))
+    if not size:
+        return False
+    def kind(tokens, at, width):
+        own = tokens[at:at + width]
+        return sum(not values for _, values in own)
+    every = [at for at in range(len(theirs) - size + 1) if size == 8 or kind(theirs, at, size)]
+    rich = [at for at in every if kind(theirs, at, size) >= min(4, size)]
+    for shift in range(-len(theirs), len(mine)):
+        for pool in ({True: every, False: rich} if len(rich) < len(every) and rich else {True: every}).values():
+            met = {}
+            for at in pool:
+                if not 0 <= at + shift <= len(mine) - size:
+                    continue
+                pairs = list(zip(theirs[at:at + size], mine[at + shift:at + shift + size], strict=True))
+                same = all(a == b for a, b in pairs)
+                if same if at not in rich else all(a[0] == b[0] and bool(a[1]) == bool(b[1]) for a, b in pairs):
+                    met[at] = [(a[1], b[1]) for a, b in pairs if a[1]]
+            if not met:
+                continue
+            counts = {}
+            for at, pairs in met.items():
+                for pair in set(pairs):
+                    counts[pair] = counts.get(pair, 0) + 1
+            best = {}
+            for (was, now), n in counts.items():
+                best.setdefault(was, []).append(n)
+            against = 0
+            for pairs in met.values():
+                # a tie between values may fall either way; the cases of the test have none
+                against += any(counts[was, now] < max(best[was]) for was, now in pairs)
+            equal = sum(all(was == now for was, now in pairs) for pairs in met.values())
+            wanted = min(len(pool), 6)
+            if (not against and len(met) >= wanted) or equal >= wanted or len(met) - against >= 12:
+                return True
+    return False
+
+
+def test_like_brute_force_with_slots(spark):
+    rng = random.Random(12)
+    names, plain_words = ["Anna", "Peter", "Karl", "Mary Jane"], "he has sold and then gave away of his red old pens to her for".split()
+
+    def some(n):
+        return " ".join(rng.choice(plain_words) if rng.random() < 0.75 else rng.choice([*names, "12", "7", "twenty one", "3 km"])
+                        for _ in range(n))
+
+    items = [f"So {some(rng.choice((4, 9, 16, 26)))}" for _ in range(12)]
+    texts = []
+    for item in items:
+        texts.append(f"it was {item} or so")
+        texts.append(item.replace("12", "35").replace("Anna", "Karl Otto"))
+        texts.append(item.replace("12", "12 thousand", 1))
+        texts.append(item.replace("7", "8", 1).replace("Peter", "Emil", 1))
+        texts.append(" ".join(item.split(" ")[:11]) + " " + some(12))
+    texts += [some(40) for _ in range(10)]
+    expected = {(i, j) for i, text in enumerate(texts) for j, item in enumerate(items) if plain_match(text, item)}
+    assert set(found(spark, texts, items)) == expected
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    rows = [(None, f"{ITEM} one", None, None, None), (None, f"{ITEM} two", None, None, None), (None, f"{ITEM} two", None, None, None)]
+    assert decontaminate.contaminated(table(spark, rows), benchmark(spark, [(0, ITEM)])).count() == 2
