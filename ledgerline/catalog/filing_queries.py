@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline import session
 from ledgerline.catalog import inputs
 from ledgerline.catalog.inputs import derive, for_check
+from ledgerline.fixed_values import SITE_BASE, TITLE_PATTERN
 from ledgerline.functions.html import LinkSection
 from ledgerline.operators import enrich, entities, feed, records
 from ledgerline.plans.filings import FilingBatch, deliver, process_entries, store_links
@@ -172,7 +173,7 @@ QUERIES = {
 
 # --- The same results in DuckDB ---------------------------------------------------------------------
 
-_TITLE = r"'(.*) - (.*) \((.*)\) \((.*)\)'"
+_TITLE = f"'{TITLE_PATTERN.removeprefix('(?d)')}'"
 
 # Times as text in UTC: wall clock minus the offset that follows it.
 _JUDGED = f"""
@@ -213,7 +214,7 @@ def _link_sql(html: str, tag: str) -> str:
     """First anchor with text in the first ``tag`` element (the given pages do not nest it)."""
     anchors = rf"regexp_extract_all(regexp_extract({html}, '(?s)<{tag}[^>]*>(.*?)</{tag}>', 1), '(?s)<a\b[^>]*>.*?</a>')"
     first = f"list_filter({anchors}, lambda a: regexp_replace(a, '<[^>]*>', '', 'g') <> '')[1]"
-    return f"""'https://www.sec.gov' || regexp_extract({first}, 'href="([^"]*)"', 1)"""
+    return f"""'{SITE_BASE}' || regexp_extract({first}, 'href="([^"]*)"', 1)"""
 
 
 def _best_page(found: str) -> str:

@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.fixed_values import EVENT_RULES, TAG_DEFAULTS
+from ledgerline.fixed_values import EVENT_RULES, SITE_BASE, TAG_DEFAULTS
 from ledgerline.sources.tables import read_table
 
 ORGANISATION = "org-"
@@ -42,7 +42,7 @@ select {_text('o_orderkey')} as entry_id,
     || case when o_orderkey % 4 = 0 then ' - NEW' else '' end
     || ' (' || lpad({_text('c_custkey')}, 10, '0') || ') (Filer)' as title,
   case when o_orderkey % 17 = 0 then null
-       else 'https://www.sec.gov/p/' || {_text(_div('o_orderkey', 50))} end as link,
+       else '{SITE_BASE}/p/' || {_text(_div('o_orderkey', 50))} end as link,
   case when o_orderkey % 19 = 0 then 'soon'
        else substr({_text('o_orderdate')}, 1, 10) || 'T' || {_two_digits('o_orderkey % 24')} || ':'
          || {_two_digits('o_orderkey % 60')} || ':07'
@@ -58,7 +58,7 @@ select 'COMPANY ' || {_text('user_id')} as companyname,
   {_text('user_id')} as cik,
   case when value < 5 then null
        else '2024-01-' || {_two_digits('user_id % 28 + 1')} || ' 00:00:00' end as date,
-  'https://www.sec.gov/p/' || {_text(_div('value', 20))} as inter_url,
+  '{SITE_BASE}/p/' || {_text(_div('value', 20))} as inter_url,
   ts
 from <events>
 """
@@ -70,14 +70,14 @@ select 'COMPANY ' || {_text('user_id')} as companyname,
                   else event_type end as formtype,
   {_text('user_id')} as cik,
   substr({_text('ts')}, 1, 19) as date,
-  'https://www.sec.gov/p/' || {_text(_div('event_id', 30))} as inter_url
+  '{SITE_BASE}/p/' || {_text(_div('event_id', 30))} as inter_url
 from <events>
 """
 
 # Crawled landing pages: the navigation becomes the document table; some begin with an empty link, some
 # are blank, some answered with an error.
 PAGES = f"""
-select 'https://www.sec.gov/p/' || {_text('page_id')} as url,
+select '{SITE_BASE}/p/' || {_text('page_id')} as url,
   case page_id % 4 when 1 then 404 when 2 then 202 else 200 end as status,
   case when page_id % 5 = 0 then ''
        else replace(replace(html, '<nav>',
@@ -93,9 +93,9 @@ select replace(substr({_text('ts')}, 1, 10), '-', '') as ymd,
   {_text('user_id')} as cik,
   substr({_text('ts')}, 1, 10) as date,
   event_type as formtype,
-  'https://www.sec.gov/p/' || {_text('event_id')} as inter_url,
+  '{SITE_BASE}/p/' || {_text('event_id')} as inter_url,
   'COMPANY ' || {_text('user_id')} as companyname,
-  case when value < 5 then null else 'https://www.sec.gov/d/' || {_text('event_id')} end as formurl,
+  case when value < 5 then null else '{SITE_BASE}/d/' || {_text('event_id')} end as formurl,
   {_div('event_id', 100000)} as chunk
 from <events>
 """
@@ -265,7 +265,7 @@ from (
 """
 
 RENDER = f"""
-select 'https://www.sec.gov/d/' || {_text('o_orderkey')} as formurl,
+select '{SITE_BASE}/d/' || {_text('o_orderkey')} as formurl,
   'A4' as page_size,
   case when o_orderkey % 21 = 0 then null else c_mktsegment end as ticker,
   substr({_text('o_orderdate')}, 1, 10) as date,

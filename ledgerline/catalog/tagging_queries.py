@@ -114,7 +114,7 @@ def tag_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = _tagged(spark, sf_dir)
-    return tags.merge_tags(tagged.inventory, tagged.assignments, tagged.expanded)
+    return tags.merge_tag_sets(tagged.inventory, tagged.tag_sets)
 
 
 def stream_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline import session
 from ledgerline.fixed_values import TAG_DEFAULTS, TAG_KEYS
 from ledgerline.functions.accounts import default_tag
 
@@ -91,3 +92,28 @@ def merge_tags(inventory: DataFrame, assignments: DataFrame, tagged: DataFrame |
         ).alias("rank"),
     )
     return existing.unionByName(assigned).groupBy(*resource, "key").agg(F.max_by("value", "rank").alias("value"))
+
+
+def merge_tag_sets(inventory: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same from tag sets, one row per resource and event, when all sets have the same keys.
+
+    Then the last set of a resource wins with all its keys, so sets are compared before they are spread over their tags,
+    and what an inventory row keeps is decided by looking that one set up. Existing tags that stay meet no assigned one
+    and are grouped on their own. The last sets are stored, as both sides read them.
+    """
+    resource = ["region", "resource_id"]
+    last = session.cut(sets.groupBy(*resource).agg(
+        F.max_by("tags", F.struct("event_time", "event_id")).alias("tags"),
+        F.bool_or(F.col("resource_class") == "bucket").alias("replaces"),
+    ), "last-tag-sets")
+    assigned = F.transform("assigned", lambda tag: tag["Key"])
+    stays = F.col("assigned").isNull() | (~F.col("replaces") & ~F.array_contains(assigned, F.col("key")))
+    own = inventory.select(*resource, F.col("tags").alias("existing"))
+    met = own.join(last.select(*resource, F.col("tags").alias("assigned"), "replaces"), resource, "left")
+    existing = (
+        met.select(*resource, "assigned", "replaces", F.posexplode("existing").alias("at", "tag"))
+        .select(*resource, "assigned", "replaces", "at", F.col("tag.Key").alias("key"), F.col("tag.Value").alias("value"))
+        .filter(F.col("key").isNull() | F.coalesce(stays, F.lit(True)))
+        .groupBy(*resource, "key").agg(F.max_by("value", "at").alias("value"))
+    )
+    return existing.unionByName(last.select(*resource, F.inline("tags").alias("key", "value")))

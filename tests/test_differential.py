@@ -13,7 +13,7 @@ from ledgerline.fixed_values import alias_rules
 from ledgerline.functions import accounts as acc
 from ledgerline.functions.html import document_link
 from ledgerline.functions.titles import is_filing_title, title_groups
-from ledgerline.operators.tags import merge_tags
+from ledgerline.operators.tags import merge_tag_sets, merge_tags, tag_assignments
 from test_landing import TABLE, Links
 
 
@@ -119,3 +119,24 @@ def test_merged_tags(spark, rng):
                                            "resource_class string, key string, value string")
     merged = merge_tags(stored, assigned).select("resource_id", "key", "value")
     assert bag(merged) == sorted(((*place, value) for place, value in expected.items()), key=repr)
+
+
+def test_merged_tag_sets(spark, rng):
+    """Sets of the same keys: the same as tag by tag, hot resources and repeated inventory rows included."""
+    names = [f"r{n}" for n in range(40)]
+    pairs = "array<struct<Key:string,Value:string>>"
+    held = [(rng.choice(names), rng.choice("ab"), [(rng.choice("KLMN"), str(n * 10 + k)) for k in range(rng.randint(0, 4))])
+            for n in range(30)]
+    held += [("plain", "a", None), ("plain", "b", [])]
+    sets = []
+    for number in range(200):
+        name = rng.choice([*names, *["r1"] * 40])
+        sets.append((str(number), f"t{number // 3:04d}", rng.choice("ab"), name, "bucket" if name in names[:9] else "ids",
+                     [(key, f"{number}{key}") for key in "KLX"]))
+    inventory = spark.createDataFrame(list({row[:2]: row for row in held}.values()),
+                                      f"resource_id string, region string, tags {pairs}")
+    found = spark.createDataFrame(sets, "event_id string, event_time string, region string, resource_id string, "
+                                        f"resource_class string, tags {pairs}")
+    assert bag(merge_tag_sets(inventory, found)) == bag(merge_tags(inventory, tag_assignments(found)))
+    none = found.limit(0)
+    assert bag(merge_tag_sets(inventory, none)) == bag(merge_tags(inventory, tag_assignments(none)))
