@@ -1,16 +1,20 @@
 """Secret scanning with a random forest that removes false positives.
 
-A candidate is a run of at least ``SHORTEST`` characters that a credential can consist of. The forest judges it by
+A candidate is a run of at least ``SHORTEST`` characters that a credential can consist of, or the whole value, whatever
+signs and length it has, that a word such as "password" or "token" and a colon or equals sign announce; runs within such
+a value are part of it. The forest judges a candidate by
 
 * its length, the kinds of characters in it and their entropy,
 * its character transitions: how likely each is among the words of all documents, and how often the kind changes,
 * its dictionary coverage: the share of its characters that lie in one of the corpus's most frequent words,
 * paths: slashes, dots and extensions in it and around it, and
-* the words and signs next to it.
+* the words next to it, hashed to ``NEIGHBOURS`` kinds on either side, and the signs between.
 
 It is trained from labelled findings, at most ``sample`` of them; :func:`label_findings` derives labels where a format
-or an assignment settles the matter, and a caller may bring labels of their own. The transition table and the dictionary
-come from all documents. Both have a fixed size.
+or an assignment settles the matter, and a caller may bring labels of their own. So that the forest does not just learn
+the rule that labelled them, half of the findings train with everything around them hidden: those are judged by the value
+alone, as a credential that nothing announces has to be. The transition table and the dictionary come from all documents.
+Both have a fixed size.
 
 Null and empty texts have no candidates. Repeated rows have theirs each; ids may be null. A text that is one long run is
 one candidate, read as a whole. Without labelled findings of either kind every score is 0. An empty table gives an empty result.
@@ -19,6 +23,7 @@ one candidate, read as a whole. Without labelled findings of either kind every s
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,9 +52,18 @@ _FORMATS = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk_liv
 _PLAIN = re.compile(r"[A-Za-z_/\-]+|\d+")
 _ASSIGNED = re.compile(r"[=:]\s*[\"']?$")
 _EXTENSION = re.compile(r"^\.[A-Za-z]{1,4}\b")
-
-FEATURES = ("length", "digits", "capitals", "letters", "signs", "hex", "entropy", "likelihood", "changes", "coverage",
-            "slashes", "path_before", "extension", "announced", "assigned", "quoted", "word_before", "word_after")
+# an announced assignment: what stands before its sign, and its value, which ends with its quote or else with white space
+_SIGN = re.compile("[=:]")
+_ANNOUNCED = re.compile(
+    r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential)s?[\"']?\s{0,4}$")
+_VALUE = re.compile(r"(?:=>?|:=?)\s{0,4}(?:\"(?P<a>[^\"\n]{4,256})\"|'(?P<b>[^'\n]{4,256})'|(?P<c>[^\s\"'<>]{4,}))")
+_WORD_BEFORE, _WORD_AFTER = re.compile(r"([^\W\d_]+)\W*$"), re.compile(r"\W*([^\W\d_]+)")
+
+NEIGHBOURS = 8
+VALUE_FEATURES = ("length", "digits", "capitals", "letters", "signs", "hex", "entropy", "likelihood", "changes", "coverage",
+                  "slashes")
+FEATURES = (*VALUE_FEATURES, "path_before", "extension", "announced", "assigned", "quoted", "word_before", "word_after",
+            *(f"before_{k}" for k in range(NEIGHBOURS)), *(f"after_{k}" for k in range(NEIGHBOURS)))
 
 # character classes of the transition table: 26 letters, 10 digits, other signs, beyond ASCII, space
 _CLASSES = np.full(256, 36, dtype=np.int64)
@@ -105,15 +119,33 @@ def corpus_of(docs: DataFrame) -> Corpus:
     return Corpus(np.log(counts / counts.sum(axis=1, keepdims=True)), known)
 
 
+def candidate_spans(text: str) -> list[tuple[int, int]]:
+    """Where the candidates of a text are, in order: announced values, and runs that do not meet any."""
+    announced: list[tuple[int, int]] = []
+    for sign in _SIGN.finditer(text):
+        at = sign.start()
+        if (not announced or announced[-1][1] <= at) and _ANNOUNCED.search(text, max(0, at - AROUND), at):
+            value = _VALUE.match(text, at)
+            if value:
+                announced.append(value.span(value.lastgroup))
+    found, at = list(announced), 0
+    for m in _CANDIDATE.finditer(text):
+        a, b = m.span()
+        while at < len(announced) and announced[at][1] <= a:
+            at += 1
+        if at == len(announced) or announced[at][0] >= b:
+            found.append((a, b))
+    return sorted(found) if announced else found
+
+
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, start, length, value, before, after`` of all candidates."""
     for batch in batches:
         ids, rows = batch.column("doc_id").to_pylist(), []
         for doc_id, one in zip(ids, batch.column("text"), strict=True):
             text = one.as_py() or ""
-            for m in _CANDIDATE.finditer(text):
-                a, b = m.span()
-                rows.append((doc_id, a, b - a, m.group(), text[max(0, a - AROUND):a], text[b:b + AROUND]))
+            for a, b in candidate_spans(text):
+                rows.append((doc_id, a, b - a, text[a:b], text[max(0, a - AROUND):a], text[b:b + AROUND]))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 6
         types = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
@@ -149,7 +181,7 @@ def describe(corpus: Corpus, values: list[str], lengths: list[int], before: list
         n = b - a
         own, chars = rough[a:b], np.bincount(data[a:b], minlength=128).astype(float)
         share = chars[chars > 0] / n
-        word_before, word_after = re.search(r"([^\W\d_]+)\W*$", before[i]), re.match(r"\W*([^\W\d_]+)", after[i])
+        word_before, word_after = _WORD_BEFORE.search(before[i]), _WORD_AFTER.match(after[i])
         rows[i] = (
             np.log(lengths[i]), (own == 2).mean(), (own == 1).mean(), (own < 2).mean(), (own == 3).mean(),
             float(all(c in "0123456789abcdefABCDEF" for c in value)), -(share * np.log2(share)).sum(),
@@ -157,7 +189,10 @@ def describe(corpus: Corpus, values: list[str], lengths: list[int], before: list
             float(before[i][-1:] in ("/", ".", "\\", "@") or "://" in before[i].rpartition(" ")[2]),
             float(bool(_EXTENSION.match(after[i]))), float(bool(_ANNOUNCES.search(before[i]))),
             float(bool(_ASSIGNED.search(before[i]))), float(before[i][-1:] in ("'", '"') and after[i][:1] in ("'", '"')),
-            len(word_before[1]) if word_before else 0, len(word_after[1]) if word_after else 0)
+            len(word_before[1]) if word_before else 0, len(word_after[1]) if word_after else 0, *[0.0] * (2 * NEIGHBOURS))
+        for word, first in ((word_before, len(FEATURES) - 2 * NEIGHBOURS), (word_after, len(FEATURES) - NEIGHBOURS)):
+            if word:
+                rows[i, first + zlib.crc32(word[1].lower().encode("utf-8", "replace")) % NEIGHBOURS] = 1.0
     return rows
 
 
@@ -195,7 +230,8 @@ def label_findings(found: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = 11):
     """The forest learnt from ``features`` and ``label``; None if a kind is missing.
 
-    Half of the sample is kept for either kind; both are picked by a hash of the finding.
+    Half of the sample is kept for either kind; both are picked by a hash of the finding. Of either kind, findings with an
+    odd hash train without what stands around them.
     """
     known = labelled.where("label is not null").select("features", F.col("label").cast("double").alias("label"),
                                                        F.xxhash64("value", "before", "after").alias("h"))
@@ -205,7 +241,10 @@ def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = 11):
     if {row["label"] for row in rows.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
     forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=seed)
-    return forest.fit(rows.withColumn("vector", array_to_vector("features")))
+    alone = F.concat(F.slice("features", 1, len(VALUE_FEATURES)),
+                     F.array_repeat(F.lit(0.0), len(FEATURES) - len(VALUE_FEATURES)))
+    shown = F.when(F.pmod("h", F.lit(2)) == 1, alone).otherwise(F.col("features"))
+    return forest.fit(rows.withColumn("vector", array_to_vector(shown)))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

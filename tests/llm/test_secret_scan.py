@@ -70,3 +70,48 @@ def test_edge_cases(spark):
     assert [(row.doc_id, row.start, row.length, row.score) for row in got] == [(8, 0, 3000, 0.0)]
     assert len(edge_rows()) == docs.count()
     assert secret_scan.scan(edge_table(spark, [])).collect() == []
+
+
+def test_announced_values_are_candidates_whole():
+    text = ('password = "p@ss!w0rd#24" token: a.b.c-9 and API_KEY=\'x y z w\' pwd=ab secret => 0f0f0f0f0f0f0f0f0f, '
+            "thernderinaningly conn=db://u:p@h, auth: Bearer")
+    spans = [text[a:b] for a, b in secret_scan.candidate_spans(text)]
+    assert spans == ["p@ss!w0rd#24", "a.b.c-9", "x y z w", "0f0f0f0f0f0f0f0f0f,", "thernderinaningly", "Bearer"]
+    rng = random.Random(5)
+    pieces = ["token=", "password: ", '"', "'", " ", "ab", "0123456789abcdef", "\n", "secret", "=", "/usr/share/readme/x"]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(12))
+        spans = secret_scan.candidate_spans(text)
+        assert spans == sorted(spans) and all(a < b <= c for (a, b), (c, _) in zip(spans, spans[1:], strict=False))
+        # no run is lost: it is a candidate, or meets an announced value
+        for m in secret_scan._CANDIDATE.finditer(text):
+            assert any(a < m.end() and m.start() < b for a, b in spans)
+
+
+def held_out(rng, n):
+    """Credentials of formats and announcements that the labels know nothing of, and look-alikes."""
+    rows, truth = [], set()
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for i in range(n):
+        words = sentence(rng, 30).split(" ")
+        base64 = "".join(rng.choices(signs, k=rng.choice((24, 32, 44))))
+        hexed = "".join(rng.choices("0123456789abcdef", k=32))
+        good = (f"glpat-{base64[:20]}", base64, hexed, f"key {base64}", f"use {hexed} now")
+        bad = ("internationalisation", "/usr/share/doc/libstdc/readme", "counterrevolutionaries", "2024010203040506", "home/user/files/reports")
+        secret = rng.random() < 0.5
+        words.insert(rng.randrange(len(words)), rng.choice(good if secret else bad))
+        rows.append((i, " ".join(words), "en", "s", 0))
+        if secret:
+            truth.add(i)
+    return rows, truth
+
+
+def test_held_out_formats(spark):
+    """Trained on what rules settle; judged on findings that no rule settles: precision and recall of nine tenths."""
+    known, _ = findings(300, seed=21)
+    fresh, truth = held_out(random.Random(6), 160)
+    rows = known + [(10_000 + i, *rest) for i, *rest in fresh]
+    got = secret_scan.scan(table(spark, rows)).where("doc_id >= 10000 and secret").collect()
+    found = {row.doc_id - 10_000 for row in got}
+    assert len(found & truth) >= 0.9 * len(truth)
+    assert len(found & truth) >= 0.9 * len(found)
