@@ -15,6 +15,7 @@ from ledgerline.functions.payloads import array_json
 from ledgerline.operators import events as ev
 from ledgerline.operators import tags
 from ledgerline.plans.tagging import TaggedEvents, event_context, tag_events
+from ledgerline.schemas import AUDIT_IDENTITY
 from ledgerline.sources.tables import parse_audit_log, stream_audit_log
 from ledgerline.streaming.tagging import start_tagging
 
@@ -42,11 +43,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).drop("detail")
+    return parse_audit_log(derive(spark, sf_dir, inputs.AUDIT), schema=AUDIT_IDENTITY).drop("detail")
 
 
 def event_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).select(
+    return parse_audit_log(derive(spark, sf_dir, inputs.AUDIT), schema=AUDIT_IDENTITY).select(
         "event_id",
         owner(F.col("user_type"), F.col("user_name"), F.col("principal_id")).alias("owner"),
         role(F.col("user_type"), F.col("issuer_name")).alias("role"),

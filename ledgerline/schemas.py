@@ -78,8 +78,8 @@ ACCOUNT_ALIASES = extend(strings("account"), T.StructField("aliases", T.ArrayTyp
 
 _ELEMENTS = T.MapType(T.StringType(), T.StringType())
 
-# One audit record. What an event names as created is looked up by its rule, hence the maps.
-AUDIT_EVENT = extend(
+# Who did what where, of an audit record; for readers that need no more, as what is not declared is not parsed.
+AUDIT_IDENTITY = extend(
     strings("id", "account", "region", "time"),
     T.StructField("detail", T.StructType([
         T.StructField("eventName", T.StringType()),
@@ -89,7 +89,15 @@ AUDIT_EVENT = extend(
                 T.StructField("sessionIssuer", strings("userName")),
             ])),
         )),
+    ])),
+)
+
+# One audit record. What an event names as created is looked up by its rule, hence the maps.
+AUDIT_EVENT = extend(
+    T.StructType(AUDIT_IDENTITY.fields[:-1]),
+    T.StructField("detail", extend(
+        AUDIT_IDENTITY["detail"].dataType,
         T.StructField("responseElements", _ELEMENTS),
         T.StructField("requestParameters", _ELEMENTS),
-    ])),
+    )),
 )
