@@ -17,6 +17,9 @@ then on the batches it covers are read from the runs alone; so a crash between t
 readers that began before go on with the files they listed. Runs of one level are merged once ``FAN_IN`` of them
 have come together: a filing is rewritten as often as the logarithm of the number of polls says. ``vacuum``
 removes what the last manifests no longer name.
+
+A month of many filings is written by many tasks, as many as its rows ask for: equal filings compress so well that
+their bytes say little about what a task has to sort.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from ledgerline import session
 from ledgerline.schemas import FILING_COLUMNS, LEDGER, LEDGER_RUNS
 
 FAN_IN = 8
+TASK_ROWS = 250_000
 _EPOCH_SCHEMA = "epoch long"
 _FIRST_EPOCH = -1
 _MANIFEST_SCHEMA = "upto long, runs array<struct<run: string, level: int>>, epoch long, version long"
@@ -41,13 +45,32 @@ def filing_month(date: Column) -> Column:
     return F.substring(date, 1, 7)
 
 
-def _where_new_may_be(new: DataFrame) -> Column:
+@dataclass(frozen=True)
+class Extent:
+    """The first and last date of some filings, their number, and the months that hold more than ``TASK_ROWS``."""
+
+    first: str | None
+    last: str | None
+    rows: int
+    large: tuple[tuple[str | None, int], ...]
+
+    @classmethod
+    def of(cls, filings: DataFrame) -> Extent:
+        """One row comes to the driver."""
+        months = filings.groupBy(filing_month(F.col("date")).alias("month")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min("date").alias("first"), F.max("date").alias("last"))
+        found = months.agg(
+            F.min("first"), F.max("last"), F.coalesce(F.sum("rows"), F.lit(0)),
+            F.collect_list(F.when(F.col("rows") > TASK_ROWS, F.struct("month", "rows")))).first()
+        return cls(found[0], found[1], found[2], tuple((month, rows) for month, rows in found[3]))
+
+
+def _where_new_may_be(extent: Extent) -> Column:
     """A filter for the months and dates a batch spans; nulls, which equal each other, always pass.
 
-    One row comes to the driver. The months prune folders, the dates row groups.
+    The months prune folders, the dates row groups.
     """
-    first, last = new.agg(F.min("date"), F.max("date")).first()
-    first, last = F.lit(first).cast("string"), F.lit(last).cast("string")
+    first, last = F.lit(extent.first).cast("string"), F.lit(extent.last).cast("string")
     month, date = F.col("month"), F.col("date")
     months = month.between(filing_month(first), filing_month(last))
     return (month.isNull() | months) & (date.isNull() | date.between(first, last))
@@ -151,21 +174,23 @@ class FilingLedger:
         last = found.agg(F.max("batch_id").alias("epoch")).filter("epoch is not null")
         last.write.mode("append").parquet(self._epochs)
 
-    def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame, place: Manifest | None = None) -> DataFrame:
+    def seen_before(self, spark: SparkSession, batch_id: int, new: DataFrame, place: Manifest | None = None,
+                    extent: Extent | None = None) -> DataFrame:
         """State for a batch: earlier batches of its epoch, where ``new`` may have equals."""
         epoch = self._of_epoch(spark, place or self.place(spark, batch_id))
-        return epoch.filter(F.col("batch_id") < batch_id).filter(_where_new_may_be(new))
+        return epoch.filter(F.col("batch_id") < batch_id).filter(_where_new_may_be(extent or Extent.of(new)))
 
-    def commit(self, found: DataFrame, batch_id: int, place: Manifest | None = None) -> None:
+    def commit(self, found: DataFrame, batch_id: int, place: Manifest | None = None, extent: Extent | None = None) -> None:
         """Write a batch's filings in place of whatever an earlier attempt left.
 
-        An empty batch writes no rows. A batch that is merged already is history and cannot be written again.
+        An empty batch writes no rows. A batch that is merged already is history and cannot be written again. ``extent``
+        is that of filings which ``found`` is part of; it says how many tasks are to write.
         """
         at = place or self.place(found.sparkSession, batch_id)
         if batch_id <= at.upto:
             raise ValueError(f"batch {batch_id} is merged already")
         shaped = found.select(*FILING_COLUMNS, "snapshot_id").withColumn("month", filing_month(F.col("date")))
-        _write_by_month(shaped, self._batch_folder(at.epoch, batch_id))
+        _write_by_month(_dealt(shaped, extent), self._batch_folder(at.epoch, batch_id))
 
     def compact(self, spark: SparkSession, before: int) -> bool:
         """Merge the batches before ``before`` in its epoch that are not merged yet; one merge runs at a time.
@@ -189,7 +214,7 @@ class FilingLedger:
         rows = single if not absorbed else single.unionByName(
             self._runs(spark, [Manifest(at.epoch, runs=tuple(absorbed))]))
         name = uuid.uuid4().hex
-        _write_by_month(rows.drop("epoch"), self._run_folder(at.epoch, name))
+        _write_by_month(_dealt(rows.drop("epoch"), Extent.of(rows)), self._run_folder(at.epoch, name))
         named = [(last, [*kept, (name, level)])]
         row = spark.createDataFrame(named, "upto long, runs array<struct<run: string, level: int>>")
         row.coalesce(1).write.parquet(f"{self._manifests}/epoch={at.epoch}/version={at.version + 1}")
@@ -231,11 +256,26 @@ def _present(spark: SparkSession, schema, base: str, paths: list[str]) -> DataFr
     return spark.read.schema(schema).option("basePath", base).parquet(*there)
 
 
+def _dealt(rows: DataFrame, extent: Extent | None) -> DataFrame:
+    """Rows by month; a month of more than ``TASK_ROWS`` is dealt over as many tasks as that many rows each ask for.
+
+    Copies of one filing come from several tasks, so the task takes part in the deal: no filing is too frequent for it.
+    Without such a month the rebalance keeps files large.
+    """
+    if extent is None or not extent.large:
+        return rows.hint("rebalance", "month")
+    dealt = F.xxhash64(*FILING_COLUMNS, F.spark_partition_id())
+    part, tasks = F.lit(0).cast("long"), 1 + extent.rows // TASK_ROWS
+    for month, count in extent.large:
+        parts = -(-count // TASK_ROWS)
+        part = F.when(F.col("month").eqNullSafe(F.lit(month).cast("string")), F.pmod(dealt, F.lit(parts))).otherwise(part)
+    return rows.withColumn("_part", part).repartition(tasks, "month", "_part").drop("_part")
+
+
 def _write_by_month(rows: DataFrame, folder: str) -> None:
-    """Rows with their ``month``; the rebalance keeps files large and splits a month that is hot."""
+    """Dealt rows with their ``month``, sorted by date within it."""
     (
-        rows.hint("rebalance", "month")
-        .sortWithinPartitions("month", "date")
+        rows.sortWithinPartitions("month", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("month")

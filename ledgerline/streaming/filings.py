@@ -15,7 +15,7 @@ from ledgerline.operators.feed import parse_entries, rejected_entries
 from ledgerline.operators.records import fresh_across_snapshots
 from ledgerline.operators.route import route_filings, route_messages, summary_counts, summary_of
 from ledgerline.schemas import FILING_COLUMNS
-from ledgerline.sources.ledger import FilingLedger
+from ledgerline.sources.ledger import Extent, FilingLedger
 from ledgerline.streaming import jobs
 
 Delivery = Callable[[DataFrame, int], None]
@@ -36,8 +36,9 @@ def commit_batch(ledger: FilingLedger, snapshots: DataFrame, batch_id: int) -> D
     """
     spark = snapshots.sparkSession
     place = ledger.ensure(spark).place(spark, batch_id)
-    seen = ledger.seen_before(spark, batch_id, snapshots, place)
-    ledger.commit(fresh_across_snapshots(snapshots, seen, FILING_COLUMNS), batch_id, place)
+    extent = Extent.of(snapshots)
+    seen = ledger.seen_before(spark, batch_id, snapshots, place, extent)
+    ledger.commit(fresh_across_snapshots(snapshots, seen, FILING_COLUMNS), batch_id, place, extent)
     return ledger.batch(spark, batch_id, place)
 
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import bag
 from ledgerline import session
+from ledgerline.operators import records
 from ledgerline.schemas import FILING, FILING_COLUMNS, extend, strings
 from ledgerline.sources import ledger as ledgers
 from ledgerline.sources.ledger import FilingLedger
@@ -116,3 +118,25 @@ def test_removing_what_is_not_there(spark, folder):
     path = folder("nothing")
     assert session.subfolders(spark, path) == []
     session.remove(spark, path)
+
+
+def test_a_month_of_many_equal_filings_is_written_by_many_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(ledgers, "TASK_ROWS", 100)
+    monkeypatch.setattr(records, "RUN_LENGTH", 50)
+    monkeypatch.setattr(records.repeat_rows, "__defaults__", ("copies", 50))
+    rows = spark.range(1300).selectExpr(
+        "if(id < 600, 'HOT', concat('C', id)) as companyname", "'8-K' as formtype", "'1' as cik",
+        "case when id between 600 and 799 then null when id < 1299 then '2024-01-05 00:00:00' else '2024-02-05 00:00:00' end as date",
+        "'u' as inter_url", "'s0' as snapshot_id")
+    ledger = FilingLedger(folder("ledger"))
+    commit_batch(ledger, rows, 0)
+    by_file = {(row["month"], row["file"]): row["count"] for row in ledger.rows(spark).groupBy(
+        "month", F.input_file_name().alias("file")).count().collect()}
+    assert max(by_file.values()) <= 300
+    assert sum(month == "2024-01" for month, _ in by_file) >= 6
+    assert sum(month == "2024-02" for month, _ in by_file) == 1
+    assert bag(ledger.rows(spark).select(*FILING_COLUMNS)) == bag(rows.select(*FILING_COLUMNS))
+    ledger.compact(spark, 1)
+    merged = ledger.rows(spark).groupBy("month", F.input_file_name().alias("file")).count().collect()
+    assert max(row["count"] for row in merged) <= 400
+    assert bag(ledger.rows(spark).select(*FILING_COLUMNS)) == bag(rows.select(*FILING_COLUMNS))
