@@ -106,14 +106,16 @@ def stream_filing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_feed_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two polls as Atom files, a few files a batch: whatever the stream leaves behind, in one table.
 
-    Entries of one link share a file, so a filing and its copies come in one snapshot. The ledger is merged as it grows.
+    Entries of one link share a file, so a filing and its copies come in one snapshot; those without a link are no
+    filings and go anywhere. A file is read by one task, so a larger poll comes in more files, not in larger ones. The
+    ledger is merged as it grows.
     """
     root = session.workspace(spark, "feed-outputs")
     ledger, landing, outbox, links = FilingLedger(f"{root}/ledger"), f"{root}/feed", f"{root}/outbox", f"{root}/links"
     page_links(derive(spark, sf_dir, inputs.PAGES)).write.parquet(links)
     for name, poll in zip(("p1", "p2"), raw_polls(spark, sf_dir)):
-        land_feed(poll.repartition(_FILES_A_POLL, "link"), f"{landing}/poll={name}")
-        entries = stream_feed(spark, landing, **jobs.admission(max_files=3, done=f"{root}/done"))
+        parts = _land_poll(poll, f"{landing}/poll={name}")
+        entries = stream_feed(spark, landing, **jobs.admission(max_files=3 * parts, done=f"{root}/done"))
         start_feed_stream(entries, ledger, f"{outbox}/rejects", f"{root}/checkpoint",
                           outbox_delivery(spark, links, outbox), merge_every=2).awaitTermination()
     summary = spark.read.schema("new_filings long, processed long").parquet(f"{outbox}/summary")
@@ -129,7 +131,15 @@ def stream_feed_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, outputs)
 
 
+def _land_poll(poll: DataFrame, folder: str) -> int:
+    """Write a poll's files; says how many times ``_FILES_A_POLL`` they are."""
+    parts = max(1, -(-poll.count() // (_FILES_A_POLL * _ENTRIES_A_FILE)))
+    land_feed(poll.repartition(_FILES_A_POLL * parts, F.coalesce("link", "entry_id")), folder)
+    return parts
+
+
 _FILES_A_POLL = 5
+_ENTRIES_A_FILE = 50_000
 
 
 def _output(kind: str, rows: DataFrame, name: str, detail: str) -> DataFrame:

@@ -2,17 +2,19 @@ from __future__ import annotations
 
 import json
 import os
+from collections import Counter
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import bag, executed_plan
+from ledgerline.catalog import stream_queries
 from ledgerline.operators.enrich import page_links
 from ledgerline.operators.route import batch_summary
 from ledgerline.schemas import FILING, FILING_COLUMNS, extend, strings
 from ledgerline.sources.daily_files import stream_files
-from ledgerline.sources.feed import stream_feed
+from ledgerline.sources.feed import read_feed, stream_feed
 from ledgerline.sources.ledger import FilingLedger
 from ledgerline.sources.tables import stream_audit_log
 from ledgerline.streaming import jobs
@@ -277,3 +279,21 @@ def test_the_summary_is_counted_as_filings_are_written(spark, folder):
         told = spark.read.parquet(jobs.batch_folder(f"{outbox}/summary", batch_id))
         assert bag(told) == bag(batch_summary(stored))
     assert bag(told) == [(0, 0, False, "Finished downloading for 0 companies.")]
+
+
+def test_a_larger_poll_comes_in_more_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(stream_queries, "_ENTRIES_A_FILE", 50)
+    poll = spark.range(2000).selectExpr(
+        "cast(id as string) as entry_id", "'t' as title", "if(id % 2 = 0, null, concat('l', id % 400)) as link", "'now' as updated")
+    landed = folder("polls")
+    assert stream_queries._land_poll(poll, landed) == 8
+    entries = read_feed(spark, landed).select("entry_id", "link", "snapshot_file").collect()
+    assert len(entries) == 2000
+    assert max(Counter(row["snapshot_file"] for row in entries).values()) <= 150
+    files = {}
+    for row in entries:
+        if row["link"] is not None:
+            files.setdefault(row["link"], set()).add(row["snapshot_file"])
+    assert all(len(found) == 1 for found in files.values())
+    # a small one as before
+    assert stream_queries._land_poll(poll.limit(100), folder("small")) == 1
