@@ -16,6 +16,7 @@ from ledgerline.fixed_values import EVENT_RULES, SITE_BASE, TAG_DEFAULTS
 from ledgerline.sources.tables import read_table
 
 ORGANISATION = "org-"
+_TASKS_A_CORE = 2
 
 _FORM = (
     "case {key} % 5 when 0 then '10-K' when 1 then '8-K' when 2 then '8-K/A' when 3 then '8-K' else '10-Q' end"
@@ -291,10 +292,17 @@ def for_check(text: str) -> str:
     return f"({text.strip()})"
 
 
-def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """The input as a DataFrame over the tables in ``sf_dir``."""
+def derive(spark: SparkSession, sf_dir: str, text: str, spread: bool = False) -> DataFrame:
+    """The input as a DataFrame over the tables in ``sf_dir``.
+
+    ``spread`` deals the rows of the tables over all cores first. A scan has no more tasks than the files have row groups,
+    which are few where rows are short, however much work each of them is.
+    """
     tables = _tables(text)
     text = text.replace("{", "{{").replace("}", "}}").replace('"table"', "`table`")
     for name in tables:
         text = text.replace(f"<{name}>", "{" + name + "}")
-    return spark.sql(text, **{name: read_table(spark, sf_dir, name) for name in tables})
+    found = {name: read_table(spark, sf_dir, name) for name in tables}
+    if spread:
+        found = {name: table.repartition(_TASKS_A_CORE * spark.sparkContext.defaultParallelism) for name, table in found.items()}
+    return spark.sql(text, **found)

@@ -39,7 +39,7 @@ def tag_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_audit_log(derive(spark, sf_dir, inputs.AUDIT))
+    return parse_audit_log(derive(spark, sf_dir, inputs.AUDIT, spread=True))
 
 
 def audit_event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Accounts, attachments and inventory; the attachments are stored, as they are read repeatedly."""
     pairs = F.array(*[F.struct(F.col(f"key{n}").alias("Key"), F.col(f"value{n}").alias("Value")) for n in (1, 2)])
-    inventory = derive(spark, sf_dir, inputs.INVENTORY).select(
+    inventory = derive(spark, sf_dir, inputs.INVENTORY, spread=True).select(
         "resource_id", "region", F.when(F.col("has_tags"), pairs).alias("tags")
     )
     attachments = session.cut(derive(spark, sf_dir, inputs.ATTACHMENTS), "attachments")
@@ -120,7 +120,7 @@ def tag_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, target = session.workspace(spark, "audit"), session.workspace(spark, "tagged")
-    derive(spark, sf_dir, inputs.AUDIT).write.text(log)
+    derive(spark, sf_dir, inputs.AUDIT, spread=True).write.text(log)
     start_tagging(
         stream_audit_log(spark, log),
         lambda: _snapshots(spark, sf_dir),

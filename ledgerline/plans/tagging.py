@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerline import session
 from ledgerline.fixed_values import ALIAS_RULES, EVENT_RULES, AliasRule, EventRule
@@ -43,9 +44,15 @@ class TaggedEvents:
     ):
         self._built = event_context(events, accounts, rules, aliases)
         self.attachments = attachments
+        self._via = {rule.via for rule in rules if rule.via}
+        self._attached = {kind for rule in rules for kind in rule.children}
         self.inventory = inventory
         self._work = work
 
+    def _of_kinds(self, kinds: set[str]) -> DataFrame:
+        """The attachments that the rules can ask for; the others are left out before they are shuffled."""
+        return self.attachments.filter(F.col("kind").isin(*sorted(kinds)))
+
     def _stored(self, step: DataFrame, name: str) -> DataFrame:
         return session.cut(step, name, self._work)
 
@@ -55,7 +62,7 @@ class TaggedEvents:
 
     @cached_property
     def requested(self) -> DataFrame:
-        return self._stored(ev.requested_resources(ev.event_resources(self.context), self.attachments), "requested")
+        return self._stored(ev.requested_resources(ev.event_resources(self.context), self._of_kinds(self._via)), "requested")
 
     @cached_property
     def unfulfilled(self) -> DataFrame:
@@ -80,7 +87,7 @@ class TaggedEvents:
 
     @property
     def expanded(self) -> DataFrame:
-        return ev.expand_resources(self.resources, self.attachments)
+        return ev.expand_resources(self.resources, self._of_kinds(self._attached))
 
     @property
     def tag_sets(self) -> DataFrame:

@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag, executed_plan, small_skew_thresholds
+from ledgerline.catalog import inputs
 from ledgerline.fixed_values import EVENT_RULES, TAG_DEFAULTS, TAG_KEYS, alias_rules
 from ledgerline.functions import accounts as acc
 from ledgerline.operators import events as ev
 from ledgerline.operators import tags
-from ledgerline.plans.tagging import tag_events
+from ledgerline.plans.tagging import TaggedEvents, tag_events
 from ledgerline.sources.tables import parse_audit_log
 
 RULES = alias_rules("acme-")
@@ -245,3 +246,25 @@ def test_a_hot_event_and_a_hot_parent_are_split(spark, folder):
         narrow.collect()
         assert "skew=true" in executed_plan(narrow)
         assert "skew=true" in executed_plan(tagged_rows)
+
+
+def test_short_rows_are_dealt_over_all_cores(spark, folder):
+    root = folder("tables")
+    spark.range(400).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "id % 9 as user_id", "'click' as event_type",
+        "cast(id as double) as value", "'{\"k\": 1}' as props").coalesce(1).write.parquet(f"{root}/events.parquet")
+    once, dealt = (inputs.derive(spark, root, inputs.AUDIT, spread=spread) for spread in (False, True))
+    assert once.rdd.getNumPartitions() == 1
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert bag(once) == bag(dealt)
+
+
+def test_only_attachments_of_wanted_kinds_are_read(spark):
+    tagged = TaggedEvents(*[spark.createDataFrame([], schema) for schema in (
+        "event_id string, event_time string, account string, region string, event_name string, arn string, principal_id string, "
+        "user_type string, user_name string, issuer_name string, detail struct<responseElements: map<string,string>, "
+        "requestParameters: map<string,string>>", "account string, aliases array<string>")],
+        spark.createDataFrame([("p", "c", kind) for kind in ("spot", "volume", "interface", "snapshot", "other", None)],
+                              "parent_id string, child_id string, kind string"), None)
+    assert {row["kind"] for row in tagged._of_kinds(tagged._via).collect()} == {"spot"}
+    assert {row["kind"] for row in tagged._of_kinds(tagged._attached).collect()} == {"volume", "interface", "snapshot"}
