@@ -59,13 +59,16 @@ def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Accounts, attachments and inventory; the attachments are stored, as they are read repeatedly."""
+    """Accounts, attachments and inventory.
+
+    The attachments are not stored: every step that reads them asks for kinds of its own, and leaves out the others in
+    the scan, before equal ones are found.
+    """
     pairs = F.array(*[F.struct(F.col(f"key{n}").alias("Key"), F.col(f"value{n}").alias("Value")) for n in (1, 2)])
     inventory = derive(spark, sf_dir, inputs.INVENTORY, spread=True).select(
         "resource_id", "region", F.when(F.col("has_tags"), pairs).alias("tags")
     )
-    attachments = session.cut(derive(spark, sf_dir, inputs.ATTACHMENTS), "attachments")
-    return _accounts(spark, sf_dir), attachments, inventory
+    return _accounts(spark, sf_dir), derive(spark, sf_dir, inputs.ATTACHMENTS), inventory
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> TaggedEvents:

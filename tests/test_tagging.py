@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag, executed_plan, small_skew_thresholds
-from ledgerline.catalog import inputs
+from ledgerline.catalog import inputs, tagging_queries
 from ledgerline.fixed_values import EVENT_RULES, TAG_DEFAULTS, TAG_KEYS, alias_rules
 from ledgerline.functions import accounts as acc
 from ledgerline.operators import events as ev
@@ -268,3 +268,20 @@ def test_only_attachments_of_wanted_kinds_are_read(spark):
                               "parent_id string, child_id string, kind string"), None)
     assert {row["kind"] for row in tagged._of_kinds(tagged._via).collect()} == {"spot"}
     assert {row["kind"] for row in tagged._of_kinds(tagged._attached).collect()} == {"volume", "interface", "snapshot"}
+
+
+def test_queries_store_no_attachments(spark, folder, monkeypatch):
+    """Each step takes the kinds it asks for from the derived rows; all attachments are never written."""
+    source = folder("tables")
+    lines = spark.range(40).select(F.col("id").alias("l_orderkey"), (F.col("id") % 7).alias("l_linenumber"), F.col("id").alias("l_partkey"))
+    lines.write.parquet(f"{source}/lineitem.parquet")
+    spark.range(3).selectExpr("id as n_nationkey", "'N' || id as n_name").write.parquet(f"{source}/nation.parquet")
+    spark.range(3).selectExpr("id as event_id", "0D as value", "id as user_id", "'x' as event_type", "'{\"k\": 1}' as props",
+                              "timestamp '2024-01-01 00:00:00' as ts").write.parquet(f"{source}/events.parquet")
+    stored, cut = [], tagging_queries.session.cut
+    monkeypatch.setattr(tagging_queries.session, "cut", lambda df, name, *more, **options: stored.append(name) or cut(df, name, *more, **options))
+    _, attachments, _ = tagging_queries._snapshots(spark, source)
+    assert stored == []
+    assert {row.kind for row in attachments.collect()} == {"spot", "volume", "interface", "snapshot"}
+    spots = executed_plan(attachments.where("kind = 'spot'")).split("HashAggregate")
+    assert "l_linenumber" in spots[-1] and "Filter" in spots[-1]
